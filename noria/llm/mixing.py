@@ -37,7 +37,7 @@ def _fill(nodes: DataFrame, parent: list[str], budget: str, out: str) -> DataFra
     nodes = nodes.withColumn("used", F.coalesce(F.sum("supply").over(before), F.lit(0))).withColumn("left_w", F.sum("w").over(whole) - F.coalesce(F.sum("w").over(before), F.lit(0)))
     nodes = nodes.withColumn("level", F.when((F.col("left_w") > 0) & (F.col("w") > 0), (F.col(budget) - F.col("used")) / F.col("left_w")))
     nodes = nodes.withColumn("short", F.coalesce(F.col("per_weight") <= F.col("level"), F.lit(False)))
-    level = F.min(F.when(~F.col("short"), F.col("level"))).over(whole)
+    level = F.max(F.when(~F.col("short"), F.col("level"))).over(whole)
     share = F.when(F.col("w") <= 0, F.lit(0.0)).when(F.col("short"), F.col("supply").cast("double")).otherwise(level * F.col("w"))
     return nodes.withColumn(out, F.least(share, F.col("supply").cast("double"))).drop("per_weight", "used", "left_w", "level", "short")
 
@@ -135,7 +135,7 @@ def oracle(domain: str, fraction: float, max_epochs: int, weights: dict[str, dic
     def fill(src: str, parent: str, node: str, budget: str, out: str) -> str:
         part = f"partition by {parent}"
         order = f"over ({part} order by per_weight, {node} rows between unbounded preceding and 1 preceding)"
-        return f"""(select *, least(case when w <= 0 then 0.0 when short then supply::double else min(case when not short then level end) over ({part}) * w end, supply::double) as {out} from
+        return f"""(select *, least(case when w <= 0 then 0.0 when short then supply::double else max(case when not short then level end) over ({part}) * w end, supply::double) as {out} from
           (select *, coalesce(per_weight <= level, false) as short from
             (select *, case when left_w > 0 and w > 0 then ({budget} - used) / left_w end as level from
               (select *, coalesce(sum(supply) {order}, 0)::double as used, (sum(w) over ({part}) - coalesce(sum(w) {order}, 0))::double as left_w from

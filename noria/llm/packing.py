@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
@@ -28,49 +29,61 @@ class WordTokenizer:
     Byte-level BPE splits a text into pieces before it merges, and a space that
     stands before anything but white space always begins a piece.  So a text is
     cut at those spaces, each distinct word is tokenised once by the tokenizer and
-    remembered, and the ids of a text are those of its words in turn.
+    remembered, and the ids of a text are those of its words in turn.  New words
+    are tokenised many to a call; a token that begins with a space begins a word.
     """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.begins[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
         self.first: dict[str, bytes] = {}
         self.inner: dict[str, bytes] = {}
         self.most = cache_words
 
-    def _learn(self, known: dict[str, bytes], words: set[str], lead: str) -> dict[str, bytes]:
-        words = sorted(words)
-        found = self.tokenizer.encode_batch([lead + w for w in words], add_special_tokens=False)
-        new = {w: np.array(e.ids, dtype="<u4").tobytes() for w, e in zip(words, found, strict=True)}
+    def _alone(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _after_space(self, words: list[str]) -> dict[str, bytes]:
+        plain = [w for w in words if w.split() == [w]]
+        out = {}
+        groups = [plain[i : i + 50] for i in range(0, len(plain), 50)]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, dtype="<u4")
+            at = np.flatnonzero(self.begins[ids]).tolist()
+            if len(at) == len(group):
+                data = ids.tobytes()
+                out.update((w, data[4 * i : 4 * j]) for w, i, j in zip(group, at, [*at[1:], len(ids)], strict=True))
+        rest = [w for w in words if w not in out]
+        out.update(zip(rest, self._alone([" " + w for w in rest]), strict=True))
+        return out
+
+    def _keep(self, known: dict[str, bytes], new: dict[str, bytes]) -> None:
         if len(known) + len(new) <= self.most:
             known.update(new)
-            return known
-        return _Over(new, known)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [_words(t) for t in texts]
         heads = {w[0] for w in split} - self.first.keys()
-        rest = set()
-        for w in split:
-            rest.update(w[1:])
-        rest -= self.inner.keys()
-        first = self._learn(self.first, heads, "") if heads else self.first
-        inner = self._learn(self.inner, rest, " ") if rest else self.inner
-        get = inner.__getitem__
-        return [first[w[0]] + b"".join(map(get, w[1:])) for w in split]
-
-
-class _Over(dict):
-    """Words of one call over those that are remembered."""
-
-    def __init__(self, new: dict, known: dict):
-        super().__init__(new)
-        self.known = known
-
-    def __missing__(self, key):
-        return self.known[key]
+        heads = dict(zip(heads, self._alone(list(heads)), strict=True)) if heads else {}
+        get = self.inner.get
+        found = [list(map(get, w)) for w in split]
+        lost = {w for ws, vs in zip(split, found, strict=True) if None in vs for w, v in zip(ws, vs, strict=True) if v is None}
+        new = self._after_space(list(lost)) if lost else {}
+        out = []
+        for ws, vs in zip(split, found, strict=True):
+            if None in vs:
+                vs = [new[w] if v is None else v for w, v in zip(ws, vs, strict=True)]
+            vs[0] = heads[ws[0]] if ws[0] in heads else self.first[ws[0]]
+            out.append(b"".join(vs))
+        self._keep(self.inner, new)
+        self._keep(self.first, heads)
+        return out
 
 
 def _words(text: str) -> list[str]:
