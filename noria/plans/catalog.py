@@ -1,2 +1,523 @@
+"""The engine's queries over the provided tables, and DuckDB SQL for the same rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from noria.functions import text as fn
+from noria.operators import corpus, dtm, ngrams, nouns, stm, topics
+from noria.session import ship_package
+
+PREFIXES, SUFFIXES = ["re", "un", "anti", "en", "ver"], ["tion", "ing", "ed", "ly", "er", "ung", "ment"]
+FUNCTION_WORDS = ["the", "and", "that", "with", "from", "der", "die", "das", "und", "les", "des", "que"]
+RULES = [("the of", "theof"), ("ation", "acion"), ("acion er", "acioner"), ("th", "z")]
+GENERIC = ["edor", "ention", "onre"]
+LANGS = ["de", "en", "es", "fr"]
+METRICS = ["heldout", "semcoh", "exclusivity"]
+
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def _corpus(spark, d):
+    return corpus.analysis_projection(_t(spark, d, "documents"), "doc_id", "text")
+
+
+def _tagged(spark, d):
+    return nouns.RuleTagger(PREFIXES, SUFFIXES, FUNCTION_WORDS).tag(_corpus(spark, d))
+
+
+def _nouns(spark, d):
+    return nouns.extract_nouns(_tagged(spark, d))
+
+
+def _words(spark, d):
+    return ngrams.long_words(_nouns(spark, d))
+
+
+def _cells(spark, d):
+    return dtm.dfm(_nouns(spark, d))
+
+
+def _ngrams(spark, d):
+    return ngrams.mine_ngrams(_words(spark, d), [2, 3], 1, 100)
+
+
+def _in(words):
+    return "(" + ", ".join(f"'{w}'" for w in words) + ")"
+
+
+BLANK = "chr(32) || chr(9) || chr(13) || chr(10)"
+C = f"c as (select doc_id::varchar as doc_id, trim(text, {BLANK}) as abstract from documents where length(trim(text, {BLANK})) > 10)"
+TOK = f"""{C},
+l as (select doc_id, list_filter(string_split_regex(lower(abstract), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') as w from c),
+tok0 as (select doc_id, unnest(w) as form, generate_subscripts(w, 1) as pos from l),
+tok as (select doc_id, pos, form, case when form in {_in(PREFIXES)} then 'XPN' when form in {_in(SUFFIXES)} then 'XSN' when length(form) <= 2 then 'JKS' when form in {_in(FUNCTION_WORDS)} then 'MM' else 'NNG' end as tag from tok0)"""
+S = TOK + """,
+s as (select *, lead(tag, 1) over p as t1, lead(tag, 2) over p as t2, lead(form, 1) over p as f1, lead(form, 2) over p as f2, lag(tag, 1) over p as p1 from tok window p as (partition by doc_id order by pos))"""
+N = S + """,
+n0 as (select doc_id, pos, case when tag = 'XPN' and t1 = 'NNG' and t2 = 'XSN' then concat(form, f1, f2) when tag = 'XPN' and t1 = 'NNG' then concat(form, f1)
+  when tag = 'NNG' and p1 = 'XPN' then null when tag = 'NNG' and t1 = 'XSN' then concat(form, f1) when tag = 'XSN' and p1 = 'NNG' then null
+  when tag in ('NNG', 'XPN', 'XSN') then form end as noun from s),
+noun as (select doc_id, noun, min(pos) as pos from n0 where noun is not null group by doc_id, noun)"""
+W = N + ", wrd as (select doc_id, noun, row_number() over (partition by doc_id order by pos) as i from noun where length(noun) >= 2)"
+CELLS = N + ", cells as (select doc_id, lower(noun) as term, count(*) as tf from noun where length(noun) >= 2 group by all)"
+STATS = CELLS + ", stats as (select term, sum(tf)::bigint as frequency, count(*) as docfreq from cells group by term), nd as (select count(*) as n from c)"
+NG = W + """, g as (select noun || ' ' || lead(noun, 1) over p as ngram, 2 as ngram_size from wrd window p as (partition by doc_id order by i)
+  union all select noun || ' ' || lead(noun, 1) over p || ' ' || lead(noun, 2) over p, 3 from wrd window p as (partition by doc_id order by i)),
+gc as (select ngram, ngram_size, count(*) as frequency from g where ngram is not null group by all),
+ng as (select ngram, frequency, ngram_size, 'NNG' as pos_tag from (select *, row_number() over (partition by ngram_size order by frequency desc, ngram) as r from gc) where r <= 100)"""
+
+
+@query(f"with {C} select doc_id, abstract from c")
+def corpus_projection(spark, d):
+    return _corpus(spark, d)
+
+
+def _profile_sql(table, columns):
+    part = lambda c, k: f"select '{c}' as \"column\", '{k}' as type, count(*) - count({c}) as n_null, round(100.0 * (count(*) - count({c})) / count(*), 2) as null_pct, (count(distinct {c}) + max(({c} is null)::int))::bigint as n_distinct from {table}"
+    return " union all ".join(part(c, k) for c, k in columns)
+
+
+@query(_profile_sql("documents", [("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint")]))
+def column_profile(spark, d):
+    return corpus.column_profile(_t(spark, d, "documents"))
+
+
+@query("""with a as (select count(*) as n, count(distinct doc_id) as dd, count(doc_id) as k from documents)
+select unnest(['has_rows', 'has_columns', 'has_doc_id', 'unique_ids', 'required_columns']) as "check", unnest([n > 0, true, true, dd = n and k = n, true]) as passed from a""")
+def required_and_unique_id_check(spark, d):
+    return corpus.validate(_t(spark, d, "documents").withColumnRenamed("text", "abstract"), "morpheme")
+
+
+@query("""select doc_id, 'doc' || lpad((('0x' || substr(md5(regexp_replace(lower(concat_ws('|', substr(text, 1, 40), source)), '[\\s\\x{0B}\\x{85}\\p{Z}]+', '', 'g')), 1, 8))::bigint % 100000000)::varchar, 8, '0') as hash_id from documents""")
+def hash_doc_id(spark, d):
+    return _t(spark, d, "documents").select("doc_id", fn.hash_id(F.substring("text", 1, 40), F.col("source")).alias("hash_id"))
+
+
+def _score_sql(t, c):
+    return f"""with x as (select {c} as v, regexp_replace({c}, '[ \\t\\n\\f\\r\\x0B]', '', 'g') as solid from {t} where length({c}) > 10),
+    a as (select coalesce(avg(length(regexp_replace(v, '[^가-힣]', '', 'g')) / nullif(length(solid), 0)), 0.0) as h, coalesce(avg(length(v)), 0.0) as m from x)
+    select '{t}' as tbl, '{c}' as "column", round(h, 6) as hangul, round(m, 6) as mean_length, round(0.7 * h + 0.1 * least(m / 200, 1.0), 6) as score from a"""
+
+
+@query(f"select * from ({_score_sql('documents', 'text')}) union all select * from ({_score_sql('pages', 'html')})")
+def script_ratio_score(spark, d):
+    parts = [corpus.script_scores(_t(spark, d, t), [c]).select(F.lit(t).alias("tbl"), "column", *[F.round(x, 6).alias(x) for x in ("hangul", "mean_length", "score")]) for t, c in (("documents", "text"), ("pages", "html"))]
+    return parts[0].unionAll(parts[1])
+
+
+@query("select o_orderkey, regexp_extract('발행 ' || strftime(o_orderdate::date, '%Y-%m'), '(^|[^\\p{L}\\p{N}_])((19|20)[0-9]{2})($|[^\\p{L}\\p{N}_])', 2)::int as pub_year from orders")
+def year_extraction(spark, d):
+    t = F.concat(F.lit("발행 "), F.date_format(F.col("o_orderdate").cast("date"), "yyyy-MM"))
+    return _t(spark, d, "orders").select("o_orderkey", fn.first_year(t).alias("pub_year"))
+
+
+@query("select doc_id, text, lang, source, n_chars, null::bigint as item_id from documents union all select null, text, null, null, null, item_id from benchmark")
+def union_by_name_corpus(spark, d):
+    return corpus.union_by_name([_t(spark, d, "documents"), _t(spark, d, "benchmark")])
+
+
+def _cov_sql():
+    cols = ["c_name", "c_mktsegment"]
+    part = lambda c: f"select '{c}' as \"column\", (count(distinct {c}) + max(({c} is null)::int))::bigint as n_distinct, count(*) as n from customer"
+    return "select \"column\", n_distinct, round(n_distinct / n, 6) as share, n_distinct between 2 and 50 and round(n_distinct / n, 6) <= 0.2 as is_categorical from (" + " union all ".join(map(part, cols)) + ")"
+
+
+@query(_cov_sql())
+def column_distinct_covariates(spark, d):
+    return corpus.covariates(_t(spark, d, "customer").select("c_name", "c_mktsegment"))
+
+
+@query("select doc_id, regexp_matches(text, '[가-힣ㄱ-ㅎㅏ-ㅣ]') as hangul, regexp_matches(text, '[a-zA-Z]') as latin, regexp_matches(text, '[0-9]') as digit, trim(regexp_replace(regexp_replace(text, '[^가-힣a-zA-Z0-9 ]', ' ', 'g'), ' +', ' ', 'g'), ' ') as cleaned from documents")
+def script_predicates(spark, d):
+    return _t(spark, d, "documents").select("doc_id", fn.has_hangul("text").alias("hangul"), fn.has_latin("text").alias("latin"), fn.has_digit("text").alias("digit"), fn.clean_text("text").alias("cleaned"))
+
+
+@query(f"with {TOK} select l.doc_id, coalesce(m, '') as morphemes from l left join (select doc_id, string_agg(form || '/' || tag, ' ' order by pos) as m from tok group by doc_id) using (doc_id)")
+def morpheme_strings(spark, d):
+    return nouns.morphemes(_tagged(spark, d)).select("doc_id", "morphemes")
+
+
+@query(f"with {N} select c.doc_id, coalesce(x, '') as noun_extraction from c left join (select doc_id, string_agg(noun, ', ' order by pos) as x from noun group by doc_id) using (doc_id)")
+def affix_nouns(spark, d):
+    return _nouns(spark, d).select("doc_id", F.array_join("nouns", ", ").alias("noun_extraction"))
+
+
+@query(f"with {N} select noun, count(*) as n_docs from noun group by noun order by n_docs desc, noun limit 20")
+def noun_doc_frequency_top20(spark, d):
+    return nouns.noun_document_frequency(_nouns(spark, d))
+
+
+@query(f"with {N} select (select count(*) from c) as n_docs, count(*)::bigint as n_nouns, round(count(*) / (select count(*) from c), 6) as mean_nouns, count(distinct noun) as n_distinct from noun")
+def noun_totals(spark, d):
+    return nouns.noun_totals(_nouns(spark, d))
+
+
+def _tag_sql(tag):
+    return f"with {TOK} select form, count(*) as n from tok where tag = '{tag}' group by form order by n desc, form limit 15"
+
+
+@query(_tag_sql("XSN"))
+def suffix_frequency(spark, d):
+    return nouns.tag_frequency(_tagged(spark, d), "XSN")
+
+
+@query(_tag_sql("XPN"))
+def prefix_frequency(spark, d):
+    return nouns.tag_frequency(_tagged(spark, d), "XPN")
+
+
+@query(f"with {S} select form || '+' || f1 as forms, count(*) as n from s where tag = 'NNG' and t1 = 'XSN' group by 1 order by n desc, forms limit 20")
+def noun_suffix_pairs(spark, d):
+    return nouns.tag_runs(_tagged(spark, d), ["NNG", "NNP"], ["XSN"])
+
+
+@query(f"with {S} select form || '+' || f1 as forms, count(*) as n from s where tag = 'XPN' and t1 = 'NNG' and coalesce(t2, '') <> 'XSN' group by 1 order by n desc, forms limit 15")
+def prefix_noun_pairs(spark, d):
+    return nouns.tag_runs(_tagged(spark, d), ["XPN"], ["NNG", "NNP"], not_third=["XSN"], k=15)
+
+
+@query(f"with {S} select form || '+' || f1 || '+' || f2 as forms, count(*) as n from s where tag = 'XPN' and t1 = 'NNG' and t2 = 'XSN' group by 1 order by n desc, forms limit 10")
+def prefix_noun_suffix_triples(spark, d):
+    return nouns.tag_runs(_tagged(spark, d), ["XPN"], ["NNG", "NNP"], ["XSN"], k=10)
+
+
+def _norm(x):
+    for a, b in RULES:
+        x = f"replace({x}, '{a}', '{b}')"
+    return x
+
+
+@query(f"with {W} select c.doc_id, coalesce(x, '') as nouns from c left join (select doc_id, string_agg({_norm('noun')}, ', ' order by i) as x from wrd group by doc_id) using (doc_id)")
+def compound_normalization(spark, d):
+    return ngrams.normalize_list(_words(spark, d), RULES).select("doc_id", F.array_join("nouns", ", ").alias("nouns"))
+
+
+@query(f"with {W} select coalesce(sum(({_norm('noun')} <> noun)::int), 0)::bigint as n_changed from wrd")
+def compound_change_count(spark, d):
+    return ngrams.normalize_list(_words(spark, d), RULES).agg(F.coalesce(F.sum("n_changed"), F.lit(0)).alias("n_changed"))
+
+
+@query(f"with {NG} select ngram, frequency, ngram_size, pos_tag from ng")
+def ngrams_2_3(spark, d):
+    return _ngrams(spark, d)
+
+
+@query(f"with {NG} select ngram_size, count(*) as n, sum(frequency)::bigint as total from gc group by ngram_size")
+def ngram_size_counts(spark, d):
+    return ngrams.mine_ngrams(_words(spark, d), [2, 3], 1, None).groupBy("ngram_size").agg(F.count("*").alias("n"), F.sum("frequency").alias("total"))
+
+
+@query(f"with {NG} select ngram, frequency, ngram_size, pos_tag from ng where length(ngram) <= 20 order by frequency desc, ngram_size, ngram")
+def dictionary_candidates(spark, d):
+    return ngrams.dictionary_candidates(_ngrams(spark, d)).orderBy(F.desc("frequency"), "ngram_size", "ngram")
+
+
+def _cand(spark, d):
+    src = _t(spark, d, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "source")
+    t = _nouns(spark, d).select("doc_id", F.explode("nouns").alias("word")).join(src, "doc_id")
+    return t.groupBy("word", F.col("source").alias("ord")).agg(F.count("*").alias("freq")).withColumn("context", F.concat_ws(" ", "word", "ord"))
+
+
+CAND = N + ", cand as (select noun as word, source as ord, count(*) as freq, noun || ' ' || source as context from noun join (select doc_id::varchar as doc_id, source from documents) using (doc_id) group by noun, source)"
+
+
+@query(f"with {CAND} select word, sum(freq)::bigint as freq, min_by(context, ord) as context from cand group by word")
+def candidate_merge_sum(spark, d):
+    return ngrams.merge_candidates(_cand(spark, d), "sum")
+
+
+@query(f"with {CAND} select word, ord, freq, context from (select *, row_number() over (partition by word order by freq desc, ord) as r from cand) where r = 1")
+def candidate_merge_max(spark, d):
+    return ngrams.merge_candidates(_cand(spark, d), "max").select("word", "ord", "freq", "context")
+
+
+@query(f"with {CAND} select word, round_even(avg(freq), 0)::bigint as freq, min_by(context, ord) as context from cand group by word")
+def candidate_merge_mean(spark, d):
+    return ngrams.merge_candidates(_cand(spark, d), "mean")
+
+
+BIN = "case " + " ".join(f"when freq >= {b} then '>={b}'" for b in ngrams.BINS) + f" else '<{ngrams.BINS[-1]}' end"
+BIN_ORDER = "case " + " ".join(f"when freq >= {b} then {i + 1}" for i, b in enumerate(ngrams.BINS)) + f" else {len(ngrams.BINS) + 1} end"
+
+
+@query(f"with {CAND} select {BIN} as bin, {BIN_ORDER} as bin_order, count(*) as n from cand group by 1, 2")
+def candidate_freq_bins(spark, d):
+    return ngrams.frequency_bins(_cand(spark, d))
+
+
+@query(f"with {CAND} select round(avg(freq), 6) as mean_freq, min(freq) as min_freq, max(freq) as max_freq from cand")
+def candidate_freq_summary(spark, d):
+    return ngrams.frequency_summary(_cand(spark, d))
+
+
+@query(f"with {CAND} select word, count(*) as n from cand group by word having count(*) > 1")
+def candidate_duplicates(spark, d):
+    return corpus.duplicate_ids(_cand(spark, d), "word")
+
+
+@query(f"with {CAND} select word, ord, regexp_matches(word, '[ \\t\\n\\f\\r\\x0B][가-힣]$') as cut_short, word in {_in(GENERIC)} as generic, freq <= 2 as low_frequency, count(*) over (partition by word) > 1 as duplicated from cand")
+def candidate_quality_flags(spark, d):
+    return ngrams.quality_flags(_cand(spark, d), GENERIC).select("word", "ord", "cut_short", "generic", "low_frequency", "duplicated")
+
+
+def _entries(spark, d, priority=1):
+    return ngrams.dictionary_entries(ngrams.dictionary_candidates(_ngrams(spark, d)), "ngram", "pos_tag", "NNG", priority, "ngram")
+
+
+def _existing(spark, d):
+    top = nouns.noun_document_frequency(_nouns(spark, d), 50)
+    return ngrams.dictionary_entries(top.withColumn("tag", F.lit("")), "noun", "tag", "NNP", 0, "noun", 1.0)
+
+
+ENT = NG + ", ent as (select regexp_replace(ngram, '\\s+', '', 'g') as word, pos_tag as tag, 0.0::double as score, 1 as priority, ngram as ord from ng where length(ngram) <= 20)"
+EXI = ENT + ", exi as (select noun as word, 'NNP' as tag, 1.0::double as score, 0 as priority, noun as ord from (select noun, count(*) as n from noun group by noun order by n desc, noun limit 50)), every as (select * from ent union all select * from exi)"
+
+
+def _first_sql(t):
+    return f"(select word, tag, score from (select *, row_number() over (partition by word order by priority, ord) as r from {t}) where r = 1)"
+
+
+@query(f"with {ENT} select * from {_first_sql('ent')} order by word")
+def user_dictionary_build(spark, d):
+    return ngrams.merge_dictionaries([_entries(spark, d)])
+
+
+@query(f"with {EXI} select * from {_first_sql('every')} order by word")
+def user_dictionary_merge(spark, d):
+    return ngrams.merge_dictionaries([_existing(spark, d), _entries(spark, d)])
+
+
+@query(f"with {EXI} select tag, count(*) as n from {_first_sql('every')} group by tag")
+def dictionary_tag_distribution(spark, d):
+    return user_dictionary_merge(spark, d).groupBy("tag").agg(F.count("*").alias("n"))
+
+
+@query(f"with {N}, x as (select doc_id, count(*) as n_nouns from noun group by doc_id) select x.doc_id, n_nouns, quality, toxic from x left join (select doc_id::varchar as doc_id, quality, toxic from labels) y using (doc_id)")
+def noun_metadata_left_join(spark, d):
+    n = _nouns(spark, d).where(F.size("nouns") > 0).select("doc_id", F.size("nouns").cast("long").alias("n_nouns"))
+    return corpus.left_join_metadata(n, _t(spark, d, "labels").withColumn("doc_id", F.col("doc_id").cast("string")))
+
+
+@query("select event_id, coalesce(try_cast(json_extract_string(props, '$.k') as bigint), try_cast(json_extract_string(props, '$[0].k') as bigint), -1) as k from events")
+def json_field_extraction(spark, d):
+    k = lambda p: F.get_json_object("props", p).try_cast("long")
+    return _t(spark, d, "events").select("event_id", F.coalesce(k("$.k"), k("$[0].k"), F.lit(-1)).alias("k"))
+
+
+@query(f"with {CELLS} select doc_id, term, tf from cells")
+def dfm_counts(spark, d):
+    return _cells(spark, d)
+
+
+@query(f"with {STATS} select term, frequency, docfreq from stats")
+def term_doc_frequency(spark, d):
+    return dtm.term_stats(_cells(spark, d))
+
+
+@query(f"with {STATS} select doc_id, term, tf from cells join stats using (term) where frequency >= 2")
+def dfm_trim(spark, d):
+    return dtm.trim(_cells(spark, d)).select("doc_id", "term", "tf")
+
+
+def _sparse_sql(where):
+    return f"select (select n from nd) as n_docs, count(*) as n_terms, sum(docfreq)::bigint as nonzero, sum(frequency)::bigint as total_tokens, round(1 - sum(docfreq) / (count(*) * (select n from nd)), 9) as sparsity, (sum(docfreq) * 8)::bigint as memory_bytes from stats {where}"
+
+
+@query(f"with {STATS} select 'before' as stage, * from ({_sparse_sql('')}) union all select 'after', * from ({_sparse_sql('where frequency >= 2')})")
+def sparsity_report(spark, d):
+    n, cells = _corpus(spark, d).count(), _cells(spark, d)
+    part = lambda name, c: dtm.sparsity(c, n).select(F.lit(name).alias("stage"), "*")
+    return part("before", cells).unionAll(part("after", dtm.trim(cells)))
+
+
+@query(f"with {STATS} select doc_id, term, tf, round(tf * log10((select n from nd)::double / docfreq), 6) as weight from cells join stats using (term)")
+def tfidf_cells(spark, d):
+    return dtm.tfidf(_cells(spark, d), _corpus(spark, d).count())
+
+
+TOP = "select term as feature, frequency, docfreq, round(frequency * log10((select n from nd)::double / docfreq), 6) as tfidf_score from stats where frequency >= 2"
+
+
+@query(f"with {STATS} {TOP} order by tfidf_score desc, feature limit 30")
+def tfidf_top_terms(spark, d):
+    return dtm.tfidf_terms(dtm.trim(_cells(spark, d)), _corpus(spark, d).count())
+
+
+@query(f"with {STATS}, top as ({TOP} order by tfidf_score desc, feature limit 150) select feature, round((tfidf_score + case when (select min(tfidf_score) from top) <= 0 then abs((select min(tfidf_score) from top)) + 0.1 else 0 end) * 1000)::bigint as cloud_weight from top")
+def tfidf_cloud_scale(spark, d):
+    return dtm.cloud_weights(dtm.tfidf_terms(dtm.trim(_cells(spark, d)), _corpus(spark, d).count(), 150))
+
+
+@query(f"with {TOK} select count(*) as n_docs, sum(len(w))::bigint as n_tokens, round(avg(len(w)), 6) as mean_tokens from l")
+def tokens_per_document(spark, d):
+    n = F.size("tokens")
+    return _tagged(spark, d).agg(F.count("*").alias("n_docs"), F.sum(n).alias("n_tokens"), F.round(F.avg(n), 6).alias("mean_tokens"))
+
+
+def _frequent(spark, d, least=20):
+    return dtm.trim(_cells(spark, d), min_termfreq=least)
+
+
+FREQ = STATS + ", fc as (select doc_id, term, tf from cells join stats using (term) where frequency >= 20), lang as (select doc_id::varchar as doc_id, lang from documents)"
+
+
+@query(f"with {FREQ}, v as (select term, row_number() over (order by term)::int as term_id from (select distinct term from fc)) select doc_id, string_agg(term_id || ':' || tf, ' ' order by term_id) as terms from fc join v using (term) group by doc_id")
+def stm_input_lists(spark, d):
+    docs, _ = dtm.stm_input(_frequent(spark, d))
+    return docs.select("doc_id", F.array_join(F.transform("terms", lambda t: F.concat_ws(":", t["term_id"].cast("string"), t["tf"].cast("string"))), " ").alias("terms"))
+
+
+def _langs(spark, d):
+    return _t(spark, d, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "lang")
+
+
+def _beta(spark, d):
+    c = _frequent(spark, d).join(_langs(spark, d), "doc_id").groupBy(F.col("lang").alias("topic"), "term").agg(F.sum("tf").alias("tf"))
+    n = c.groupBy("topic").agg(F.sum("tf").alias("n"))
+    return c.join(n, "topic").select("topic", "term", (F.col("tf") / F.col("n")).alias("prob"))
+
+
+def _theta(spark, d):
+    s = _frequent(spark, d).join(_beta(spark, d), "term").groupBy("doc_id", "topic").agg(F.sum(F.col("tf") * F.col("prob")).alias("s"))
+    total = s.groupBy("doc_id").agg(F.sum("s").alias("total"))
+    every = total.select("doc_id", "total", F.explode(F.array(*map(F.lit, LANGS))).alias("topic"))
+    return every.join(s, ["doc_id", "topic"], "left").select("doc_id", "topic", F.round(F.coalesce("s", F.lit(0.0)) / F.col("total"), 9).alias("prop"))
+
+
+BETA = FREQ + ", lc as (select lang as topic, term, sum(tf) as tf from fc join lang using (doc_id) group by all), beta as (select topic, term, tf / sum(tf) over (partition by topic) as prob from lc)"
+SCORED = BETA + """, b1 as (select *, round(prob / sum(prob) over (partition by term), 9) as exclusive, round(prob, 9) as common from beta),
+b2 as (select *, cume_dist() over (partition by topic order by exclusive) as e, cume_dist() over (partition by topic order by common) as f from b1),
+scored as (select topic, term, prob, round(1 / (0.5 / e + 0.5 / f), 6) as frex, round(prob / avg(prob) over (partition by term), 6) as lift, round(prob * (ln(greatest(prob, 1e-12)) - avg(ln(greatest(prob, 1e-12))) over (partition by term)), 9) as score from b2)"""
+THETA = BETA + f""", sc as (select doc_id, topic, sum(tf * prob) as s from fc join beta using (term) group by all), tt as (select doc_id, sum(s) as total from sc group by doc_id),
+ev as (select doc_id, total, unnest({LANGS}) as topic from tt), theta as (select doc_id, topic, round(coalesce(s, 0) / total, 9) as prop from ev left join sc using (doc_id, topic))"""
+
+
+def _scored(spark, d):
+    return topics.label_scores(_beta(spark, d))
+
+
+def _labels(by):
+    expr = f"round({by}, 9)"
+
+    def f(spark, d):
+        return topics.top_words(_scored(spark, d).withColumn(by, F.round(by, 9)), by)
+
+    f.__name__ = f"topic_labels_{by}"
+    return query(f"with {SCORED} select topic, rank::int as rank, term from (select *, row_number() over (partition by topic order by {expr} desc, term) as rank from scored) where rank <= 7")(f)
+
+
+for _by in ("prob", "frex", "lift", "score"):
+    _labels(_by)
+
+
+@query(f"with {THETA} select topic, round(avg(prop), 6) as mean_prop from theta group by topic")
+def topic_mean_share(spark, d):
+    return topics.mean_share(_theta(spark, d))
+
+
+@query(f"with {THETA}, m as (select doc_id, topic from (select *, row_number() over (partition by doc_id order by prop desc, topic) as r from theta) where r = 1), n as (select topic, count(*) as n_docs from m group by topic) select topic, n_docs, round(100.0 * n_docs / sum(n_docs) over (), 4) as pct from n")
+def dominant_topic_distribution(spark, d):
+    return topics.dominant(_theta(spark, d))
+
+
+@query(f"with {THETA}, m as (select topic, round(avg(prop), 6) as p from theta group by topic), r as (select *, row_number() over (order by p desc, topic) as r from m), x as (select round(sum(p) filter (where r <= 3), 6) as top3_share, round(max(p) / min(p), 4) as balance from r) select *, balance < 5 as is_balanced from x")
+def topic_concentration(spark, d):
+    return topics.concentration(_theta(spark, d))
+
+
+@query(f"with {THETA} select a.topic as topic_i, b.topic as topic_j, round(corr(a.prop, b.prop), 6) as corr, round(corr(a.prop, b.prop), 6) > 0.01 as linked from theta a join theta b using (doc_id) where a.topic < b.topic group by all")
+def topic_correlation(spark, d):
+    return topics.correlations(_theta(spark, d))
+
+
+@query(f"with {THETA} select topic, rank::int as rank, doc_id from (select *, row_number() over (partition by topic order by prop desc, doc_id) as rank from theta) where rank <= 2")
+def representative_documents(spark, d):
+    return topics.representative(_theta(spark, d))
+
+
+@query(f"with {THETA}, w as (select doc_id, " + ", ".join(f"max(prop) filter (where topic = '{x}') as {x}" for x in LANGS) + " from theta group by doc_id) select w.*, quality, toxic from w left join (select doc_id::varchar as doc_id, quality, toxic from labels) using (doc_id)")
+def doc_topic_wide(spark, d):
+    return corpus.left_join_metadata(topics.wide(_theta(spark, d), LANGS), _t(spark, d, "labels").withColumn("doc_id", F.col("doc_id").cast("string")))
+
+
+TOP10 = SCORED + ", tw as (select topic, rank, term from (select *, row_number() over (partition by topic order by round(prob, 9) desc, term) as rank from scored) where rank <= 10)"
+
+
+@query(f"""with {TOP10}, h as (select topic, rank, doc_id from fc join tw using (term)), dd as (select topic, rank, count(*) as d from h group by all),
+p as (select x.topic, x.rank as i, y.rank as j from tw x join tw y on x.topic = y.topic and x.rank > y.rank),
+b as (select x.topic, x.rank as i, y.rank as j, count(*) as c from h x join h y on x.topic = y.topic and x.doc_id = y.doc_id and x.rank > y.rank group by all)
+select p.topic, round(sum(ln((coalesce(c, 0) + 1) / d)), 6) as coherence from p left join b using (topic, i, j) join dd on dd.topic = p.topic and dd.rank = p.j group by p.topic""")
+def semantic_coherence(spark, d):
+    words = topics.top_words(_scored(spark, d).withColumn("prob", F.round("prob", 9)), "prob", 10)
+    return topics.coherence(_frequent(spark, d), words)
+
+
+@query(f"with {TOP10} select topic, round(sum(frex), 5) as exclusivity from tw join scored using (topic, term) group by topic")
+def exclusivity(spark, d):
+    return topics.exclusivity(_scored(spark, d))
+
+
+def _metrics(spark, d):
+    m = _t(spark, d, "events").groupBy((F.col("event_id") % 7 + 2).cast("int").alias("k"))
+    return m.agg(F.round(F.avg("value"), 6).alias("heldout"), F.round(F.max("value"), 6).alias("semcoh"), F.count("*").cast("double").alias("exclusivity"))
+
+
+LONG = "with m as (select (event_id % 7 + 2)::int as k, round(avg(value), 6) as heldout, round(max(value), 6) as semcoh, count(*)::double as exclusivity from events group by 1), x as (" + " union all ".join(f"select k, '{c}' as metric, {c} as value from m" for c in METRICS) + ")"
+
+
+@query(f"{LONG} select k, metric, value, round(case when max(value) over w > min(value) over w then (value - min(value) over w) / (max(value) over w - min(value) over w) else 0.0 end, 6) as scaled from x window w as (partition by metric)")
+def metric_normalize_melt(spark, d):
+    return topics.normalize_metrics(_metrics(spark, d), METRICS)
+
+
+@query(f"{LONG} select metric, round(avg(value), 6) as mean, round(stddev_samp(value), 6) as sd, round(min(value), 6) as min, round(max(value), 6) as max from x group by metric")
+def metric_summary(spark, d):
+    return topics.metric_summary(_metrics(spark, d), METRICS)
+
+
+@query(f"{LONG} select metric, round(corr(k, value), 6) as corr_k, round(corr(k, value), 6) > 0 as rises from x group by metric")
+def metric_trend(spark, d):
+    return topics.metric_trend(_metrics(spark, d), METRICS)
+
+
+@query(f"{LONG} select metric, k as best_k, metric = 'heldout' as decides from (select *, row_number() over (partition by metric order by value desc, k) as r from x) where r = 1")
+def best_k(spark, d):
+    return topics.best_k(_metrics(spark, d), METRICS)
+
+
+@query()
+def stm_fit(spark, d):
+    docs, vocab = dtm.stm_input(_frequent(spark, d, 100))
+    return stm.theta(stm.fit(docs, vocab, 5, max_em=5), docs)
+
+
+@query()
+def search_k(spark, d):
+    docs, vocab = dtm.stm_input(_frequent(spark, d, 200))
+    return stm.search_k(docs, vocab, [2, 3], max_em=2)
+
+
+@query()
+def covariate_effects(spark, d):
+    ship_package(spark)
+    docs, vocab = dtm.stm_input(_frequent(spark, d, 100))
+    meta = _langs(spark, d)
+    t = stm.theta(stm.fit(docs, vocab, 4, meta, ["lang"], max_em=4), docs, meta, ["lang"])
+    return spark.createDataFrame(stm.effects(t, meta, ["lang"]))
