@@ -13,7 +13,7 @@ from noria.llm.common import Scratch
 from noria.llm.embedding_dedup import usable
 
 #: Rows of a tree, entries of a node, queries of a block.
-SHARD, PAGE, QUERIES = 8192, 64, 256
+SHARD, PAGE, QUERIES = 8192, 256, 256
 
 
 class MTree:
