@@ -142,12 +142,12 @@ def prefix_tree(conversations: DataFrame, conv_col: str = "conv_id", turn_col: s
     dealt = rows.repartition("conv").sortWithinPartitions("conv", "turn", "role", "text").select("conv", "role", "text")
     turns = scratch.cut(dealt.mapInArrow(_steps(tokenizer_path), _SCHEMA), "turns")
     distinct = turns.where("path is not null").groupBy("path", "node").agg(F.min("conv_id").alias("conv_id"), F.lit(1).cast("long").alias("one"))
-    ranked = running(distinct, ["path"], "one", scratch, "ordered").select("node", "conv_id", F.col("run").alias("branch"))
+    ranked = running(distinct, ["path"], "one", scratch, "ordered", cheap=True).select("node", "conv_id", F.col("run").alias("branch"))
     passed = turns.select("conv_id", "node", "depth", "length", "position").join(ranked.select("conv_id", "branch"), "conv_id")
     least = [F.min(c).alias(c) for c in ("branch", "depth", "length", "position")]
     owned = scratch.cut(passed.groupBy("node").agg(*least, F.count("*").alias("passing")), "owned")
     totals = owned.groupBy("branch").agg(F.sum("length").alias("total"), F.min("position").alias("origin"), F.min("depth").alias("first"), F.max("depth").alias("last"))
-    begun = running(totals, ["branch"], "total", scratch, "begun").withColumnRenamed("run", "begin")
+    begun = running(totals, ["branch"], "total", scratch, "begun", cheap=True).withColumnRenamed("run", "begin")
     shared = passed.join(owned.where("passing > 1").select("node", F.col("branch").alias("owner")), "node").where("owner <> branch")
     left = shared.groupBy("branch", "owner").agg(F.min("depth").alias("first"), F.max("depth").alias("last"), F.min("position").alias("low"), F.max(F.col("position") + F.col("length")).alias("high"))
     at = begun.select(F.col("branch").alias("owner"), (F.col("begin") - F.col("origin")).alias("shift"))

@@ -213,12 +213,13 @@ def own(columns: list[str], *names: str) -> dict[str, str]:
     return out
 
 
-def running(df: DataFrame, order: list[str], weight: str, scratch: Scratch, name: str) -> DataFrame:
+def running(df: DataFrame, order: list[str], weight: str, scratch: Scratch, name: str, cheap: bool = False) -> DataFrame:
     """df with `run`: the sum of `weight` over the rows before, in a total order.
 
     Rows are dealt out by ranges of `order` and summed within each partition; the
     partitions' totals, one number each, are summed by the driver.  No partition
-    holds more than its range.
+    holds more than its range.  cheap: df is quick to compute again, as it is once for
+    the ranges and once for the sums; else it is written first.
     """
     fields = df.schema
 
@@ -233,8 +234,7 @@ def running(df: DataFrame, order: list[str], weight: str, scratch: Scratch, name
 
     spark = df.sparkSession
     schema = T.StructType([*fields.fields, T.StructField("run", T.LongType()), T.StructField("pid", T.IntegerType())])
-    # sampled for the ranges and read again: from a table, so that both see the same rows
-    cut = scratch.cut(df, name + "-in")
+    cut = df if cheap else scratch.cut(df, name + "-in")
     out = scratch.cut(cut.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(sums, schema), name)
     totals = sorted(tuple(r) for r in out.groupBy("pid").agg(F.max(F.col("run") + F.col(weight))).collect())
     starts = np.cumsum([0, *(t for _, t in totals)]).tolist()
