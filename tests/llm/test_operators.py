@@ -137,6 +137,33 @@ def test_chat_round_trip(spark):
     assert got[2]["turns_sha256"] == hashlib.sha256(b"user\nhi\nassistant\nb<\n").hexdigest() and got[3]["n_turns"] == 1
 
 
+def test_chat_tree_against_brute_force(spark):
+    """Copies, prefixes of others, shared first turns and one long conversation: intervals give back every prefix."""
+    rng, convs = np.random.default_rng(5), {}
+    for c in range(60):
+        convs[c] = [("user" if t % 2 == 0 else "assistant", "abc"[int(rng.integers(0, 2 + t % 2))] * (t + 1)) for t in range(int(rng.integers(1, 7)))]
+    convs |= {60: convs[3], 61: convs[3], 62: convs[4] + [("user", "<|im_end|>")], 63: [("user", f"{t}") for t in range(900)]}
+    rows = [(c, t, *x) for c, turns in convs.items() for t, x in enumerate(turns)]
+    nodes, leaves = chat.prefix_tree(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    n = sorted(nodes.collect(), key=lambda r: r["start"])
+    prefixes = {tuple(turns[: k + 1]) for turns in convs.values() for k in range(len(turns))}
+    sequence = "".join(r["chunk"] for r in n)
+    assert len(n) == len(prefixes) and len({r["node"] for r in n}) == len(n)
+    assert [r["start"] for r in n] == list(np.cumsum([0, *(r["length"] for r in n)])[:-1])
+    read = ["".join(sequence[a["start"] : a["end"]] for a in r["ancestors"]) + r["chunk"] for r in n]
+    assert sorted(read) == sorted("".join(chat.format_turn(*x)[0] for x in p) for p in prefixes)
+    assert all(r["position"] == len(x) - r["length"] for r, x in zip(n, read, strict=True))
+    depths = [r["depth"] for r in n]
+    assert all(b <= a + 1 for a, b in zip(depths, depths[1:], strict=False)) and depths[0] == 0
+    spans = {r["conv_id"]: r["spans"] for r in leaves.collect()}
+    assert {c: "".join(sequence[x["start"] : x["end"]] for x in s) for c, s in spans.items()} == {c: "".join(chat.format_turn(*x)[0] for x in turns) for c, turns in convs.items()}
+    assert len(spans[63]) == 1
+    for r in chat.read_back(nodes, leaves).collect():
+        turns = convs[r["conv_id"]]
+        assert r["n_turns"] == len(turns) and r["turns_sha256"] == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in turns).encode()).hexdigest()
+        assert r["loss_sha256"] == hashlib.sha256("".join(b for a, b in turns if a == "assistant").encode()).hexdigest()
+
+
 @pytest.mark.parametrize("compress", [True, False])
 def test_warc_salvage(compress):
     made = [warc.record("response", "http://a/", str(i), b"x" * 50, hashlib.sha256(b"x" * 50).hexdigest(), 50) for i in range(4)]
