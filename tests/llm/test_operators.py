@@ -27,6 +27,15 @@ def test_line_dedup(spark):
     assert line_dedup.drop_boilerplate_lines(rows.limit(0)).count() == 0
 
 
+def test_line_dedup_takes_lines_of_one_to_five_percent_of_a_large_site(spark):
+    shares = {"one": 10, "two": 20, "five": 50, "rare": 4}
+    rows = [(i, "\n".join([f"body {i}", *(k for k, n in shares.items() if i < n)]), "en", "large", 0, "x") for i in range(1000)]
+    rows += [(2000 + i, f"text {i}" + "\nfew" * (i < 7), "en", "small", 0, "x") for i in range(40)]
+    got = {r["doc_id"]: (r["text"], r["n_dropped_lines"]) for r in line_dedup.drop_boilerplate_lines(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got[0] == ("body 0\nrare", 3) and got[15] == ("body 15", 2) and got[30] == ("body 30", 1) and got[60] == ("body 60", 0)
+    assert got[2000] == ("text 0\nfew", 0)
+
+
 def test_packing_is_an_exact_partition(spark):
     texts = ["", None, "a  b\n c <|endoftext|>", "word " * 3000, "x", "x"]
     path = public_tokenizers.path("byte_bpe_50k.json")
