@@ -16,10 +16,12 @@ BUCKETS, DIM, FILTERS, WIDTHS = 1 << 18, 8, 8, (1, 2, 3)
 #: Bytes of a word's two prefixes; with the word itself they make its embedding.
 PREFIXES = (4, 6)
 PARTS = 1 + len(PREFIXES)
-#: Labelled documents of each class that training takes at most, and the words of each.
+#: Labelled documents of each class that the fit takes at most, and the words of each.
 SAMPLE, SAMPLE_WORDS = 4000, 4096
 #: A bucket met in fewer training documents has no embedding.
 MIN_DOCS = 5
+#: Bins a unit of log odds has in the histograms that calibrate, and their ends.
+BINS, LEAST, MOST = 256, -32 * 256, 32 * 256 - 1
 #: Labelled documents of each class a language needs for a threshold of its own.
 MIN_LANGUAGE = 20
 
@@ -148,18 +150,25 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, epochs: int = 6, least_step
     return model
 
 
-def calibrate(model: Model, z: np.ndarray, labels: np.ndarray, langs: list) -> None:
-    """Platt scaling on documents the fit has not seen, then the threshold of best F1 for each language."""
-    pos, neg = int(labels.sum()), int(len(labels) - labels.sum())
+def calibrate(model: Model, z: np.ndarray, labels: np.ndarray, langs: list, counts: np.ndarray | None = None, fitted: tuple[int, int] = (0, 0)) -> None:
+    """Platt scaling on documents the fit has not seen, then the threshold of best F1 for each language.
+
+    counts: documents of each (z, label, language), 1 where it is missing.  fitted: clean
+    and toxic documents that the fit took; with them, the classes weigh as in all labels.
+    """
+    counts = np.ones(len(z)) if counts is None else counts
+    pos, neg = float(counts[labels > 0].sum()), float(counts[labels == 0].sum())
     if not pos or not neg:
         return
+    share = (pos + fitted[1]) / (pos + neg + sum(fitted))
+    weight = counts * np.where(labels > 0, share / pos, (1 - share) / neg) * (pos + neg)
     target = np.where(labels > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
     w = np.array([1.0, 0.0])
     x = np.stack([z, np.ones_like(z)], axis=1).astype(np.float64)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        move = np.linalg.solve(h, x.T @ (p - target) + 1e-3 * (w - [1.0, 0.0]))
+        h = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        move = np.linalg.solve(h, x.T @ (weight * (p - target)) + 1e-3 * (w - [1.0, 0.0]))
         w = w - np.clip(move, -1, 1)
         if np.abs(move).max() < 1e-9:
             break
@@ -167,11 +176,11 @@ def calibrate(model: Model, z: np.ndarray, labels: np.ndarray, langs: list) -> N
     p = probability(model, z)
     for lang in sorted({x for x in langs if x is not None}):
         mine = np.array([x == lang for x in langs])
-        y, s = labels[mine], p[mine]
-        if y.sum() < MIN_LANGUAGE or (1 - y).sum() < MIN_LANGUAGE:
+        y, s, w = labels[mine], p[mine], weight[mine]
+        if counts[mine][y > 0].sum() < MIN_LANGUAGE or counts[mine][y == 0].sum() < MIN_LANGUAGE:
             continue
         grid = np.round(np.arange(0.2, 0.85, 0.05), 2)
-        f1 = [2 * ((s >= t) & (y > 0)).sum() / max(1, (s >= t).sum() + y.sum()) for t in grid]
+        f1 = [2 * w[(s >= t) & (y > 0)].sum() / (w[s >= t].sum() + w[y > 0].sum()) for t in grid]
         best = np.flatnonzero(np.array(f1) >= max(f1) - 1e-12)
         model.thresholds[lang] = float(grid[best[np.abs(grid[best] - 0.5).argmin()]])
 
@@ -186,37 +195,52 @@ def _gather(batches):
             buckets, rows = word_buckets(texts)
             parts = [buckets[a : min(b, a + SAMPLE_WORDS)].ravel().astype(np.uint64) for a, b in zip(rows[:-1], rows[1:], strict=True)]
             rest = [c.slice(lo, len(texts)) for i, c in enumerate(batch.columns) if i != 1]
-            yield pa.RecordBatch.from_arrays([*rest, longs(parts).cast(pa.list_(pa.int32()))], ["id", "y", "lang", "fold", "words"])
+            yield pa.RecordBatch.from_arrays([*rest, longs(parts).cast(pa.list_(pa.int32()))], ["id", "y", "words"])
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic", sample: int = SAMPLE) -> Model:
     """A model from labelled rows for which `learn` (over labels) holds.
 
-    Takes at most `sample` rows of each class, those with the least hash of their id,
-    and SAMPLE_WORDS words of each; a fifth of them calibrates.  Rows with a null
-    label or id teach nothing.  Languages choose a threshold, never a score.
+    A fifth of them is never fitted on.  The fit takes of the others at most `sample`
+    rows of each class, those with the least hash of their id, and SAMPLE_WORDS words
+    of each.  All labelled rows that it did not take calibrate, scored in Spark over
+    their whole texts and counted by language, label and log odds; the classes weigh
+    as in all labels, so the prior is the same at every size.  Rows with a null label
+    or id teach nothing.  Languages choose a threshold, never a score.
     """
-    Scratch(docs.sparkSession)
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     rows = labels.where(learn & F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).distinct()
-    order = F.xxhash64("id", F.lit(3))
-    picked = rows.where("y = 1").orderBy(order, "id").limit(sample).unionAll(rows.where("y = 0").orderBy(order, "id").limit(sample))
+    order, mine = F.xxhash64("id", F.lit(3)), rows.where(F.pmod(F.xxhash64("id", F.lit(4)), F.lit(5)) != 0)
+    picked = scratch.cut(mine.where("y = 1").orderBy(order, "id").limit(sample).unionAll(mine.where("y = 0").orderBy(order, "id").limit(sample)), "picked")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     # at most 2 * sample rows of two numbers
-    joined = texts.join(F.broadcast(picked), "id").select("id", "text", "y", "lang", F.pmod(F.xxhash64("id", F.lit(4)), F.lit(5)).alias("fold"))
-    got = joined.mapInArrow(_gather, "id long, y int, lang string, fold long, words array<int>").toArrow().sort_by("id")
+    joined = texts.join(F.broadcast(picked), "id").select("id", "text", "y")
+    got = joined.mapInArrow(_gather, "id long, y int, words array<int>").toArrow().sort_by("id")
     flat, at = got.column("words").combine_chunks(), None
     at = np.asarray(flat.offsets)
     values = np.asarray(flat.values)
     words = [values[a:b].reshape(-1, PARTS) for a, b in zip(at[:-1], at[1:], strict=True)]
-    y, fold, langs = np.asarray(got.column("y")).astype(np.float64), np.asarray(got.column("fold")), got.column("lang").to_pylist()
-    fit_on, test = np.flatnonzero(fold != 0), np.flatnonzero(fold == 0)
-    model = fit([words[i] for i in fit_on], y[fit_on])
-    if len(test):
-        z = np.concatenate([logits(model, words[i], np.array([0, len(words[i])])) for i in test])
-        calibrate(model, z, y[test], [langs[i] for i in test])
+    y = np.asarray(got.column("y")).astype(np.float64)
+    model = fit(words, y)
+    kept_out = rows.join(F.broadcast(picked.select("id")), "id", "left_anti")
+    # scored before the join, so texts are not shuffled
+    scored = texts.where("id is not null").mapInArrow(_log_odds(spark.sparkContext.broadcast(model)), "id long, lang string, bin int")
+    seen = scored.join(kept_out, "id").groupBy("lang", "y", "bin").agg(F.count("*").alias("n")).orderBy("lang", "y", "bin").toPandas()
+    z, counts = (seen["bin"].to_numpy(np.float64) + 0.5) / BINS, seen["n"].to_numpy(np.float64)
+    calibrate(model, z, seen["y"].to_numpy(np.float64), [x if isinstance(x, str) else None for x in seen["lang"]], counts, (int((y == 0).sum()), int(y.sum())))
     return model
 
 
+def _log_odds(sent):
+    def run(batches):
+        for batch in batches:
+            for lo, texts in slices(batch.column(1)):
+                z = np.clip(np.floor(logits(sent.value, *word_buckets(texts)).astype(np.float64) * BINS), LEAST, MOST)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, len(texts)), batch.column(2).slice(lo, len(texts)), pa.array(z.astype(np.int32))], ["id", "lang", "bin"])
+
+    return run
+
+
 def score(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang", out: str = "toxicity", threshold_col: str = "toxicity_threshold") -> DataFrame:
     """`docs` with the columns out (probability that the whole text is toxic) and threshold_col.
 

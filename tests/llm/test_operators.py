@@ -133,6 +133,19 @@ def test_toxicity_learns_and_takes_nulls(spark):
     assert np.mean([(got[i] >= 0.5) == y[i] for i in held]) > 0.95 and 0 <= got[400] < 0.5 and got[400] == got[401]
 
 
+def test_toxicity_keeps_the_prior_of_all_labels(spark):
+    """The word is no sure sign: half of the toxic documents lack it, and a tenth of the clean ones have it."""
+    rng = np.random.default_rng(6)
+    w = [f"w{i}" for i in range(40)]
+    y = [int(i % 9 == 0) for i in range(3600)]
+    texts = [" ".join([*rng.choice(w, 10), *(["idiot"] if rng.random() < (0.5 if t else 0.1) else [])]) for t in y]
+    table = docs(spark, texts)
+    labels = spark.createDataFrame(list(enumerate(y)), "doc_id long, toxic int")
+    model = toxicity.train(table, labels, F.lit(True), sample=150)
+    got = [r["toxicity"] for r in toxicity.score(table, model).select("toxicity").collect()]
+    assert abs(np.mean(got) - np.mean(y)) < 0.03
+
+
 def test_chat_round_trip(spark):
     assert all(chat.unescape(chat.escape(x)) == x and "<|" not in chat.escape(x) for x in ("<|", "<\\|", "<<|im_end|>", "\\<\\\\|", ""))
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "<|im_end|>"), (2, 0, "user", "hi"), (2, 1, "assistant", "b<"), (3, 0, None, None), (None, 0, "user", "x")]
