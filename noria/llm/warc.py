@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import base64
+import binascii
 import hashlib
 import zlib
 from datetime import UTC, datetime
@@ -44,6 +46,26 @@ class BadRecord(ValueError):
     pass
 
 
+def differs(said: str, data: bytes) -> bool:
+    """Whether a digest "algorithm:value" in hex, base32 or base64 is not that of `data`; False if it cannot be told."""
+    name, sep, value = said.partition(":")
+    name, value = name.strip().lower().replace("-", ""), value.strip()
+    if not sep or name not in ("md5", "sha1", "sha224", "sha256", "sha384", "sha512"):
+        return False
+    is_ = hashlib.new(name, data, usedforsecurity=False).digest()
+    bare, n = value.rstrip("="), len(is_)
+    try:
+        if len(bare) == 2 * n:
+            return bytes.fromhex(bare) != is_
+        if len(bare) == -(-8 * n // 5):
+            return base64.b32decode(bare.upper() + "=" * (-len(bare) % 8)) != is_
+        if len(bare) == -(-4 * n // 3):
+            return base64.b64decode(bare.replace("-", "+").replace("_", "/") + "=" * (-len(bare) % 4), validate=True) != is_
+    except (ValueError, binascii.Error):
+        return True
+    return False
+
+
 def parse_record(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
     """Headers, block and end of the record at `at`; BadRecord if any check fails."""
     line = data.find(b"\r\n", at, at + 64)
@@ -64,8 +86,7 @@ def parse_record(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
     if data[end : end + 4] != b"\r\n\r\n":
         raise BadRecord("the block does not end where it should")
     block = data[begin:end]
-    said = headers.get("warc-block-digest", "")
-    if said.startswith("sha256:") and hashlib.sha256(block).hexdigest() != said[7:]:
+    if differs(headers.get("warc-block-digest", ""), block):
         raise BadRecord("the block's digest differs")
     return headers, block, end + 4
 
@@ -81,12 +102,34 @@ def _member_end(data: bytes, at: int) -> tuple[bytes, int]:
     return out, len(data) - len(z.unused_data)
 
 
+def _inside(inner: bytes, start: int, end: int):
+    """What an inflated member holds, in the form of salvage."""
+    pos, good = 0, True
+    while pos < len(inner):
+        try:
+            headers, block, pos = parse_record(inner, pos)
+        except BadRecord as e:
+            if good:
+                yield "gap", start, end, str(e), b""
+            good, pos = False, inner.find(b"WARC/1.", pos + 1)
+            if pos < 0:
+                return
+            continue
+        good = True
+        yield "record", start, end, headers, block
+
+
 def salvage(data: bytes):
     """Yields ("record", start, end, headers, block) and ("gap", start, end, reason, b"") over a whole archive.
 
     Members of gzip and plain records may follow each other.  Where a check fails, the
     bytes up to the next place at which a valid member or record starts are a gap.
     Every byte is in exactly one record or gap.
+
+    A member that inflates but holds a bad record keeps its other records, from the
+    next version line in its inflated bytes on; each bad stretch is a gap of its own
+    with the member's start and end, as its records have.  A member that does not
+    inflate to its end is a gap as a whole.
     """
     at, gap, why = 0, None, ""
     while at < len(data):
@@ -94,12 +137,12 @@ def salvage(data: bytes):
         try:
             if data.startswith(GZIP, at):
                 inner, end = _member_end(data, at)
-                pos = 0
-                while pos < len(inner):
-                    headers, block, pos = parse_record(inner, pos)
-                    found.append(("record", at, end, headers, block))
-                if not found:
-                    raise BadRecord("an empty member")
+                found = list(_inside(inner, at, end))
+                if not any(f[0] == "record" for f in found):
+                    if gap is None:
+                        gap, why = at, found[0][3] if found else "an empty member"
+                    at = end
+                    continue
             else:
                 headers, block, end = parse_record(data, at)
                 found.append(("record", at, end, headers, block))
@@ -178,6 +221,22 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     return joined.select("page_id", "url", "html", "digest", refers.alias("refers_to")).mapInArrow(_write(folder, compress, archive_bytes), "path string, bytes long, records long")
 
 
+def _payload(headers: dict[str, str], block: bytes) -> tuple[bytes | None, bool]:
+    """What a record's row gives as its payload, and whether it contradicts the payload's digest.
+
+    The body of an HTTP response, nothing of a revisit, and the block of every other
+    record.  The digest of an HTTP message is its body's.  It is not compared where the
+    record holds a segment of the payload only, or a body in a transfer coding.
+    """
+    kind = headers["warc-type"].lower()
+    if kind == "revisit":
+        return None, False
+    http = kind in ("response", "request") and (headers.get("content-type", "").lower().startswith("application/http") or block.startswith(b"HTTP/"))
+    head, _, body = block.partition(b"\r\n\r\n") if http else (b"", b"", block)
+    able = "warc-segment-number" not in headers and b"\r\ntransfer-encoding:" not in head.lower()
+    return body if kind == "response" else block, able and differs(headers.get("warc-payload-digest", ""), body)
+
+
 def _read(batches):
     for batch in batches:
         for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -186,9 +245,9 @@ def _read(batches):
                 if kind == "gap":
                     rows.append((path, kind, start, end, what, None, None, None, None, None, None, None))
                     continue
-                payload = block.partition(b"\r\n\r\n")[2] if what["warc-type"] == "response" else None
+                payload, wrong = _payload(what, block)
                 digest = what.get("warc-payload-digest", "").removeprefix("sha256:")
-                if payload is not None and digest and hashlib.sha256(payload).hexdigest() != digest:
+                if wrong:
                     rows.append((path, "gap", start, end, "the payload's digest differs", None, None, None, None, None, None, None))
                     continue
                 name = lambda x: x[10:-1] if x.startswith("<urn:page:") else x or None
@@ -213,7 +272,8 @@ def read_archives(archives: DataFrame) -> DataFrame:
     """archives(path, content) -> a row per record, and one per quarantined gap (kind "gap": path, start, end, reason).
 
     A record has record_id, url, record_type, refers_to, payload_digest, payload_bytes
-    and payload (null for a revisit).  Digests of blocks and payloads are checked.
+    and payload (see _payload; null for a revisit).  Digests of blocks and payloads are
+    checked by the algorithm and encoding they name; one of an unknown kind is not.
     """
     schema = "path string, kind string, start long, end long, reason string, record_id string, url string, record_type string, refers_to string, payload_digest string, payload_bytes long, payload binary"
     return archives.select("path", "content").mapInArrow(_read, schema)

@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import re
 import zlib
@@ -198,6 +199,33 @@ def test_warc_salvage(compress):
     assert sorted({(f[1], f[2]) for f in found})[0][0] == 0 and sum(b - a for a, b in {(f[1], f[2]) for f in found}) == len(data)
 
 
+def _foreign(kind, block, i, *headers, mime="text/plain"):
+    head = [f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{i}>", f"Content-Type: {mime}", f"Content-Length: {len(block)}", *headers]
+    return ("WARC/1.0\r\n" + "\r\n".join(head) + "\r\n\r\n").encode() + block + b"\r\n\r\n"
+
+
+def test_warc_reads_archives_of_others(spark):
+    http, sha1, sha256 = b"HTTP/1.1 200 OK\r\n\r\nbody", hashlib.sha1(b"body"), hashlib.sha256(b"body")
+    b32 = base64.b32encode(sha1.digest()).decode()
+    said = [f"sha1:{b32}", f"sha1:{sha1.hexdigest()}", f"SHA-256:{sha256.hexdigest().upper()}", f"sha256:{base64.b32encode(sha256.digest()).decode()}", "odd:value", f"sha1:{base64.b32encode(b'x' * 20).decode()}"]
+    made = [_foreign("response", http, i, f"WARC-Payload-Digest: {d}", mime="application/http; msgtype=response") for i, d in enumerate(said)]
+    others = ["resource", "conversion", "request", "metadata", "warcinfo"]
+    made += [_foreign(k, f"block of {k}".encode(), k) for k in others]
+    made.append(_foreign("resource", b"x", "bad", f"WARC-Block-Digest: sha1:{b32}"))
+    rows = spark.createDataFrame([("a", bytearray(b"".join(made)))], "path string, content binary")
+    got = {r["record_id"]: r["payload"] and bytes(r["payload"]) for r in warc.read_archives(rows).where("kind = 'record'").collect()}
+    assert got == {f"<urn:uuid:{i}>": b"body" for i in range(5)} | {f"<urn:uuid:{k}>": f"block of {k}".encode() for k in others}
+
+
+def test_warc_member_keeps_what_is_good_around_a_bad_record():
+    made = [_foreign("resource", b"x" * 50, i) for i in range(4)]
+    made[1] = made[1].replace(b"Content-Length: 50", b"Content-Length: 49")
+    data = warc.member(b"".join(made)) + warc.member(made[1]) + warc.member(made[3])
+    found = list(warc.salvage(data))
+    assert [f[3]["warc-record-id"][10:-1] if f[0] == "record" else "gap" for f in found] == ["0", "gap", "2", "3", "gap", "3"]
+    assert sum(b - a for a, b in {(f[1], f[2]) for f in found}) == len(data)
+
+
 def test_warc_revisits(spark):
     pages = spark.createDataFrame([(5, "u", "p" * 200), (2, None, "p" * 200), (3, "u", "short"), (4, "u", "short"), (6, "u", None)], "page_id long, url string, html string")
     got = {int(r["record_id"]): (r["record_type"], r["refers_to"], r["payload_bytes"]) for r in warc.write_and_read(pages).collect()}
