@@ -16,8 +16,8 @@ BUCKETS, DIM, FILTERS, WIDTHS = 1 << 18, 8, 8, (1, 2, 3)
 #: Bytes of a word's two prefixes; with the word itself they make its embedding.
 PREFIXES = (4, 6)
 PARTS = 1 + len(PREFIXES)
-#: Labelled documents of each class that the fit takes at most, and the words of each.
-SAMPLE, SAMPLE_WORDS = 4000, 4096
+#: Labelled documents of each class that the fit takes at most, each of them whole.
+SAMPLE = 4000
 #: A bucket met in fewer training documents has no embedding.
 MIN_DOCS = 5
 #: Bins a unit of log odds has in the histograms that calibrate, and their ends.
@@ -193,7 +193,7 @@ def _gather(batches):
     for batch in batches:
         for lo, texts in slices(batch.column(1)):
             buckets, rows = word_buckets(texts)
-            parts = [buckets[a : min(b, a + SAMPLE_WORDS)].ravel().astype(np.uint64) for a, b in zip(rows[:-1], rows[1:], strict=True)]
+            parts = [buckets[a:b].ravel().astype(np.uint64) for a, b in zip(rows[:-1], rows[1:], strict=True)]
             rest = [c.slice(lo, len(texts)) for i, c in enumerate(batch.columns) if i != 1]
             yield pa.RecordBatch.from_arrays([*rest, longs(parts).cast(pa.list_(pa.int32()))], ["id", "y", "words"])
 
@@ -202,8 +202,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     """A model from labelled rows for which `learn` (over labels) holds.
 
     A fifth of them is never fitted on.  The fit takes of the others at most `sample`
-    rows of each class, those with the least hash of their id, and SAMPLE_WORDS words
-    of each.  All labelled rows that it did not take calibrate, scored in Spark over
+    rows of each class, those with the least hash of their id, and their whole texts,
+    which the driver holds (12 bytes a word).  All labelled rows that it did not take calibrate, scored in Spark over
     their whole texts and counted by language, label and log odds; the classes weigh
     as in all labels, so the prior is the same at every size.  Rows with a null label
     or id teach nothing.  Languages choose a threshold, never a score.

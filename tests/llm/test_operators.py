@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -147,6 +148,13 @@ def test_toxicity_keeps_the_prior_of_all_labels(spark):
     assert abs(np.mean(got) - np.mean(y)) < 0.03
 
 
+def test_toxicity_fits_on_whole_texts():
+    texts = pa.array([" ".join(f"w{i}" for i in range(6000)), "a b", None])
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), texts, pa.array([1, 0, 0], pa.int32())], ["id", "text", "y"])
+    got = [x for b in toxicity._gather([batch]) for x in b.column("words").to_pylist()]
+    assert [len(x) for x in got] == [6000 * toxicity.PARTS, 2 * toxicity.PARTS, 0]
+
+
 def test_chat_round_trip(spark):
     assert all(chat.unescape(chat.escape(x)) == x and "<|" not in chat.escape(x) for x in ("<|", "<\\|", "<<|im_end|>", "\\<\\\\|", ""))
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "<|im_end|>"), (2, 0, "user", "hi"), (2, 1, "assistant", "b<"), (3, 0, None, None), (None, 0, "user", "x")]
