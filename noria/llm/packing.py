@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,87 +20,103 @@ from noria.session import ship_package
 CAPACITY = 2048
 #: Lengths under this are not cut any further.
 LEAST_CUT = 64
-#: Words a worker remembers the ids of; more are tokenised again when met.
+#: Words a worker remembers the ids of, in two generations; older ones are tokenised again when met.
 CACHE_WORDS = 700_000
 
 OUT = "id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
+#: Texts with other white space than single spaces and line ends are cut with more care.
+_PAIRS = ("  ", " \n", "\n ", "\n\n")
+_OTHER = re.compile("[\x00-\x09\x0b-\x1f\x7f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_CUT = re.compile(r" (?!\s|\Z)")
+#: The characters of a part whose pieces are found here, and the pieces: those of byte-level BPE, for these characters.
+_LETTER = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_WORD = re.compile(f"[{_LETTER}]+")
+_PLAIN = re.compile(f"\n?[!-~{_LETTER}]*")
+_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[0-9]+| ?[!-/:-@\\[-`{{-~]+|[ \n]")
+
+
+def _letters() -> dict[int, str]:
+    """Byte -> the character that stands for it in a byte-level vocabulary."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+class _Known(dict):
+    """What `find` gives for each key that was asked for of late, in two generations of at most half of `most` each."""
+
+    def __init__(self, find, most: int):
+        super().__init__()
+        self.find, self.half, self.old = find, max(1, most // 2), {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.find(key)
+        if len(self) >= self.half:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
 
 class WordTokenizer:
     """Token ids of whole texts, as little-endian unsigned 32-bit bytes.
 
-    Byte-level BPE splits a text into pieces before it merges, and a space that
-    stands before anything but white space always begins a piece.  So a text is
-    cut at those spaces, each distinct word is tokenised once by the tokenizer and
-    remembered, and the ids of a text are those of its words in turn.  New words
-    are tokenised many to a call; a token that begins with a space begins a word.
+    Byte-level BPE splits a text into pieces before it merges.  A space that stands
+    before anything but white space always begins a piece, and so does a line end
+    between two characters that are no white space.  So a text is cut there, each
+    distinct part is tokenised once and remembered, and the ids of a text are those of
+    its parts in turn.  The pieces of a part of Latin letters and ASCII go to the
+    tokenizer's model as they are, all other parts through the whole tokenizer.  A text
+    that holds one of the tokenizer's added tokens is tokenised as a whole.
     """
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+    def __init__(self, source: str, cache_words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one core
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        vocabulary = self.tokenizer.get_vocab()
-        self.begins = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.begins[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
-        self.first: dict[str, bytes] = {}
-        self.inner: dict[str, bytes] = {}
-        self.most = cache_words
-
-    def _alone(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _after_space(self, words: list[str]) -> dict[str, bytes]:
-        plain = [w for w in words if w.split() == [w]]
-        out = {}
-        groups = [plain[i : i + 50] for i in range(0, len(plain), 50)]
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, dtype="<u4")
-            at = np.flatnonzero(self.begins[ids]).tolist()
-            if len(at) == len(group):
-                data = ids.tobytes()
-                out.update((w, data[4 * i : 4 * j]) for w, i, j in zip(group, at, [*at[1:], len(ids)], strict=True))
-        rest = [w for w in words if w not in out]
-        out.update(zip(rest, self._alone([" " + w for w in rest]), strict=True))
-        return out
-
-    def _keep(self, known: dict[str, bytes], new: dict[str, bytes]) -> None:
-        if len(known) + len(new) <= self.most:
-            known.update(new)
+        self.tokenizer = Tokenizer.from_str(source)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.byte = _letters()
+        self.first = _Known(lambda w: self._part(w, ""), cache_words // 8)
+        self.inner = _Known(lambda w: self._part(w, " "), cache_words)
+        self.marks = _Known(self._piece, 4096)
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
+
+    def _piece(self, text: str) -> bytes:
+        """Ids of a text that is one piece."""
+        shown = text if text.isascii() else text.encode().decode("latin-1")
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(shown.translate(self.byte))]).tobytes()
+
+    def _part(self, part: str, before: str) -> bytes:
+        """Ids of a part that begins with a line end, or that `before` comes before."""
+        if _WORD.fullmatch(part):
+            return self._piece(before + part)
+        text = part if part[:1] == "\n" else before + part
+        if _PLAIN.fullmatch(part):
+            return b"".join([self._piece(x) if len(x) > 4 else self.marks[x] for x in _PIECES.findall(text)])
+        return self._whole(text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [_words(t) for t in texts]
-        heads = {w[0] for w in split} - self.first.keys()
-        heads = dict(zip(heads, self._alone(list(heads)), strict=True)) if heads else {}
-        get = self.inner.get
-        found = [list(map(get, w)) for w in split]
-        lost = {w for ws, vs in zip(split, found, strict=True) if None in vs for w, v in zip(ws, vs, strict=True) if v is None}
-        new = self._after_space(list(lost)) if lost else {}
-        out = []
-        for ws, vs in zip(split, found, strict=True):
-            if None in vs:
-                vs = [new[w] if v is None else v for w, v in zip(ws, vs, strict=True)]
-            vs[0] = heads[ws[0]] if ws[0] in heads else self.first[ws[0]]
-            out.append(b"".join(vs))
-        self._keep(self.inner, new)
-        self._keep(self.first, heads)
+        out, first, inner = [], self.first, self.inner.__getitem__
+        for text in texts:
+            if any(a in text for a in self.added):
+                out.append(self._whole(text))
+                continue
+            head, *parts = split_parts(text)
+            out.append(first[head] + b"".join(map(inner, parts)))
         return out
 
 
-def _words(text: str) -> list[str]:
-    """The text cut at each space that stands before anything but white space."""
-    found = text.split(" ")
-    if all(w and not w[0].isspace() for w in found[1:]):
-        return found
-    out = [found[0]]
-    for w in found[1:]:
-        if w and not w[0].isspace():
-            out.append(w)
-        else:
-            out[-1] += " " + w
-    return out
+def split_parts(text: str) -> list[str]:
+    """A text's parts: the first, and those that a space comes before (left out) or that begin with a line end."""
+    if any(p in text for p in _PAIRS) or _OTHER.search(text):
+        return _CUT.split(text)
+    return text.replace("\n", " \n").split(" ")
 
 
 def cuts(n: int, capacity: int = CAPACITY, least: int = LEAST_CUT) -> list[int]:
@@ -159,7 +178,7 @@ class HarmonicPacker:
         return [y for b in bins for y in self._close(b)]
 
 
-_TOKENIZERS: dict[str, WordTokenizer] = {}
+_TOKENIZERS: dict[int, WordTokenizer] = {}
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = 1, with_ids: bool = False) -> DataFrame:
@@ -173,19 +192,23 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     Each task packs what it reads and shuffles nothing.  Sequence ids are
     partition * 2**32 + count, so a task that is run again gives the same rows.
     Memory is one open bin per class, a slice of text and the remembered words.
+    The vocabulary's file is read by the driver.
 
     Nulls: a null text is empty and gives one piece, the end id; a null id stays
     null.  Repeated rows are packed each.  An empty table gives no rows.
     """
     ship_package(docs.sparkSession)
+    source = docs.sparkSession.sparkContext.broadcast(Path(tokenizer_path).read_text(encoding="utf-8"))  # a vocabulary, of fixed size
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}" + OUT[len("id {id}") :] + (", ids array<int>" if with_ids else "")
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches):
-        words = _TOKENIZERS.get(tokenizer_path)
-        if words is None:
-            words = _TOKENIZERS[tokenizer_path] = WordTokenizer(tokenizer_path)
+        key = zlib.crc32(source.value.encode())
+        if key not in _TOKENIZERS:
+            _TOKENIZERS.clear()
+            _TOKENIZERS[key] = WordTokenizer(source.value)
+        words = _TOKENIZERS[key]
         packer, arrow = HarmonicPacker(TaskContext.get().partitionId() << 32, capacity), None
         for batch in batches:
             arrow = batch.schema.field(0).type

@@ -45,7 +45,6 @@ def test_packing_is_an_exact_partition(spark):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     for i, text in enumerate(texts):
         ids, at = np.array([*t.encode(text or "", add_special_tokens=False).ids, 1], "<u4"), 0
         for r in got[got.doc_id == i].sort_values("start").itertuples():
@@ -57,6 +56,21 @@ def test_packing_is_an_exact_partition(spark):
         assert list(g.offset) == list(np.cumsum([0, *g.length[:-1]])) and g.length.sum() <= 2048
 
 
+def test_packing_ids_equal_those_of_the_plain_tokenizer():
+    """Mixed white space, letters of many scripts, digits, contractions, control bytes and the added token."""
+    import random
+    from pathlib import Path
+
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain, rng = Tokenizer.from_file(path), random.Random(3)
+    bits = [*" \n\t\r", "  ", "\n\n", "\x1c", "\x85", "\xa0", "\u2003", "\u3000", *"aBéßﬁ中가1²½٣.,_-’×÷ªºµǅʰΩƛ", "!?", "'s", "'ll", "can't", "I'M", "x're5", "~~", "<|endoftext|>", "<|", "\x00", "😀", "e\u0301", "\u200b", "word", "Ñandú"]
+    texts = ["".join(rng.choices(bits, k=rng.randint(0, 14))) for _ in range(6000)]
+    words = packing.WordTokenizer(Path(path).read_text(encoding="utf-8"), cache_words=50)
+    assert words.encode(texts) == [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
 def test_mixing_fills_siblings_first(spark):
     leaves = spark.createDataFrame([("d", "a", "s", 10), ("d", "b", "s", 1000), ("e", "a", "s", 1000)], "domain string, lang string, source string, tokens long")
     got = {(r["domain"], r["lang"]): r["target_tokens"] for r in mixing.leaf_budgets(leaves, 0.5, 1, {}).collect()}

@@ -104,7 +104,6 @@ def test_mixture_takes_whole_documents_and_a_prefix_of_one_a_leaf(stages):
 
 def test_packing_holds_every_id_once(stages):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     pieces = defaultdict(list)
     for r in stages["packing"]:
         pieces[r["doc_id"]].append(r)
