@@ -6,15 +6,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from noria.llm.common import Scratch, running
 from noria.llm.components import connected_components
 
 #: Rows of a tile, and of the blocks that a pair of tiles is compared in.
-TILE, BLOCK = 4096, 1024
-#: Leading principal components that are accumulated first.
-LEAD = 12
-#: Slack of the bounds, far over the rounding of a double dot product.
+TILE, BLOCK = 8192, 1024
+#: Dimensions that are added at a time once the leading ones have left a pair.
+STEP = 12
+#: Leading axes that tiles are ordered by, and those whose ranges bound a tile or a block.
+ORDER_AXES, BOX_AXES = 4, 8
+#: What a pair that the leading dimensions leave costs, in leading dimensions of a pair.
+LEFT_COST = 1500
+#: Slack of the bounds in double precision, far over the rounding of a dot product.
 SLACK = 1e-9
 
 
@@ -56,63 +61,119 @@ def principal_axes(vectors: DataFrame, dim: int) -> tuple[np.ndarray, int]:
     return np.ascontiguousarray(axes[:, ::-1]), int(total[-1])
 
 
-def _first_coordinate(axes: np.ndarray):
+def reach(threshold: float) -> float:
+    """Unit vectors of a cosine of at least the threshold are no farther apart, on every axis and in all."""
+    return float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK
+
+
+def _placed(axes: np.ndarray, width: float):
+    """+ the cell of a grid over the first axes that a row is in, and its place on the first axis."""
+
     def run(batches):
+        base = 2 * int(np.ceil(1 / width)) + 3
         for batch in batches:
             x = _matrix(batch.column(2), len(axes)).astype(np.float64)
-            first = (x @ axes[:, 0]) / np.linalg.norm(x, axis=1)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(first)], ["rep", "copies", "embedding", "first"])
+            y = (x @ axes[:, :ORDER_AXES]) / np.linalg.norm(x, axis=1)[:, None]
+            cell = np.zeros(len(y), np.int64)
+            for j in range(y.shape[1]):
+                cell = cell * base + np.floor(y[:, j] / width).astype(np.int64) + base // 2
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(y[:, 0])], ["rep", "copies", "embedding", "cell", "first"])
 
     return run
 
 
-def _tiles(dim: int):
+def box_order(y: np.ndarray, most: int) -> np.ndarray:
+    """Row order in which each run of `most` rows lies in a small box: halves along the widest of the leading axes."""
+    out, todo = [], [np.arange(len(y))]
+    while todo:
+        rows = todo.pop()
+        if len(rows) <= most:
+            out.append(rows)
+            continue
+        z = y[rows, :BOX_AXES]
+        half = most * -(-len(rows) // (2 * most))
+        parts = np.argpartition(z[:, np.ptp(z, axis=0).argmax()], half - 1)
+        todo += [rows[parts[half:]], rows[parts[:half]]]
+    return np.concatenate(out) if out else np.zeros(0, np.int64)
+
+
+def _tiles(axes: np.ndarray):
+    dim = len(axes)
+
     def run(key, table):
         t = table.sort_by("rep")
         x = np.ascontiguousarray(_matrix(t.column("embedding").combine_chunks(), dim), dtype=np.float64)
+        y = (x @ axes[:, :BOX_AXES]) / np.linalg.norm(x, axis=1)[:, None]
+        order = box_order(y, BLOCK)
+        x, lo, hi = x[order], y.min(axis=0), y.max(axis=0)
         x32 = x.astype(np.float32)
         blob = x32.tobytes() if np.array_equal(x32.astype(np.float64), x) else x.tobytes()
-        first = np.asarray(t.column("first"))
-        return pa.table({"tile": [key[0].as_py()], "lo": [float(first.min())], "hi": [float(first.max())], "reps": [np.asarray(t.column("rep")).tobytes()], "copies": [np.asarray(t.column("copies")).tobytes()], "data": [blob]})
+        column = lambda c: np.asarray(t.column(c))[order].tobytes()
+        return pa.table({"tile": [key[0].as_py()], "lo": pa.array([lo]), "hi": pa.array([hi]), "reps": [column("rep")], "copies": [column("copies")], "data": [blob]})
 
     return run
 
 
-def _side(reps, copies, data, axes):
-    ids, counts = np.frombuffer(reps, np.int64), np.frombuffer(copies, np.int64)
-    kind = np.float32 if len(data) == 4 * len(ids) * len(axes) else np.float64
-    x = np.frombuffer(data, kind).reshape(len(ids), -1).astype(np.float64)
-    norm = np.sqrt(np.einsum("ij,ij->i", x, x))
-    y = (x / norm[:, None]) @ axes
-    k = min(LEAD, len(axes))
-    # leading dimensions, and the norm of all that follow: the product bounds the cosine
-    bound = np.hstack([y[:, :k], np.sqrt(np.einsum("ij,ij->i", y[:, k:], y[:, k:]))[:, None]])
-    return ids, counts, x, norm, y, bound
+class Side:
+    """A tile as it is compared: its vectors, turned to the axes, and the norms of what follows each dimension."""
+
+    def __init__(self, reps: bytes, copies: bytes, data: bytes, axes: np.ndarray):
+        self.ids, self.copies = np.frombuffer(reps, np.int64), np.frombuffer(copies, np.int64)
+        kind = np.float32 if len(data) == 4 * len(self.ids) * len(axes) else np.float64
+        self.x = np.frombuffer(data, kind).reshape(len(self.ids), -1).astype(np.float64)
+        self.norm = np.sqrt(np.einsum("ij,ij->i", self.x, self.x))
+        self.y = (self.x / self.norm[:, None]) @ axes
+        rest = np.sqrt(np.cumsum((self.y**2)[:, ::-1], axis=1)[:, ::-1])
+        self.rest = np.hstack([rest, np.zeros((len(rest), 1))])
+
+    def leading(self, k: int) -> np.ndarray:
+        """k dimensions and the norm of all that follow: a product of two such rows bounds the cosine."""
+        return np.hstack([self.y[:, :k], self.rest[:, k : k + 1]])
+
+    def boxes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Ranges of each block, on the leading axes and in the norm of the rest."""
+        z = self.leading(min(BOX_AXES, self.y.shape[1]))
+        parts = [z[i : i + BLOCK] for i in range(0, len(z), BLOCK)]
+        return np.array([p.min(axis=0) for p in parts]), np.array([p.max(axis=0) for p in parts])
+
+
+def leading_dimensions(a: Side, b: Side, threshold: float) -> int:
+    """How many dimensions to accumulate at first, which decides the cost only: fewer leave more pairs to go on with."""
+    dim, costs = a.y.shape[1], {}
+    some = lambda s, k: s.leading(k)[:: max(1, len(s.ids) // 256)]
+    for k in {*range(4, dim, 4), dim}:
+        costs[k] = k + LEFT_COST * float((some(a, k) @ some(b, k).T >= threshold).mean())
+    return min(costs, key=lambda k: (costs[k], k))
 
 
-def linked_pairs(a: tuple, b: tuple, threshold: float, same: bool):
+def linked_pairs(a: Side, b: Side, threshold: float, same: bool):
     """Index pairs of two sides whose cosine is at least the threshold (i < j where both are one tile)."""
-    ids_a, _, xa, na, ya, ba = a
-    ids_b, _, xb, nb, yb, bb = b
-    k = ba.shape[1] - 1
-    for i in range(0, len(ids_a), BLOCK):
-        for j in range(i if same else 0, len(ids_b), BLOCK):
-            p, q = np.nonzero(ba[i : i + BLOCK] @ bb[j : j + BLOCK].T >= threshold - SLACK)
+    dim, k = a.y.shape[1], leading_dimensions(a, b, threshold)
+    la, lb = a.leading(k).astype(np.float32), b.leading(k).astype(np.float32)
+    slack = (k + 8) * 2.0**-22 + SLACK  # over the rounding of k + 1 products of a sum below 1 in single precision
+    (alo, ahi), (blo, bhi), far = a.boxes(), b.boxes(), reach(threshold) ** 2 + SLACK
+    for i in range(0, len(a.ids), BLOCK):
+        gap = np.maximum(0, np.maximum(alo[i // BLOCK] - bhi, blo - ahi[i // BLOCK]))
+        near = (gap**2).sum(axis=1) <= far
+        for j in range(i if same else 0, len(b.ids), BLOCK):
+            if not near[j // BLOCK]:
+                continue
+            p, q = np.nonzero(la[i : i + BLOCK] @ lb[j : j + BLOCK].T >= np.float32(threshold - slack))
             p, q = p + i, q + j
             if same:
                 p, q = p[p < q], q[p < q]
             # further dimensions, a few at a time, with the norms that remain
             at = k
-            part = np.einsum("ij,ij->i", ya[p, :k], yb[q, :k]) if len(p) else np.zeros(0)
-            while at < ya.shape[1] and len(p):
-                to = min(at + LEAD, ya.shape[1])
-                part = part + np.einsum("ij,ij->i", ya[p, at:to], yb[q, at:to])
-                rest = np.sqrt(np.einsum("ij,ij->i", ya[p, to:], ya[p, to:]) * np.einsum("ij,ij->i", yb[q, to:], yb[q, to:]))
-                live = part + rest >= threshold - SLACK
+            part = np.einsum("ij,ij->i", a.y[p, :k], b.y[q, :k]) if len(p) else np.zeros(0)
+            while at < dim and len(p):
+                to = min(at + STEP, dim)
+                part = part + np.einsum("ij,ij->i", a.y[p, at:to], b.y[q, at:to])
+                live = part + a.rest[p, to] * b.rest[q, to] >= threshold - SLACK
                 p, q, part, at = p[live], q[live], part[live], to
-            if len(p):
-                exact = np.einsum("ij,ij->i", xa[p], xb[q]) / (na[p] * nb[q])
-                yield p[exact >= threshold], q[exact >= threshold]
+            for lo in range(0, len(p), 1 << 16):
+                r, s = p[lo : lo + (1 << 16)], q[lo : lo + (1 << 16)]
+                exact = np.einsum("ij,ij->i", a.x[r], b.x[s]) / (a.norm[r] * b.norm[s])
+                yield r[exact >= threshold], s[exact >= threshold]
 
 
 def _compare(axes: np.ndarray, threshold: float):
@@ -120,14 +181,14 @@ def _compare(axes: np.ndarray, threshold: float):
         for batch in batches:
             for r in batch.to_pylist():
                 same = r["a"] == r["b"]
-                a = _side(r["ra"], r["ca"], r["xa"], axes)
-                b = a if same else _side(r["rb"], r["cb"], r["xb"], axes)
-                m = len(a[0])
-                ids = a[0] if same else np.concatenate([a[0], b[0]])
+                a = Side(r["ra"], r["ca"], r["xa"], axes)
+                b = a if same else Side(r["rb"], r["cb"], r["xb"], axes)
+                m = len(a.ids)
+                ids = a.ids if same else np.concatenate([a.ids, b.ids])
                 links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
                 for p, q in linked_pairs(a, b, threshold, same):
-                    np.add.at(links, p, b[1][q])
-                    np.add.at(links, q if same else q + m, a[1][p])
+                    np.add.at(links, p, b.copies[q])
+                    np.add.at(links, q if same else q + m, a.copies[p])
                     _join(root, p, q if same else q + m)
                 hit = np.flatnonzero(links)
                 if len(hit):
@@ -159,11 +220,13 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col:
 
     Equal vectors are one class with a count.  The classes' unit vectors are turned
     to their principal axes (moments over all rows, summed by Spark), ordered by the
-    first, and cut into tiles of `tile` rows.  Two tiles are compared unless their
-    ranges on the first axis are too far apart.  A pair's cosine is accumulated
-    from the leading dimensions on, and given up when what is summed plus the product
-    of the norms of the remaining dimensions cannot reach the threshold; what is left
-    is decided by the cosine of the vectors themselves in double precision.
+    cells of a grid over the first axes, and cut into tiles of `tile` rows.  Two tiles,
+    and two blocks of 1,024 rows in them, are compared unless their ranges on the leading
+    axes are too far apart.  A pair's cosine is accumulated from the leading dimensions
+    on, first of whole blocks in single precision (with slack over its rounding), and
+    given up when what is summed plus the product of the norms of the remaining
+    dimensions cannot reach the threshold; what is left is decided by the cosine of the
+    vectors themselves in double precision.
 
     A pair of tiles returns each vector's number of links and its component within
     the two tiles, never the links themselves; components are joined by Spark.
@@ -184,17 +247,20 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col:
     for (dim,) in sorted(classes.select("dim").distinct().collect()):
         part = classes.where(F.col("dim") == dim)
         axes, _ = principal_axes(part, dim)
-        first = part.select("rep", "copies", "embedding").mapInArrow(_first_coordinate(axes), part.select("rep", "copies", "embedding").schema.add("first", "double"))
-        ranked = running(first.withColumn("one", F.lit(1).cast("long")), ["first", "rep"], "one", scratch, "ranked")
-        tiles = ranked.withColumn("tile", F.floor(F.col("run") / tile)).select("tile", "rep", "copies", "embedding", "first")
-        tiles = scratch.cut(tiles.groupBy("tile").applyInArrow(_tiles(dim), "tile long, lo double, hi double, reps binary, copies binary, data binary"), "tiles")
-        # cosine >= t: the unit vectors are at most sqrt(2 - 2 t) apart, on the first axis too
-        reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK
-        cell = lambda x: F.floor(x / reach)
+        width = max(reach(threshold) / 2, 1e-3)
+        placed = part.select("rep", "copies", "embedding")
+        placed = placed.mapInArrow(_placed(axes, width), T.StructType([*placed.schema.fields, T.StructField("cell", T.LongType()), T.StructField("first", T.DoubleType())]))
+        ranked = running(placed.withColumn("one", F.lit(1).cast("long")), ["cell", "first", "rep"], "one", scratch, "ranked")
+        tiles = ranked.withColumn("tile", F.floor(F.col("run") / tile)).select("tile", "rep", "copies", "embedding")
+        tiles = scratch.cut(tiles.groupBy("tile").applyInArrow(_tiles(axes), "tile long, lo array<double>, hi array<double>, reps binary, copies binary, data binary"), "tiles")
+        span = reach(threshold)
+        cell = lambda x: F.floor(x[0] / span)
         spans = tiles.select("tile", "lo", "hi")
         left = spans.select(F.col("tile").alias("a"), F.col("lo").alias("alo"), F.col("hi").alias("ahi"), F.explode(F.sequence(cell(F.col("lo")) - 1, cell(F.col("hi")) + 1)).alias("cell"))
         right = spans.select(F.col("tile").alias("b"), F.col("lo").alias("blo"), F.col("hi").alias("bhi"), F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi")))).alias("cell"))
-        pairs = left.join(right, "cell").where((F.col("a") <= F.col("b")) & (F.col("blo") - F.col("ahi") <= reach) & (F.col("alo") - F.col("bhi") <= reach)).select("a", "b").distinct()
+        gap = lambda x, y: F.zip_with(x, y, lambda u, v: F.greatest(u - v, F.lit(0.0)))
+        apart = F.aggregate(F.zip_with(gap("alo", "bhi"), gap("blo", "ahi"), lambda u, v: u * u + v * v), F.lit(0.0), lambda x, y: x + y)
+        pairs = left.join(right, "cell").where((F.col("a") <= F.col("b")) & (apart <= span * span + SLACK)).select("a", "b").distinct()
         side = lambda x: tiles.select(F.col("tile").alias(x), F.col("reps").alias("r" + x), F.col("copies").alias("c" + x), F.col("data").alias("x" + x))
         some = pairs.join(side("a"), "a").join(side("b"), "b").repartition(F.xxhash64("a", "b"))
         # one pair of tiles at a time reaches a worker's memory

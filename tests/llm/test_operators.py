@@ -113,6 +113,25 @@ def test_embedding_links_equal_brute_force(spark):
     assert all(got[i]["n_links"] == 0 and got[i]["kept"] for i in (500, 501, 502))
 
 
+@pytest.mark.parametrize("spread", [0.02, 0.3, 3.0])
+def test_embedding_blocks_give_up_no_link(spread):
+    """Tight clusters (whole blocks are rejected), loose ones, and noise; sides of several blocks."""
+    rng = np.random.default_rng(9)
+    x = np.repeat(rng.normal(size=(30, 24)), 90, axis=0) + rng.normal(0, spread, (2700, 24))
+    axes = np.linalg.qr(rng.normal(size=(24, 24)))[0]
+    y = x / np.linalg.norm(x, axis=1)[:, None] @ axes
+    x = x[embedding_dedup.box_order(y, embedding_dedup.BLOCK)]
+    sides = [embedding_dedup.Side(np.arange(len(part)).tobytes(), np.ones(len(part), np.int64).tobytes(), part.tobytes(), axes) for part in (x[:1500], x[1500:])]
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    near = u @ u.T
+    assert not (np.abs(near - 0.9) < 1e-12).any()
+    found = {(int(i), int(j) + 1500) for p, q in embedding_dedup.linked_pairs(*sides, 0.9, False) for i, j in zip(p, q, strict=True)}
+    assert found == {(i, j + 1500) for i, j in zip(*np.nonzero(near[:1500, 1500:] >= 0.9), strict=True)}
+    found = {(int(i), int(j)) for p, q in embedding_dedup.linked_pairs(sides[0], sides[0], 0.9, True) for i, j in zip(p, q, strict=True)}
+    assert found == {(i, j) for i, j in zip(*np.nonzero(np.triu(near[:1500, :1500], 1) >= 0.9), strict=True)}
+    assert len(found) > 1000 or spread > 1
+
+
 def test_near_duplicates_equal_brute_force(spark):
     rng = np.random.default_rng(2)
     base = [" ".join(rng.choice([f"w{i}" for i in range(500)], 80)) for _ in range(8)]
