@@ -47,7 +47,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Tables written to the shared folder, which cut lineage and survive lost executors."""
+    """Tables written to the shared folder, which cut lineage and survive lost executors.
+
+    What a shuffle brings is written in files of the advisory partition size, not in as
+    many as there are cores: a small table is one file.
+    """
+
+    FEW_FILES = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
 
     def __init__(self, spark: SparkSession):
         ship_package(spark)
@@ -59,7 +65,12 @@ class Scratch:
     def cut(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
         self.names.append(path)
-        df.write.mode("overwrite").parquet(path)
+        before = self.spark.conf.get(self.FEW_FILES)
+        self.spark.conf.set(self.FEW_FILES, "false")
+        try:
+            df.write.mode("overwrite").parquet(path)
+        finally:
+            self.spark.conf.set(self.FEW_FILES, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._noria_path = path
         return out
@@ -83,7 +94,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _POWERS, _INVERSE
     if len(_POWERS) < n:
-        size = max(n, 2 * SLICE_BYTES)
+        size = max(n, SLICE_BYTES + 4096)
         for base, name in ((_P, "_POWERS"), (_P_INV, "_INVERSE")):
             x = np.full(size, base, dtype=np.uint64)
             x[0] = 1

@@ -101,13 +101,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     near = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
     votes = buckets.join(centers, "key").where((F.col("rep") != F.col("mid.rep")) & near(F.col("n"), F.col("mid.n"))).groupBy("rep", F.col("mid.rep").alias("mid")).agg(F.count("*").alias("c"))
     best = votes.groupBy("rep").agg(F.max_by("mid", F.struct("c", -F.col("mid"))).alias("mid"))
-    links = scratch.cut(_confirmed(best.select(F.col("mid").alias("a"), F.col("rep").alias("b")), items, percent), "links")
-    comp = scratch.cut(connected_components(links, scratch), "components")
+    comp = connected_components(_confirmed(best.select(F.col("mid").alias("a"), F.col("rep").alias("b")), items, percent), scratch)
     placed = buckets.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("comp", "rep").alias("comp"))
     apart = placed.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min("rep").alias("low")).where("c0 < c1").select("key", "low")
     apart = scratch.cut(placed.join(apart, "key").select("rep", "comp", "low").distinct(), "apart")
+    if not apart.isEmpty():
+        more = _between(apart, items, percent, scratch)
+        comp = connected_components(comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionAll(more), scratch)
+
+    placed = member.select("id", "n", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("id", "n", F.coalesce("comp", "rep").alias("component_id"))
+    rest = sketched.where("n = 0 or id is null").select("id", "n", F.col("id").alias("component_id"))
+    out = placed.unionAll(rest)
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def _between(apart: DataFrame, items: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """(a, b): a spanning forest of the links between components that share a bucket; apart(rep, comp, low), items(id, items)."""
     cluster = connected_components(apart.select(F.col("low").alias("a"), F.col("rep").alias("b")), scratch).select(F.col("node").alias("rep"), F.col("comp").alias("cluster"))
-    left = scratch.cut(apart.select("rep", "comp").distinct().join(cluster, "rep"), "left")
+    left = apart.select("rep", "comp").distinct().join(cluster, "rep")
     main = left.groupBy("cluster", "comp").agg(F.count("*").alias("c")).groupBy("cluster").agg(F.max_by("comp", F.struct("c", -F.col("comp"))).alias("main"))
     sets = left.join(main, "cluster").join(items.groupBy(F.col("id").alias("rep")).agg(F.flatten(F.collect_list("items")).alias("items"), F.count("*").alias("texts")), "rep")
     ordered = running(sets.select("cluster", (F.col("comp") == F.col("main")).cast("int").alias("is_main"), "rep", "comp", "items", F.size("items").cast("long").alias("weight")), ["cluster", "is_main", "rep"], "weight", scratch, "ordered")
@@ -116,14 +127,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spans = ordered.groupBy("cluster").agg(F.min("block").alias("first"), F.max(F.when(F.col("is_main") == 0, F.col("block"))).alias("rest"), F.max("block").alias("last"))
     pairs = spans.where("rest is not null").select("last", F.explode(F.sequence("first", "rest")).alias("x")).select("x", F.explode(F.sequence("x", "last")).alias("y")).distinct()
     side = lambda x: blocks.select(F.col("block").alias(x), F.struct("clusters", "reps", "comps", "sizes", "data").alias("s" + x))
-    more = pairs.join(side("x"), "x").join(side("y"), "y").select("x", "y", "sx", "sy").repartition(F.xxhash64("x", "y")).mapInArrow(_compare(percent), "a long, b long")
-    links = scratch.cut(links.unionAll(more), "links")
-    comp = scratch.cut(connected_components(links, scratch), "components")
-
-    placed = member.select("id", "n", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("id", "n", F.coalesce("comp", "rep").alias("component_id"))
-    rest = sketched.where("n = 0 or id is null").select("id", "n", F.col("id").alias("component_id"))
-    out = placed.unionAll(rest)
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    return pairs.join(side("x"), "x").join(side("y"), "y").select("x", "y", "sx", "sy").repartition(F.xxhash64("x", "y")).mapInArrow(_compare(percent), "a long, b long")
 
 
 def _block(key, table):
