@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 BLANKS = " \t\r\n"
 
 
+def bound(value: Column | str, f) -> Column:
+    """f of a value that is computed once, however often f reads it and wherever the optimizer moves it to."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def trim_blanks(x: Column | str) -> Column:
     """Without spaces, tabs and line ends around it (trim() alone takes only spaces)."""
     return F.btrim(F.col(x) if isinstance(x, str) else x, F.lit(BLANKS))

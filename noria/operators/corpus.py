@@ -10,12 +10,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from noria.functions.text import first_year, hangul_ratio, hash_id, trim_blanks
-
-#: Column names in order of priority; replace them for other exports.
-ID_NAMES = ["doc_id", "id", "article_id", "논문 ID", "논문ID", "일련번호"]
-TITLE_NAMES, AUTHOR_NAMES, INSTITUTION_NAMES = ["title", "제목", "논문명"], ["author", "authors", "저자", "저자명"], ["institution", "publisher", "발행기관", "소속기관"]
-ABSTRACT_NAMES = ["abstract", "초록", "국문초록", "국문 초록", "text"]
-YEAR_NAMES = ["pub_year", "year", "발행연도", "발행년도", "연도"]
+from noria.store import Store, numbered
+
+# The headers of the exports that are read, in order of priority.  Replace them for other exports.
+ID_NAMES = ["doc_id", "논문 ID", "논문ID", "Article ID", "article_id", "ID", "id", "일련번호", "번호"]
+TITLE_NAMES = ["제목", "논문제목", "제목명", "title", "Title"]
+AUTHOR_NAMES = ["저자", "저자명", "author", "Author", "작성자"]
+INSTITUTION_NAMES = ["발행기관", "소속기관", "기관명", "institution", "Institution", "발행처"]
+ABSTRACT_NAMES = ["국문 초록 (Abstract)", "국문초록", "국문 초록", "초록", "영문초록", "영문 초록", "Abstract", "abstract", "다국어초록", "다국어 초록", "요약", "Summary"]
+YEAR_NAMES = ["pub_year", "발행연도", "발행년도", "연도", "년도", "Year", "year", "출판연도", "출판년도", "Publication Year"]
+# Parts of headers that are looked for, in any case, where none of the names above is there.
+ID_PARTS = ["ID", "논문 ID", "일련", "번호", "article"]
+ABSTRACT_PARTS, OTHER_LANGUAGE_PARTS = ["초록", "요약", "summary"], ["multilingual", "다국어", "영문", "english"]
+# Metadata that goes with the topic table.
+TOPIC_METADATA = ["논문명", "저자명", "pub_year", "KCI 등재 구분", "주제분야"]
 
 
 def pick(columns: list[str], names: list[str]) -> str | None:
@@ -34,32 +42,55 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
 
 
 def generate_hash_ids(df: DataFrame, order: list[str], out: str = "doc_id") -> DataFrame:
-    """Hash ids of title, author and institution; later rows of an id, in the given order, get _NNN; rows without any get row_N."""
+    """Hash ids of title, author and institution; later rows of an id, in the given order, get _NNN; rows without any get row_N.
+
+    Rows are numbered by ranges of (hash, order), and a hash's first number is taken off,
+    so neither a hash that many rows share nor the rows without one meet in one task.
+    """
     parts = [F.col(c).cast("string") for names in (TITLE_NAMES, AUTHOR_NAMES, INSTITUTION_NAMES) if (c := pick(df.columns, names))]
     made = hash_id(*parts) if parts else F.lit(None).cast("string")
-    key = "__hash"
-    ranked = df.withColumn(key, made).withColumn("__n", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
-    suffix = F.when(F.col("__n") > 1, F.concat(F.lit("_"), F.lpad((F.col("__n") - 1).cast("string"), 3, "0"))).otherwise(F.lit(""))
-    doc_id = F.when(F.col(key).isNull(), F.concat(F.lit("row_"), F.col("__n").cast("string"))).otherwise(F.concat(key, suffix))
-    rest = [c for c in df.columns if c != out]
-    return ranked.select(doc_id.alias(out), *rest)
+    key, store = "__hash", Store(df.sparkSession)
+    rows = numbered(df.withColumn(key, F.coalesce(made, F.lit(""))), [key, *[c for c in order if c != out]], store, "__n")
+    first = rows.groupBy(key).agg(F.min("__n").alias("__first"))
+    n = F.col("__n") - F.col("__first")
+    doc_id = F.when(F.col(key) == "", F.concat(F.lit("row_"), (n + 1).cast("string"))).when(n > 0, F.concat(key, F.format_string("_%03d", n))).otherwise(F.col(key))
+    return rows.join(first, key).select(doc_id.alias(out), *[c for c in df.columns if c != out])
 
 
 def standardize_ids(df: DataFrame, order: list[str] | None = None, only_duplicates: bool = False) -> DataFrame:
-    """A unique string doc_id in front.  Given ids with any duplicate are all made anew, or only the duplicates."""
+    """A unique string doc_id in front.  Given ids with any duplicate are all made anew, or only the duplicates.
+
+    only_duplicates: the first row of an id keeps it, the others get a suffix of
+    underscores and a number, one underscore more than any given id ends with before
+    digits, so that no new id can be a given one.  Rows without an id count as rows of
+    the id "row", and all get a suffix.
+    """
     found = pick(df.columns, ID_NAMES)
     order = order or [c for c in df.columns if c != found]
     if found is None:
         return generate_hash_ids(df, order)
     out = df.withColumnRenamed(found, "doc_id").withColumn("doc_id", F.col("doc_id").cast("string"))
     if only_duplicates:
-        n = F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))
-        out = out.withColumn("__n", n).withColumn("doc_id", F.when(F.col("__n") > 1, F.concat("doc_id", F.lit("_"), F.lpad((F.col("__n") - 1).cast("string"), 3, "0"))).otherwise(F.col("doc_id"))).drop("__n")
+        run = F.length(F.regexp_extract("doc_id", "(_+)[0-9]+$", 1))
+        most = out.agg(F.coalesce(F.max(run), F.lit(0))).first()[0]
+        given = F.coalesce("doc_id", F.lit("row"))
+        n = F.row_number().over(Window.partitionBy("doc_id").orderBy(*[c for c in order if c != "doc_id"] or [F.lit(0)]))
+        n = n - F.when(F.col("doc_id").isNull(), 0).otherwise(1)
+        out = out.withColumn("__n", n).withColumn("doc_id", F.when(F.col("__n") > 0, F.concat(given, F.lit("_" * (most + 1)), F.format_string("%03d", F.col("__n")))).otherwise(given)).drop("__n")
     elif not out.groupBy("doc_id").count().where("count > 1").limit(1).isEmpty():
         return generate_hash_ids(out, order)
     return out.select("doc_id", *[c for c in out.columns if c != "doc_id"])
 
 
+def resolve_columns(df: DataFrame) -> tuple[str, str | None]:
+    """(id column, text column) of a table that was not standardised: by parts of the header, else the first column and the first text column."""
+    strings = [c for c, k in df.dtypes if k == "string"]
+    holds = lambda c, parts: any(p.lower() in c.lower() for p in parts)
+    id_col = next((c for p in ID_PARTS for c in df.columns if holds(c, [p])), df.columns[0])
+    texts = ["abstract"] if "abstract" in strings else [c for p in ABSTRACT_PARTS for c in strings if holds(c, [p]) and not holds(c, OTHER_LANGUAGE_PARTS)]
+    return id_col, next(iter(texts), next((c for c in strings if c != "source_file"), None))
+
+
 def script_scores(df: DataFrame, columns: list[str], bonus: dict[str, int] | None = None) -> DataFrame:
     """(column, hangul, mean_length, score): over all texts of more than 10 characters, in one aggregate."""
     bonus = bonus or {}
@@ -107,13 +138,17 @@ def analysis_projection(df: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def column_profile(df: DataFrame) -> DataFrame:
-    """(column, type, n_null, null_pct, n_distinct) in one aggregate; null counts as a value."""
-    aggs = []
-    for c in df.columns:
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"n_{c}"), (F.count_distinct(F.col(c)) + F.max(F.col(c).isNull().cast("int"))).alias(f"d_{c}")]
-    one = df.agg(F.count("*").alias("__rows"), *aggs)
-    pct = lambda c: F.round(100.0 * F.col(f"n_{c}") / F.col("__rows"), 2)
-    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(k).alias("type"), F.col(f"n_{c}").alias("n_null"), pct(c).alias("null_pct"), F.col(f"d_{c}").cast("long").alias("n_distinct")) for c, k in df.dtypes])
+    """(column, type, n_null, null_pct, n_distinct) in one aggregate; null counts as a value.
+
+    Values are counted as 128-bit hashes, so texts are not multiplied by the distinct counts.
+    """
+    floats = {"float", "double"}
+    value = lambda c, k: F.col(c) + F.lit(0.0) if k in floats else F.col(c)  # noqa: E731  -0.0 is 0.0
+    hashed = [F.when(F.col(c).isNotNull(), F.struct(F.xxhash64(value(c, k)), F.xxhash64(F.lit(1), value(c, k)))).alias(f"h{i}") for i, (c, k) in enumerate(df.dtypes)]
+    aggs = [x for i in range(len(df.columns)) for x in (F.count_if(F.col(f"h{i}").isNull()).alias(f"n{i}"), (F.count_distinct(F.col(f"h{i}")) + F.coalesce(F.max(F.col(f"h{i}").isNull().cast("int")), F.lit(0))).alias(f"d{i}"))]
+    one = df.select(*hashed).agg(F.count("*").alias("__rows"), *aggs)
+    pct = lambda i: F.round(100.0 * F.col(f"n{i}") / F.col("__rows"), 2)
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(k).alias("type"), F.col(f"n{i}").alias("n_null"), pct(i).alias("null_pct"), F.col(f"d{i}").cast("long").alias("n_distinct")) for i, (c, k) in enumerate(df.dtypes)])
     return one.select(F.inline(rows))
 
 
@@ -139,9 +174,10 @@ def clean_names(names: list[str]) -> list[str]:
 
 
 def text_samples(df: DataFrame, most: int = 20) -> DataFrame:
-    """(column, sample): the first non-null value of each text column, cut."""
+    """(column, sample): the first non-null value of each text column in the order of the files, cut."""
     strings = [c for c, k in df.dtypes if k == "string"]
-    one = df.agg(*[F.min(c).alias(c) for c in strings])
+    place = F.monotonically_increasing_id()
+    one = df.withColumn("__place", place).agg(*[F.min_by(c, F.when(F.col(c).isNotNull(), F.col("__place"))).alias(c) for c in strings])
     return one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.substring(c, 1, most).alias("sample")) for c in strings])))
 
 
@@ -170,4 +206,14 @@ def left_join_metadata(left: DataFrame, right: DataFrame, key: str = "doc_id") -
     return left.join(right.withColumnsRenamed(clash), key, "left")
 
 
+def metadata_columns(df: DataFrame, text_columns: list[str]) -> DataFrame:
+    """Everything but the text columns."""
+    return df.drop(*text_columns)
+
+
+def topic_metadata(df: DataFrame, names: list[str] = TOPIC_METADATA) -> DataFrame:
+    """doc_id and those of the named columns that are there, for the topic table."""
+    return df.select("doc_id", *[c for c in names if c in df.columns])
+
+
 EMPTY_NOUNS = T.StructType([T.StructField("noun", T.StringType()), T.StructField("pos_tag", T.StringType())])

@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from noria.operators.nouns import each
+from noria.store import Store, numbered
+
 
 def dfm(nouns: DataFrame, column: str = "nouns", least_length: int = 2) -> DataFrame:
     """(doc_id, term, tf), lower-cased."""
-    t = nouns.select("doc_id", F.explode(column).alias("t")).where(F.length("t") >= least_length)
+    t = each(nouns, "doc_id", of=column, name="t").where(F.length("t") >= least_length)
     return t.groupBy("doc_id", F.lower("t").alias("term")).agg(F.count("*").alias("tf"))
 
 
 def tokenize(df: DataFrame, text: str = "abstract", least_length: int = 2) -> DataFrame:
-    """(doc_id, nouns): words without punctuation and symbols."""
-    bare = F.transform(F.split(text, r"\s+"), lambda x: F.regexp_replace(x, r"[\p{P}\p{S}]", ""))
-    return df.select("doc_id", F.filter(bare, lambda x: F.length(x) >= least_length).alias("nouns"))
+    """(doc_id, nouns): words between white space, punctuation and symbols; these end a word and are in none."""
+    return df.select("doc_id", F.filter(F.split(text, r"[\s\p{P}\p{S}]+"), lambda x: F.length(x) >= least_length).alias("nouns"))
 
 
 def term_stats(cells: DataFrame) -> DataFrame:
@@ -37,9 +39,10 @@ def tfidf(cells: DataFrame, n_docs: int) -> DataFrame:
     return cells.join(idf, "term").select("doc_id", "term", "tf", F.round(F.col("tf") * F.col("idf"), 6).alias("weight"))
 
 
-def tfidf_terms(cells: DataFrame, n_docs: int, k: int | None = 30) -> DataFrame:
-    """(feature, frequency, docfreq, tfidf_score): column sums in closed form, no second pass."""
-    s = term_stats(cells).select(F.col("term").alias("feature"), "frequency", "docfreq", F.round(F.col("frequency") * F.log10(F.lit(float(n_docs)) / F.col("docfreq")), 6).alias("tfidf_score"))
+def tfidf_terms(cells: DataFrame, n_docs: int, k: int | None = 30, min_termfreq: int = 1) -> DataFrame:
+    """(feature, frequency, docfreq, tfidf_score) of the terms of at least min_termfreq: column sums in closed form, one aggregate."""
+    s = term_stats(cells).where(F.col("frequency") >= min_termfreq)
+    s = s.select(F.col("term").alias("feature"), "frequency", "docfreq", F.round(F.col("frequency") * F.log10(F.lit(float(n_docs)) / F.col("docfreq")), 6).alias("tfidf_score"))
     return s if k is None else s.orderBy(F.desc("tfidf_score"), "feature").limit(k)
 
 
@@ -50,16 +53,18 @@ def cloud_weights(terms: DataFrame) -> DataFrame:
     return terms.crossJoin(F.broadcast(low)).select("feature", F.round((F.col("tfidf_score") + shift) * 1000).cast("long").alias("cloud_weight"))  # low is one row
 
 
-def sparsity(cells: DataFrame, n_docs: int) -> DataFrame:
-    """(n_docs, n_terms, nonzero, total_tokens, sparsity, memory_bytes)."""
-    s = term_stats(cells).agg(F.count("*").alias("n_terms"), F.sum("docfreq").alias("nonzero"), F.sum("frequency").alias("total_tokens"))
+def sparsity(stats: DataFrame, n_docs: int) -> DataFrame:
+    """(n_docs, n_terms, nonzero, total_tokens, mean_tokens, sparsity, memory_bytes) of term_stats; mean_tokens is the mean row sum."""
+    s = stats.agg(F.count("*").alias("n_terms"), F.sum("docfreq").alias("nonzero"), F.sum("frequency").alias("total_tokens"))
     share = F.round(1 - F.col("nonzero") / (F.col("n_terms") * F.lit(n_docs)), 9)
-    return s.select(F.lit(n_docs).cast("long").alias("n_docs"), "n_terms", "nonzero", "total_tokens", share.alias("sparsity"), (F.col("nonzero") * 8).alias("memory_bytes"))
+    mean = F.round(F.col("total_tokens") / F.lit(n_docs), 6)
+    return s.select(F.lit(n_docs).cast("long").alias("n_docs"), "n_terms", "nonzero", "total_tokens", mean.alias("mean_tokens"), share.alias("sparsity"), (F.col("nonzero") * 8).alias("memory_bytes"))
 
 
 def stm_input(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """documents (doc_id, terms array<struct<term_id, tf>>) and vocabulary (term_id, term), ids in term order from 1."""
-    terms = [r[0] for r in cells.select("term").distinct().orderBy("term").collect()]  # a topic model's vocabulary is held by the driver anyway
-    vocab = cells.sparkSession.createDataFrame([(i + 1, t) for i, t in enumerate(terms)], "term_id int, term string")
+    """documents (doc_id, terms array<struct<term_id, tf>>) and vocabulary (term_id, term), ids in term order from 1, numbered without a collect."""
+    store = Store(cells.sparkSession)
+    cells = store.keep(cells, "cells")
+    vocab = store.keep(numbered(cells.select("term").distinct(), ["term"], store, "term_id").select(F.col("term_id").cast("int").alias("term_id"), "term"), "vocabulary")
     docs = cells.join(vocab, "term").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("term_id", "tf"))).alias("terms"))
     return docs, vocab

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from noria.functions.text import strip_spaces, year_span
+from noria.functions.text import bound, strip_spaces, year_span
 
 
 def normalize(x: Column, rules: list[tuple[str, str]]) -> Column:
@@ -32,17 +32,22 @@ def long_words(df: DataFrame, column: str = "nouns", least: int = 2) -> DataFram
     return df.withColumn(column, F.filter(column, lambda x: F.length(x) >= least))
 
 
-def ngrams_of(words: str, n: int) -> Column:
+def ngrams_of(words: Column | str, n: int) -> Column:
     """Windows of n words joined by a space; none of fewer words."""
-    windows = F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))
-    return F.when(F.size(words) >= n, windows).otherwise(F.array().cast("array<string>"))
+
+
+    def found(x):
+        windows = F.transform(F.sequence(F.lit(1), F.size(x) - n + 1), lambda i: F.array_join(F.slice(x, i, F.lit(n)), " "))
+        return F.when(F.size(x) >= n, windows).otherwise(F.array().cast("array<string>"))
+
+    return bound(words, found)
 
 
 def mine_ngrams(df: DataFrame, sizes: list[int] = (2, 3), least: int = 1, most: int | None = 100, column: str = "nouns") -> DataFrame:
     """(ngram, frequency, ngram_size, pos_tag): per size the `most` frequent; one pass and one shuffle for all sizes."""
-    sized = lambda n: F.transform(ngrams_of(column, n), lambda x: F.struct(x.alias("ngram"), F.lit(n).alias("ngram_size")))
-    every = F.flatten(F.array(*[sized(n) for n in sizes]))
-    out = df.select(F.explode(every).alias("g")).groupBy("g.ngram", "g.ngram_size").agg(F.count("*").alias("frequency")).where(F.col("frequency") >= least)
+    sized = lambda x, n: F.transform(ngrams_of(x, n), lambda x: F.struct(x.alias("ngram"), F.lit(n).alias("ngram_size")))
+    every = bound(column, lambda x: F.flatten(F.array(*[sized(x, n) for n in sizes])))
+    out = df.select(F.explode_outer(every).alias("g")).where("g is not null").groupBy("g.ngram", "g.ngram_size").agg(F.count("*").alias("frequency")).where(F.col("frequency") >= least)
     if most is not None:
         rank = F.row_number().over(Window.partitionBy("ngram_size").orderBy(F.desc("frequency"), "ngram"))
         out = out.withColumn("rank", rank).where(F.col("rank") <= most)

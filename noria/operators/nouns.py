@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from noria.functions.text import bound
+
 TOKENS = "array<struct<form:string,tag:string>>"
-#: Runs of tagged forms that make one noun, the longest first.
-NOUN_RUN = r"\S+/XPN \S+/NN[GP] \S+/XSN(?= |$)|\S+/XPN \S+/NN[GP](?= |$)|\S+/NN[GP] \S+/XSN(?= |$)|\S+/(?:XPN|NN[GP]|XSN)(?= |$)"
-TAG = r"/(?:XPN|NNG|NNP|XSN)(?: |$)"
+NOUN = ("NNG", "NNP")
 
 
 class Tagger(Protocol):
@@ -85,43 +85,82 @@ def morphemes(tagged: DataFrame) -> DataFrame:
 
 
 def extract_nouns(tagged: DataFrame, keep_repeats: bool = False) -> DataFrame:
-    """(doc_id, nouns): prefix + noun + suffix, prefix + noun, noun + suffix, or one of them alone; in first-occurrence order."""
-    runs = F.regexp_extract_all("morphemes", F.lit(NOUN_RUN), F.lit(0))
-    nouns = F.transform(runs, lambda x: F.regexp_replace(x, TAG, ""))
-    return morphemes(tagged).select("doc_id", (nouns if keep_repeats else F.array_distinct(nouns)).alias("nouns"))
+    """(doc_id, nouns): prefix + noun + suffix, prefix + noun, noun + suffix, or one of them alone; in first-occurrence order.
+
+    A token decides by its neighbours' tags: a noun behind a prefix belongs to it, a
+    suffix behind a noun to that, and what is left of prefixes, nouns and suffixes
+    stands alone.  One pass over the tokens.
+    """
+    is_ = lambda t, *tags: F.coalesce(t["tag"].isin(*tags), F.lit(False))
+
+    def found(tokens):
+        at = lambda i: F.get(tokens, i)
+        before = lambda i, *tags: F.when(i > 0, is_(at(i - 1), *tags)).otherwise(F.lit(False))
+        suffix = lambda i: F.when(is_(at(i), "XSN"), at(i)["form"]).otherwise(F.lit(""))
+
+        def noun(t, i):
+            prefix = F.when(is_(at(i + 1), *NOUN), F.concat(t["form"], at(i + 1)["form"], suffix(i + 2))).otherwise(t["form"])
+            own = F.when(~before(i, "XPN"), F.concat(t["form"], suffix(i + 1)))
+            alone = F.when(~before(i, *NOUN), t["form"])
+            return F.when(t["tag"] == "XPN", prefix).when(t["tag"].isin(*NOUN), own).when(t["tag"] == "XSN", alone)
+
+        nouns = F.filter(F.transform(tokens, noun), lambda x: x.isNotNull())
+        return nouns if keep_repeats else F.array_distinct(nouns)
+
+    return tagged.select("doc_id", bound("tokens", found).alias("nouns"))
+
+
+def each(df: DataFrame, *columns: str, of: str = "nouns", name: str = "noun") -> DataFrame:
+    """A row for each value of an array.  An outer explode, which puts no second copy of the array's expression into a filter below."""
+    return df.select(*columns, F.explode_outer(of).alias(name)).where(F.col(name).isNotNull())
 
 
 def noun_document_frequency(nouns: DataFrame, k: int = 20) -> DataFrame:
     """(noun, n_docs): the k nouns of most documents."""
-    return nouns.select("doc_id", F.explode("nouns").alias("noun")).groupBy("noun").agg(F.count("*").alias("n_docs")).orderBy(F.desc("n_docs"), "noun").limit(k)
+    return each(nouns).groupBy("noun").agg(F.count("*").alias("n_docs")).orderBy(F.desc("n_docs"), "noun").limit(k)
 
 
 def noun_totals(nouns: DataFrame) -> DataFrame:
-    """(n_docs, n_nouns, n_distinct, mean_nouns)."""
-    n = nouns.agg(F.count("*").alias("n_docs"), F.sum(F.size("nouns")).alias("n_nouns"), F.round(F.avg(F.size("nouns")), 6).alias("mean_nouns"))
-    return n.crossJoin(nouns.select(F.explode("nouns").alias("noun")).agg(F.count_distinct("noun").alias("n_distinct")))  # one row each
+    """(n_docs, n_nouns, n_distinct, mean_nouns), counted from one pass: null stands for a document in the groups of nouns."""
+    marked = nouns.select(F.explode(F.concat(F.array(F.lit(None).cast("string")), "nouns")).alias("noun"))
+    n = marked.groupBy("noun").agg(F.count("*").alias("n"))
+    docs, all_ = F.sum(F.when(F.col("noun").isNull(), F.col("n"))), F.sum(F.when(F.col("noun").isNotNull(), F.col("n")))
+    return n.agg(F.coalesce(docs, F.lit(0)).alias("n_docs"), all_.alias("n_nouns"), F.round(all_ / docs, 6).alias("mean_nouns"), F.count("noun").alias("n_distinct"))
+
+
+def tag_counts(tagged: DataFrame, tag: str) -> DataFrame:
+    """(form, n) of all forms of a tag."""
+    forms = tagged.select(F.explode_outer(F.transform(F.filter("tokens", lambda t: t["tag"] == tag), lambda t: t["form"])).alias("form")).where("form is not null")
+    return forms.groupBy("form").agg(F.count("*").alias("n"))
 
 
 def tag_frequency(tagged: DataFrame, tag: str, k: int = 15) -> DataFrame:
     """(form, n) of the k most frequent forms of a tag."""
-    forms = tagged.select(F.explode(F.filter("tokens", lambda t: t["tag"] == tag)).alias("t"))
-    return forms.groupBy(F.col("t.form").alias("form")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "form").limit(k)
+    return tag_counts(tagged, tag).orderBy(F.desc("n"), "form").limit(k)
 
 
-def _sequence(tagged: DataFrame) -> DataFrame:
-    return tagged.select("doc_id", F.posexplode("tokens").alias("pos", "t")).select("doc_id", "pos", "t.form", "t.tag")
+def tag_totals(tagged: DataFrame, tags: list[str]) -> DataFrame:
+    """(tag, kinds, total): how many different forms a tag has, and how many in all."""
+    both = tagged.select(F.explode_outer(F.filter("tokens", lambda t: t["tag"].isin(*tags))).alias("t")).where("t is not null")
+    return both.groupBy("t.tag", "t.form").agg(F.count("*").alias("n")).groupBy("tag").agg(F.count("*").alias("kinds"), F.sum("n").alias("total"))
 
 
 def tag_runs(tagged: DataFrame, first: list[str], second: list[str], third: list[str] | None = None, not_third: list[str] | None = None, k: int = 20) -> DataFrame:
-    """(forms, n): adjacent forms with these tags, joined by +; not_third: tags that must not follow."""
-    w = Window.partitionBy("doc_id").orderBy("pos")
-    s = _sequence(tagged)
-    for i in (1, 2):
-        s = s.withColumn(f"f{i}", F.lead("form", i).over(w)).withColumn(f"t{i}", F.lead("tag", i).over(w))
-    hit = F.col("tag").isin(first) & F.col("t1").isin(second)
-    parts = ["form", "f1"]
-    if third:
-        hit, parts = hit & F.col("t2").isin(third), [*parts, "f2"]
-    if not_third:
-        hit = hit & ~F.coalesce(F.col("t2").isin(not_third), F.lit(False))
-    return s.where(hit).groupBy(F.concat_ws("+", *parts).alias("forms")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "forms").limit(k)
+    """(forms, n): adjacent forms with these tags, joined by +; not_third: tags that must not follow.  Neighbours are read in the array, so only counts are shuffled."""
+
+    def found(tokens):
+        at = lambda i: F.get(tokens, i)
+
+        def run(t, i):
+            hit = t["tag"].isin(*first) & at(i + 1)["tag"].isin(*second)
+            parts = [t["form"], at(i + 1)["form"]]
+            if third:
+                hit, parts = hit & at(i + 2)["tag"].isin(*third), [*parts, at(i + 2)["form"]]
+            if not_third:
+                hit = hit & ~F.coalesce(at(i + 2)["tag"].isin(*not_third), F.lit(False))
+            return F.when(hit, F.concat_ws("+", *parts))
+
+        return F.filter(F.transform(tokens, run), lambda x: x.isNotNull())
+
+    runs = tagged.select(bound("tokens", found).alias("runs"))
+    return each(runs, of="runs", name="forms").groupBy("forms").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "forms").limit(k)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from noria.functions import text as fn
 from noria.operators import corpus, dtm, ngrams, nouns, stm, topics
 from noria.session import ship_package
+from noria.store import Store
 
 PREFIXES, SUFFIXES = ["re", "un", "anti", "en", "ver"], ["tion", "ing", "ed", "ly", "er", "ung", "ment"]
 FUNCTION_WORDS = ["the", "and", "that", "with", "from", "der", "die", "das", "und", "les", "des", "que"]
@@ -46,6 +47,11 @@ def _nouns(spark, d):
     return nouns.extract_nouns(_tagged(spark, d))
 
 
+def _kept_nouns(spark, d):
+    """Nouns of every document, written once: one extraction and one scan a query, however often they are read."""
+    return Store(spark).keep(_nouns(spark, d), "nouns")
+
+
 def _words(spark, d):
     return ngrams.long_words(_nouns(spark, d))
 
@@ -54,8 +60,14 @@ def _cells(spark, d):
     return dtm.dfm(_nouns(spark, d))
 
 
-def _ngrams(spark, d):
-    return ngrams.mine_ngrams(_words(spark, d), [2, 3], 1, 100)
+def _counted(spark, d):
+    """How many documents there are, and the cells of their nouns."""
+    found = _kept_nouns(spark, d)
+    return found.count(), dtm.dfm(found)
+
+
+def _ngrams(words):
+    return ngrams.mine_ngrams(words, [2, 3], 1, 100)
 
 
 def _in(words):
@@ -105,9 +117,12 @@ def required_and_unique_id_check(spark, d):
     return corpus.validate(_t(spark, d, "documents").withColumnRenamed("text", "abstract"), "morpheme")
 
 
-@query("""select doc_id, 'doc' || lpad((('0x' || substr(md5(regexp_replace(lower(concat_ws('|', substr(text, 1, 40), source)), '[\\s\\x{0B}\\x{85}\\p{Z}]+', '', 'g')), 1, 8))::bigint % 100000000)::varchar, 8, '0') as hash_id from documents""")
+@query("""with h as (select doc_id, 'doc' || lpad((('0x' || substr(md5(regexp_replace(lower(concat_ws('|', text, source)), '[\\s\\x{0B}\\x{85}\\p{Z}]+', '', 'g')), 1, 8))::bigint % 100000000)::varchar, 8, '0') as h from documents),
+n as (select *, row_number() over (partition by h order by doc_id) - 1 as n from h)
+select h || case when n > 0 then '_' || case when n < 1000 then lpad(n::varchar, 3, '0') else n::varchar end else '' end as hash_id, doc_id from n""")
 def hash_doc_id(spark, d):
-    return _t(spark, d, "documents").select("doc_id", fn.hash_id(F.substring("text", 1, 40), F.col("source")).alias("hash_id"))
+    docs = _t(spark, d, "documents").select("doc_id", F.col("text").alias("title"), F.col("source").alias("institution"))
+    return corpus.generate_hash_ids(docs, ["doc_id"], "hash_id").select("hash_id", "doc_id")
 
 
 def _score_sql(t, c):
@@ -216,7 +231,7 @@ def compound_change_count(spark, d):
 
 @query(f"with {NG} select ngram, frequency, ngram_size, pos_tag from ng")
 def ngrams_2_3(spark, d):
-    return _ngrams(spark, d)
+    return _ngrams(_words(spark, d))
 
 
 @query(f"with {NG} select ngram_size, count(*) as n, sum(frequency)::bigint as total from gc group by ngram_size")
@@ -226,12 +241,12 @@ def ngram_size_counts(spark, d):
 
 @query(f"with {NG} select ngram, frequency, ngram_size, pos_tag from ng where length(ngram) <= 20 order by frequency desc, ngram_size, ngram")
 def dictionary_candidates(spark, d):
-    return ngrams.dictionary_candidates(_ngrams(spark, d)).orderBy(F.desc("frequency"), "ngram_size", "ngram")
+    return ngrams.dictionary_candidates(_ngrams(_words(spark, d))).orderBy(F.desc("frequency"), "ngram_size", "ngram")
 
 
 def _cand(spark, d):
     src = _t(spark, d, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "source")
-    t = _nouns(spark, d).select("doc_id", F.explode("nouns").alias("word")).join(src, "doc_id")
+    t = nouns.each(_nouns(spark, d), "doc_id", name="word").join(src, "doc_id")
     return t.groupBy("word", F.col("source").alias("ord")).agg(F.count("*").alias("freq")).withColumn("context", F.concat_ws(" ", "word", "ord"))
 
 
@@ -277,12 +292,12 @@ def candidate_quality_flags(spark, d):
     return ngrams.quality_flags(_cand(spark, d), GENERIC).select("word", "ord", "cut_short", "generic", "low_frequency", "duplicated")
 
 
-def _entries(spark, d, priority=1):
-    return ngrams.dictionary_entries(ngrams.dictionary_candidates(_ngrams(spark, d)), "ngram", "pos_tag", "NNG", priority, "ngram")
+def _entries(found, priority=1):
+    return ngrams.dictionary_entries(ngrams.dictionary_candidates(_ngrams(ngrams.long_words(found))), "ngram", "pos_tag", "NNG", priority, "ngram")
 
 
-def _existing(spark, d):
-    top = nouns.noun_document_frequency(_nouns(spark, d), 50)
+def _existing(found):
+    top = nouns.noun_document_frequency(found, 50)
     return ngrams.dictionary_entries(top.withColumn("tag", F.lit("")), "noun", "tag", "NNP", 0, "noun", 1.0)
 
 
@@ -296,12 +311,13 @@ def _first_sql(t):
 
 @query(f"with {ENT} select * from {_first_sql('ent')} order by word")
 def user_dictionary_build(spark, d):
-    return ngrams.merge_dictionaries([_entries(spark, d)])
+    return ngrams.merge_dictionaries([_entries(_nouns(spark, d))])
 
 
 @query(f"with {EXI} select * from {_first_sql('every')} order by word")
 def user_dictionary_merge(spark, d):
-    return ngrams.merge_dictionaries([_existing(spark, d), _entries(spark, d)])
+    found = _kept_nouns(spark, d)
+    return ngrams.merge_dictionaries([_existing(found), _entries(found)])
 
 
 @query(f"with {EXI} select tag, count(*) as n from {_first_sql('every')} group by tag")
@@ -311,7 +327,7 @@ def dictionary_tag_distribution(spark, d):
 
 @query(f"with {N}, x as (select doc_id, count(*) as n_nouns from noun group by doc_id) select x.doc_id, n_nouns, quality, toxic from x left join (select doc_id::varchar as doc_id, quality, toxic from labels) y using (doc_id)")
 def noun_metadata_left_join(spark, d):
-    n = _nouns(spark, d).where(F.size("nouns") > 0).select("doc_id", F.size("nouns").cast("long").alias("n_nouns"))
+    n = _kept_nouns(spark, d).where(F.size("nouns") > 0).select("doc_id", F.size("nouns").cast("long").alias("n_nouns"))
     return corpus.left_join_metadata(n, _t(spark, d, "labels").withColumn("doc_id", F.col("doc_id").cast("string")))
 
 
@@ -333,23 +349,25 @@ def term_doc_frequency(spark, d):
 
 @query(f"with {STATS} select doc_id, term, tf from cells join stats using (term) where frequency >= 2")
 def dfm_trim(spark, d):
-    return dtm.trim(_cells(spark, d)).select("doc_id", "term", "tf")
+    return dtm.trim(Store(spark).keep(_cells(spark, d), "cells")).select("doc_id", "term", "tf")
 
 
 def _sparse_sql(where):
-    return f"select (select n from nd) as n_docs, count(*) as n_terms, sum(docfreq)::bigint as nonzero, sum(frequency)::bigint as total_tokens, round(1 - sum(docfreq) / (count(*) * (select n from nd)), 9) as sparsity, (sum(docfreq) * 8)::bigint as memory_bytes from stats {where}"
+    return f"select (select n from nd) as n_docs, count(*) as n_terms, sum(docfreq)::bigint as nonzero, sum(frequency)::bigint as total_tokens, round(sum(frequency) / (select n from nd), 6) as mean_tokens, round(1 - sum(docfreq) / (count(*) * (select n from nd)), 9) as sparsity, (sum(docfreq) * 8)::bigint as memory_bytes from stats {where}"
 
 
 @query(f"with {STATS} select 'before' as stage, * from ({_sparse_sql('')}) union all select 'after', * from ({_sparse_sql('where frequency >= 2')})")
 def sparsity_report(spark, d):
-    n, cells = _corpus(spark, d).count(), _cells(spark, d)
-    part = lambda name, c: dtm.sparsity(c, n).select(F.lit(name).alias("stage"), "*")
-    return part("before", cells).unionAll(part("after", dtm.trim(cells)))
+    n, cells = _counted(spark, d)
+    stats = Store(spark).keep(dtm.term_stats(cells), "terms")
+    part = lambda name, s: dtm.sparsity(s, n).select(F.lit(name).alias("stage"), "*")
+    return part("before", stats).unionAll(part("after", stats.where("frequency >= 2")))
 
 
 @query(f"with {STATS} select doc_id, term, tf, round(tf * log10((select n from nd)::double / docfreq), 6) as weight from cells join stats using (term)")
 def tfidf_cells(spark, d):
-    return dtm.tfidf(_cells(spark, d), _corpus(spark, d).count())
+    n, cells = _counted(spark, d)
+    return dtm.tfidf(Store(spark).keep(cells, "cells"), n)
 
 
 TOP = "select term as feature, frequency, docfreq, round(frequency * log10((select n from nd)::double / docfreq), 6) as tfidf_score from stats where frequency >= 2"
@@ -357,12 +375,14 @@ TOP = "select term as feature, frequency, docfreq, round(frequency * log10((sele
 
 @query(f"with {STATS} {TOP} order by tfidf_score desc, feature limit 30")
 def tfidf_top_terms(spark, d):
-    return dtm.tfidf_terms(dtm.trim(_cells(spark, d)), _corpus(spark, d).count())
+    n, cells = _counted(spark, d)
+    return dtm.tfidf_terms(cells, n, min_termfreq=2)
 
 
 @query(f"with {STATS}, top as ({TOP} order by tfidf_score desc, feature limit 150) select feature, round((tfidf_score + case when (select min(tfidf_score) from top) <= 0 then abs((select min(tfidf_score) from top)) + 0.1 else 0 end) * 1000)::bigint as cloud_weight from top")
 def tfidf_cloud_scale(spark, d):
-    return dtm.cloud_weights(dtm.tfidf_terms(dtm.trim(_cells(spark, d)), _corpus(spark, d).count(), 150))
+    n, cells = _counted(spark, d)
+    return dtm.cloud_weights(Store(spark).keep(dtm.tfidf_terms(cells, n, 150, min_termfreq=2), "terms"))
 
 
 @query(f"with {TOK} select count(*) as n_docs, sum(len(w))::bigint as n_tokens, round(avg(len(w)), 6) as mean_tokens from l")
@@ -372,7 +392,8 @@ def tokens_per_document(spark, d):
 
 
 def _frequent(spark, d, least=20):
-    return dtm.trim(_cells(spark, d), min_termfreq=least)
+    store = Store(spark)
+    return store.keep(dtm.trim(store.keep(_cells(spark, d), "cells"), min_termfreq=least), "frequent")
 
 
 FREQ = STATS + ", fc as (select doc_id, term, tf from cells join stats using (term) where frequency >= 20), lang as (select doc_id::varchar as doc_id, lang from documents)"
@@ -388,17 +409,21 @@ def _langs(spark, d):
     return _t(spark, d, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "lang")
 
 
-def _beta(spark, d):
-    c = _frequent(spark, d).join(_langs(spark, d), "doc_id").groupBy(F.col("lang").alias("topic"), "term").agg(F.sum("tf").alias("tf"))
+def _beta(spark, d, frequent=None):
+    c = (frequent or _frequent(spark, d)).join(_langs(spark, d), "doc_id").groupBy(F.col("lang").alias("topic"), "term").agg(F.sum("tf").alias("tf"))
+    c = Store(spark).keep(c, "counts")
     n = c.groupBy("topic").agg(F.sum("tf").alias("n"))
-    return c.join(n, "topic").select("topic", "term", (F.col("tf") / F.col("n")).alias("prob"))
+    return Store(spark).keep(c.join(F.broadcast(n), "topic").select("topic", "term", (F.col("tf") / F.col("n")).alias("prob")), "beta")  # a row per language
 
 
 def _theta(spark, d):
-    s = _frequent(spark, d).join(_beta(spark, d), "term").groupBy("doc_id", "topic").agg(F.sum(F.col("tf") * F.col("prob")).alias("s"))
+    frequent = _frequent(spark, d)
+    s = frequent.join(_beta(spark, d, frequent), "term").groupBy("doc_id", "topic").agg(F.sum(F.col("tf") * F.col("prob")).alias("s"))
+    s = Store(spark).keep(s, "shares")
     total = s.groupBy("doc_id").agg(F.sum("s").alias("total"))
     every = total.select("doc_id", "total", F.explode(F.array(*map(F.lit, LANGS))).alias("topic"))
-    return every.join(s, ["doc_id", "topic"], "left").select("doc_id", "topic", F.round(F.coalesce("s", F.lit(0.0)) / F.col("total"), 9).alias("prop"))
+    t = every.join(s, ["doc_id", "topic"], "left").select("doc_id", "topic", F.round(F.coalesce("s", F.lit(0.0)) / F.col("total"), 9).alias("prop"))
+    return Store(spark).keep(t, "theta")
 
 
 BETA = FREQ + ", lc as (select lang as topic, term, sum(tf) as tf from fc join lang using (doc_id) group by all), beta as (select topic, term, tf / sum(tf) over (partition by topic) as prob from lc)"
@@ -409,8 +434,8 @@ THETA = BETA + f""", sc as (select doc_id, topic, sum(tf * prob) as s from fc jo
 ev as (select doc_id, total, unnest({LANGS}) as topic from tt), theta as (select doc_id, topic, round(coalesce(s, 0) / total, 9) as prop from ev left join sc using (doc_id, topic))"""
 
 
-def _scored(spark, d):
-    return topics.label_scores(_beta(spark, d))
+def _scored(spark, d, frequent=None):
+    return topics.label_scores(_beta(spark, d, frequent))
 
 
 def _labels(by):
@@ -465,8 +490,9 @@ p as (select x.topic, x.rank as i, y.rank as j from tw x join tw y on x.topic =
 b as (select x.topic, x.rank as i, y.rank as j, count(*) as c from h x join h y on x.topic = y.topic and x.doc_id = y.doc_id and x.rank > y.rank group by all)
 select p.topic, round(sum(ln((coalesce(c, 0) + 1) / d)), 6) as coherence from p left join b using (topic, i, j) join dd on dd.topic = p.topic and dd.rank = p.j group by p.topic""")
 def semantic_coherence(spark, d):
-    words = topics.top_words(_scored(spark, d).withColumn("prob", F.round("prob", 9)), "prob", 10)
-    return topics.coherence(_frequent(spark, d), words)
+    frequent = _frequent(spark, d)
+    words = topics.top_words(_scored(spark, d, frequent).withColumn("prob", F.round("prob", 9)), "prob", 10)
+    return topics.coherence(frequent, Store(spark).keep(words, "words"))
 
 
 @query(f"with {TOP10} select topic, round(sum(frex), 5) as exclusivity from tw join scored using (topic, term) group by topic")

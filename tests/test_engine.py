@@ -128,3 +128,56 @@ def test_the_rest_works_without_the_operators():
     import __spark_entry__
 
     assert "tfidf_top_terms" in __spark_entry__.queries()
+
+
+def test_given_ids_that_look_like_suffixes_stay_unique(spark):
+    df = spark.createDataFrame([("1", "a"), ("1", "b"), ("1_001", "c"), (None, "d"), (None, "e")], "doc_id string, x string")
+    ids = sorted(r["doc_id"] for r in corpus.standardize_ids(df, only_duplicates=True).collect())
+    assert ids == ["1", "1_001", "1__001", "row__001", "row__002"]
+
+
+def test_rows_without_any_part_are_numbered_and_long_runs_keep_their_number(spark):
+    df = spark.createDataFrame([("t", i) for i in range(1102)] + [(None, i) for i in range(3)], "title string, i int")
+    ids = [r["doc_id"] for r in corpus.generate_hash_ids(df, ["i"]).orderBy("doc_id").collect()]
+    assert len(set(ids)) == 1105 and {"row_1", "row_2", "row_3"} <= set(ids) and any(x.endswith("_1101") for x in ids)
+
+
+def test_columns_of_an_export_that_was_not_standardised(spark):
+    df = spark.createDataFrame([("a", "b", "c", "d")], "`논문 일련` string, `영문 초록` string, `국문 초록문` string, source_file string")
+    assert corpus.resolve_columns(df) == ("논문 일련", "국문 초록문")
+    assert corpus.resolve_columns(spark.createDataFrame([(1, "a")], "x int, y string")) == ("x", "y")
+    real = spark.createDataFrame([("7", "초록 " * 40, "c2020"), ("8", "초록 " * 40, "2021")], "`Article ID` string, `국문 초록 (Abstract)` string, `Publication Year` string")
+    got = corpus.standardize(real).orderBy("doc_id").collect()
+    assert [(r["doc_id"], r["pub_year"]) for r in got] == [("7", None), ("8", 2021)] and got[0]["abstract"].startswith("초록")
+
+
+def test_punctuation_ends_a_word(spark):
+    df = spark.createDataFrame([("1", "a.b cd-ef, gh (ij)12 +kl")], "doc_id string, abstract string")
+    assert dtm.tokenize(df).first()["nouns"] == ["cd", "ef", "gh", "ij", "12", "kl"]
+
+
+def test_tags_and_a_python_tagger(spark):
+    def make():
+        return lambda text: [(w, "XSN" if w == "s" else "NNG") for w in (1 / 0 if text == "bad" else text.split())]
+
+    df = spark.createDataFrame([("1", "a s b s"), ("2", "bad"), ("3", None)], "doc_id string, abstract string")
+    tagged = nouns.PythonTagger(make).tag(df)
+    assert {r["doc_id"]: r["nouns"] for r in nouns.extract_nouns(tagged).collect()} == {"1": ["as", "bs"], "2": [], "3": []}
+    assert {(r["tag"], r["kinds"], r["total"]) for r in nouns.tag_totals(tagged, ["XSN", "NNG"]).collect()} == {("XSN", 1, 2), ("NNG", 2, 2)}
+
+
+def test_pipeline_and_stream(spark, tmp_path):
+    from noria.plans.pipeline import EngineConfig, Pipeline
+    from noria.streaming.nouns import stream_nouns
+
+    rng = random.Random(2)
+    rows = [(f"title {i}", " ".join(rng.choice(["apple", "pear", "plum"] if i % 2 else ["steel", "iron", "zinc"]) for _ in range(30))) for i in range(40)]
+    raw = spark.createDataFrame(rows, "title string, abstract string")
+    engine = Pipeline(spark, str(tmp_path / "out"), EngineConfig(topics=2, max_em=3))
+    report = engine.run(raw)
+    assert [s for s, _ in report.steps.values()] == ["done"] * 5 and engine.missing_outputs() == []
+    assert {r["feature"] for r in engine.table("terms").collect()} == {"apple", "pear", "plum", "steel", "iron", "zinc"}
+    engine.table("corpus").select("doc_id", "abstract").write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("doc_id string, abstract string").parquet(str(tmp_path / "in"))
+    stream_nouns(stream, nouns.RuleTagger([], [], []), str(tmp_path / "found"), str(tmp_path / "check")).awaitTermination()
+    assert sorted(map(str, spark.read.parquet(str(tmp_path / "found")).collect())) == sorted(map(str, engine.table("nouns").collect()))
