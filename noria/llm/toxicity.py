@@ -20,8 +20,12 @@ PARTS = 1 + len(PREFIXES)
 SAMPLE = 4000
 #: A bucket met in fewer training documents has no embedding.
 MIN_DOCS = 5
+#: Share of the words that a step of the fit leaves out, and how fast the embeddings it meets shrink.
+DROP, DECAY = 0.5, 0.05
 #: Bins a unit of log odds has in the histograms that calibrate, and their ends.
 BINS, LEAST, MOST = 256, -32 * 256, 32 * 256 - 1
+#: Folds of the fitted documents, each scored by a model of the others for the calibration.
+FOLDS = 3
 #: Labelled documents of each class a language needs for a threshold of its own.
 MIN_LANGUAGE = 20
 
@@ -83,7 +87,7 @@ def logits(model: Model, buckets: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return pooled @ model.out + model.out_bias
 
 
-def fit(texts: list[np.ndarray], labels: np.ndarray, epochs: int = 6, least_steps: int = 600, batch: int = 32, rate: float = 0.02, seed: int = 5) -> Model:
+def fit(texts: list[np.ndarray], labels: np.ndarray, epochs: int = 6, least_steps: int = 600, batch: int = 32, rate: float = 0.02, drop: float = DROP, decay: float = DECAY, seed: int = 5) -> Model:
     """Adam on the log loss, for at least `least_steps` batches; each max passes its gradient to the window it came from."""
     rng = np.random.default_rng(seed)
     model = Model()
@@ -111,7 +115,9 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, epochs: int = 6, least_step
             step += 1
             buckets = np.concatenate([texts[i] for i in pick])
             rows = np.cumsum([0, *(len(texts[i]) for i in pick)])
-            e = _embed(model, buckets)
+            # words are left out at random, so no few of them can carry a document
+            kept = (rng.random(len(buckets)) >= drop).astype(np.float32)[:, None]
+            e = _embed(model, buckets) * kept
             zs = _convolve(model, e, rows)
             at = np.stack([np.concatenate([rows[d] + z[rows[d] : rows[d + 1]].argmax(axis=0) for z in zs]) for d in range(len(pick))])
             cols = np.arange(at.shape[1])
@@ -131,7 +137,7 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, epochs: int = 6, least_step
                     g = d_act[:, i * FILTERS : (i + 1) * FILTERS] * ok
                     grads[f"f{i}"][j] = np.einsum("dfk,df->kf", e[pos], g)
                     where.append(pos.ravel())
-                    value.append((g[:, :, None] * model.filters[i][j].T[None]).reshape(-1, DIM))
+                    value.append((g[:, :, None] * model.filters[i][j].T[None]).reshape(-1, DIM) * kept[pos.ravel()])
             model.out_bias -= rate * float(d_logit.sum())
             for k, v in params.items():
                 m1[k] = 0.9 * m1[k] + 0.1 * grads[k]
@@ -146,21 +152,38 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, epochs: int = 6, least_step
             hit, g = hit[keep], g[keep]
             t1[hit] = 0.9 * t1[hit] + 0.1 * g
             t2[hit] = 0.99 * t2[hit] + 0.01 * g**2
-            model.table[hit] -= rate * t1[hit] / (np.sqrt(t2[hit]) + 1e-6)
+            model.table[hit] -= rate * t1[hit] / (np.sqrt(t2[hit]) + 1e-6) + decay * model.table[hit]
     return model
 
 
-def calibrate(model: Model, z: np.ndarray, labels: np.ndarray, langs: list, counts: np.ndarray | None = None, fitted: tuple[int, int] = (0, 0)) -> None:
-    """Platt scaling on documents the fit has not seen, then the threshold of best F1 for each language.
+def out_of_fold(texts: list[np.ndarray], labels: np.ndarray, folds: int = FOLDS) -> np.ndarray:
+    """Log odds of each text by a model that was fitted on the other folds; each class is dealt evenly to the folds."""
+    rng, fold, z = np.random.default_rng(8), np.zeros(len(texts), np.int64), np.zeros(len(texts))
+    for y in (0, 1):
+        mine = np.flatnonzero(labels == y)
+        fold[rng.permutation(mine)] = np.arange(len(mine)) % folds
+    for k in range(folds):
+        held = np.flatnonzero(fold == k)
+        if not len(held):
+            continue
+        model = fit([texts[i] for i in np.flatnonzero(fold != k)], labels[fold != k])
+        for lo in range(0, len(held), 256):
+            some = held[lo : lo + 256]
+            z[some] = logits(model, np.concatenate([texts[i] for i in some]), np.cumsum([0, *(len(texts[i]) for i in some)]))
+    return z
+
+
+def calibrate(model: Model, z: np.ndarray, labels: np.ndarray, langs: list, counts: np.ndarray | None = None, share: float | None = None) -> None:
+    """Platt scaling on log odds of models that have not seen the document, then the threshold of best F1 for each language.
 
-    counts: documents of each (z, label, language), 1 where it is missing.  fitted: clean
-    and toxic documents that the fit took; with them, the classes weigh as in all labels.
+    counts: documents of each (z, label, language), 1 where it is missing.  share: that of
+    the toxic ones in all labels, by which the classes weigh.
     """
     counts = np.ones(len(z)) if counts is None else counts
     pos, neg = float(counts[labels > 0].sum()), float(counts[labels == 0].sum())
     if not pos or not neg:
         return
-    share = (pos + fitted[1]) / (pos + neg + sum(fitted))
+    share = pos / (pos + neg) if share is None else share
     weight = counts * np.where(labels > 0, share / pos, (1 - share) / neg) * (pos + neg)
     target = np.where(labels > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
     w = np.array([1.0, 0.0])
@@ -194,40 +217,49 @@ def _gather(batches):
         for lo, texts in slices(batch.column(1)):
             buckets, rows = word_buckets(texts)
             parts = [buckets[a:b].ravel().astype(np.uint64) for a, b in zip(rows[:-1], rows[1:], strict=True)]
-            rest = [c.slice(lo, len(texts)) for i, c in enumerate(batch.columns) if i != 1]
-            yield pa.RecordBatch.from_arrays([*rest, longs(parts).cast(pa.list_(pa.int32()))], ["id", "y", "words"])
+            rest = {batch.schema.names[i]: c.slice(lo, len(texts)) for i, c in enumerate(batch.columns) if i != 1}
+            yield pa.RecordBatch.from_pydict(rest | {"words": longs(parts).cast(pa.list_(pa.int32()))})
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic", sample: int = SAMPLE) -> Model:
     """A model from labelled rows for which `learn` (over labels) holds.
 
-    A fifth of them is never fitted on.  The fit takes of the others at most `sample`
-    rows of each class, those with the least hash of their id, and their whole texts,
-    which the driver holds (12 bytes a word).  All labelled rows that it did not take calibrate, scored in Spark over
-    their whole texts and counted by language, label and log odds; the classes weigh
-    as in all labels, so the prior is the same at every size.  Rows with a null label
-    or id teach nothing.  Languages choose a threshold, never a score.
+    The fit takes at most `sample` rows of each class, those with the least hash of
+    their id, and their whole texts, which the driver holds (12 bytes a word).  It is
+    calibrated on all labelled rows: each of those it took by a model of the other
+    folds, all others by itself, scored in Spark over their whole texts and counted by
+    language, label and log odds.  The classes weigh as in all labels, so the prior is
+    the same at every size.  Rows with a null label or id teach nothing; a row whose
+    id has both labels counts as each.  Without rows of both classes the model has no
+    filters, and every text gets the same score.  Languages choose a threshold, never a
+    score.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     rows = labels.where(learn & F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).distinct()
-    order, mine = F.xxhash64("id", F.lit(3)), rows.where(F.pmod(F.xxhash64("id", F.lit(4)), F.lit(5)) != 0)
-    picked = scratch.cut(mine.where("y = 1").orderBy(order, "id").limit(sample).unionAll(mine.where("y = 0").orderBy(order, "id").limit(sample)), "picked")
+    order, total = F.xxhash64("id", F.lit(3)), {y: n for y, n in rows.groupBy("y").count().collect()}
+    picked = scratch.cut(rows.where("y = 1").orderBy(order, "id").limit(sample).unionAll(rows.where("y = 0").orderBy(order, "id").limit(sample)), "picked")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     # at most 2 * sample rows of two numbers
-    joined = texts.join(F.broadcast(picked), "id").select("id", "text", "y")
-    got = joined.mapInArrow(_gather, "id long, y int, words array<int>").toArrow().sort_by("id")
-    flat, at = got.column("words").combine_chunks(), None
-    at = np.asarray(flat.offsets)
-    values = np.asarray(flat.values)
+    joined = texts.join(F.broadcast(picked), "id").select("id", "text", "y", "lang")
+    got = joined.mapInArrow(_gather, "id long, y int, lang string, words array<int>").toArrow().sort_by([("id", "ascending"), ("y", "ascending")])
+    flat = got.column("words").combine_chunks()
+    at, values = np.asarray(flat.offsets), np.asarray(flat.values)
     words = [values[a:b].reshape(-1, PARTS) for a, b in zip(at[:-1], at[1:], strict=True)]
     y = np.asarray(got.column("y")).astype(np.float64)
     model = fit(words, y)
-    kept_out = rows.join(F.broadcast(picked.select("id")), "id", "left_anti")
-    # scored before the join, so texts are not shuffled
-    scored = texts.where("id is not null").mapInArrow(_log_odds(spark.sparkContext.broadcast(model)), "id long, lang string, bin int")
-    seen = scored.join(kept_out, "id").groupBy("lang", "y", "bin").agg(F.count("*").alias("n")).orderBy("lang", "y", "bin").toPandas()
-    z, counts = (seen["bin"].to_numpy(np.float64) + 0.5) / BINS, seen["n"].to_numpy(np.float64)
-    calibrate(model, z, seen["y"].to_numpy(np.float64), [x if isinstance(x, str) else None for x in seen["lang"]], counts, (int((y == 0).sum()), int(y.sum())))
+    z, langs, counts = out_of_fold(words, y), got.column("lang").to_pylist(), np.ones(len(y))
+    if sum(total.values()) > picked.count():
+        others = rows.join(F.broadcast(picked), ["id", "y"], "left_anti")
+        sent = spark.sparkContext.broadcast(model)
+        # scored before the join, so texts are not shuffled
+        scored = texts.where("id is not null").mapInArrow(_log_odds(sent), "id long, lang string, bin int")
+        seen = scored.join(others, "id").groupBy("lang", "y", "bin").agg(F.count("*").alias("n")).orderBy("lang", "y", "bin").toPandas()
+        sent.unpersist()
+        z = np.concatenate([z, (seen["bin"].to_numpy(np.float64) + 0.5) / BINS])
+        y, counts = np.concatenate([y, seen["y"].to_numpy(np.float64)]), np.concatenate([counts, seen["n"].to_numpy(np.float64)])
+        langs += [x if isinstance(x, str) else None for x in seen["lang"]]
+    calibrate(model, z, y, langs, counts, total.get(1, 0) / max(1, sum(total.values())))
+    scratch.drop(picked)
     return model
 
 
