@@ -18,6 +18,11 @@ from noria.llm.common import Scratch, own
 #: Bytes of an archive after which the next one begins; a reader holds one archive.
 ARCHIVE_BYTES = 8 << 20
 MIN_REVISIT = 100
+#: Bytes of a gzip member that are inflated at once.
+PIECE = 1 << 16
+#: Digests of pages that occur twice that may be broadcast, about 100 bytes each; beyond, payloads are dealt by salted digest.
+BROADCAST_DIGESTS, SALTS = 200_000, 32
+ALGORITHMS = ("md5", "sha1", "sha224", "sha256", "sha384", "sha512")
 GZIP = b"\x1f\x8b\x08"
 VERSIONS = (b"WARC/1.0", b"WARC/1.1")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -50,7 +55,7 @@ def differs(said: str, data: bytes) -> bool:
     """Whether a digest "algorithm:value" in hex, base32 or base64 is not that of `data`; False if it cannot be told."""
     name, sep, value = said.partition(":")
     name, value = name.strip().lower().replace("-", ""), value.strip()
-    if not sep or name not in ("md5", "sha1", "sha224", "sha256", "sha384", "sha512"):
+    if not sep or name not in ALGORITHMS:
         return False
     is_ = hashlib.new(name, data, usedforsecurity=False).digest()
     bare, n = value.rstrip("="), len(is_)
@@ -91,15 +96,31 @@ def parse_record(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
     return headers, block, end + 4
 
 
-def _member_end(data: bytes, at: int) -> tuple[bytes, int]:
-    z = zlib.decompressobj(31)
-    try:
-        out = z.decompress(memoryview(data)[at:])
-    except zlib.error as e:
-        raise BadRecord(f"gzip: {e}") from None
-    if not z.eof:
-        raise BadRecord("gzip: cut short")
-    return out, len(data) - len(z.unused_data)
+def _inflate(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """(what the gzip member at `at` holds as far as it inflates, its end, what is wrong with it).
+
+    It is fed a piece at a time, so the rest of the archive is not touched; the piece
+    that fails is fed in ever smaller ones, so what came before the fault is kept.
+    """
+    z, out, view, pos, step = zlib.decompressobj(31), [], memoryview(data), at, PIECE
+    while pos < len(data):
+        before = z.copy()
+        try:
+            out.append(z.decompress(view[pos : pos + step]))
+        except zlib.error as e:
+            if step == 1:
+                return b"".join(out), pos, f"gzip: {e}"
+            z, step = before, max(1, step >> 5)
+            continue
+        pos = min(pos + step, len(data))
+        if z.eof:
+            return b"".join(out), pos - len(z.unused_data), ""
+    return b"".join(out), pos, "gzip: cut short"
+
+
+def _checked(headers: dict[str, str]) -> bool:
+    """Whether a digest of the whole block is named that parse_record compares."""
+    return headers.get("warc-block-digest", "").partition(":")[0].strip().lower().replace("-", "") in ALGORITHMS
 
 
 def _inside(inner: bytes, start: int, end: int):
@@ -126,19 +147,35 @@ def salvage(data: bytes):
     bytes up to the next place at which a valid member or record starts are a gap.
     Every byte is in exactly one record or gap.
 
-    A member that inflates but holds a bad record keeps its other records, from the
-    next version line in its inflated bytes on; each bad stretch is a gap of its own
-    with the member's start and end, as its records have.  A member that does not
-    inflate to its end is a gap as a whole.
+    A member that holds a bad record keeps its other records, from the next version line
+    in its inflated bytes on; each bad stretch is a gap of its own with the member's start
+    and end, as its records have.  A member that does not inflate to its end keeps the
+    records before the fault: all that are whole where it is cut short, those with a block
+    digest where its data is wrong.  These end where the next valid place is found, as the
+    gap for the rest does.
     """
-    at, gap, why = 0, None, ""
+    at, gap, why, held = 0, None, "", []
+
+    def quarantined(end):
+        for _, _, _, headers, block in held:
+            yield "record", gap, end, headers, block
+        yield "gap", gap, end, why, b""
+
     while at < len(data):
         found = []
         try:
             if data.startswith(GZIP, at):
-                inner, end = _member_end(data, at)
+                inner, end, fault = _inflate(data, at)
                 found = list(_inside(inner, at, end))
-                if not any(f[0] == "record" for f in found):
+                good = [f for f in found if f[0] == "record"]
+                if fault:
+                    good = [f for f in good if fault == "gzip: cut short" or _checked(f[3])]
+                    if good:
+                        if gap is not None:
+                            yield from quarantined(at)
+                        gap, why, held = at, fault, good
+                    raise BadRecord(fault)
+                if not good:
                     if gap is None:
                         gap, why = at, found[0][3] if found else "an empty member"
                     at = end
@@ -153,12 +190,12 @@ def salvage(data: bytes):
             at = min(nxt, default=len(data))
             continue
         if gap is not None:
-            yield "gap", gap, at, why, b""
-            gap = None
+            yield from quarantined(at)
+            gap, held = None, []
         yield from found
         at = end
     if gap is not None:
-        yield "gap", gap, len(data), why, b""
+        yield from quarantined(len(data))
 
 
 def _filesystem(uri: str):
@@ -203,18 +240,23 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     Of pages with equal payloads (UTF-8 of html, null: empty) of at least 100 bytes the
     one with the least id is a response and the others revisit it; repeated rows of
     that id are responses all.  The least id of a digest is a partial aggregate, and
-    only digests that occur twice are joined back.
+    only digests that occur twice are joined back: broadcast up to BROADCAST_DIGESTS of
+    them, so that payloads are not shuffled, and by salted digest beyond.
 
     Nulls: a null url is empty; a null id is written as "null", and takes part in no
     group.
     """
-    n = own(pages.columns, "first")
+    n = own(pages.columns, "first", "salt")
     html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), html.alias("html")).withColumn("digest", F.sha2(F.col("html").cast("binary"), 256))
     able = (F.octet_length("html") >= MIN_REVISIT) & F.col("page_id").isNotNull()
     firsts = rows.where(able).groupBy("digest").agg(F.min("page_id").alias(n["first"]), F.max("page_id").alias("last")).where(F.col("last") > F.col(n["first"])).drop("last")
-    # payloads stay out of the join's shuffle where the first ids are few
-    joined = rows.join(firsts, "digest", "left")
+    firsts = Scratch(pages.sparkSession).cut(firsts, "firsts")
+    if firsts.count() <= BROADCAST_DIGESTS:
+        joined = rows.join(F.broadcast(firsts), "digest", "left")
+    else:  # pages of one payload, of which there may be many, go to SALTS tasks
+        salted = firsts.withColumn(n["salt"], F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = rows.withColumn(n["salt"], F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")).join(salted, ["digest", n["salt"]], "left")
     refers = F.when(able & (F.col("page_id") > F.col(n["first"])), F.col(n["first"]))
     filesystem, base = _filesystem(folder)
     filesystem.create_dir(base, recursive=True)

@@ -267,7 +267,42 @@ def test_warc_member_keeps_what_is_good_around_a_bad_record():
     assert sum(b - a for a, b in {(f[1], f[2]) for f in found}) == len(data)
 
 
-def test_warc_revisits(spark):
+def test_warc_keeps_what_comes_before_a_fault_inside_a_member():
+    rng = np.random.default_rng(1)
+    made = [_foreign("resource", rng.bytes(3000), i) for i in range(20)]
+    whole = warc.member(b"".join(made))
+    ids = lambda found: [f[3]["warc-record-id"][10:-1] if f[0] == "record" else "gap" for f in found]
+    spans = lambda found: sum(b - a for a, b in {(f[1], f[2]) for f in found})
+    cut = whole[: len(whole) * 3 // 4] + warc.member(made[0]) + b"tail"
+    found = list(warc.salvage(cut))
+    assert spans(found) == len(cut) and ids(found)[-3:] == ["gap", "0", "gap"]
+    alone = list(warc.salvage(whole[: len(whole) * 3 // 4]))
+    assert ids(alone) == [*map(str, range(14)), "gap", "gap"][: len(alone)] and len(alone) >= 15
+    # with digests, records before wrong data stay; the damaged one does not
+    made = [warc.record("response", "http://a/", str(i), x := rng.bytes(3000), hashlib.sha256(x).hexdigest(), 3000) for i in range(6)]
+    bad = bytearray(warc.member(b"".join(made)))
+    bad[len(bad) // 2] ^= 0xFF
+    found = list(warc.salvage(bytes(bad) + warc.member(made[0])))
+    assert ids(found)[:2] == ["0", "1"] and "gap" in ids(found) and ids(found)[-1] == "0" and spans(found) == len(bad) + len(warc.member(made[0]))
+
+
+def test_warc_inflates_each_member_once():
+    """Time a MB does not grow with the archive: no member touches what follows it."""
+    import time
+
+    one = warc.member(warc.record("response", "http://a/", "1", b"x" * 4000, hashlib.sha256(b"x" * 4000).hexdigest(), 4000))
+    took = []
+    for n in (200, 20_000):
+        data, began = one * n, time.process_time()
+        assert sum(1 for _ in warc.salvage(data)) == n
+        took.append((time.process_time() - began) / n)
+    assert took[1] < 4 * took[0]
+
+
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_warc_revisits(spark, monkeypatch, most):
+    monkeypatch.setattr(warc, "BROADCAST_DIGESTS", most)
+
     pages = spark.createDataFrame([(5, "u", "p" * 200), (2, None, "p" * 200), (3, "u", "short"), (4, "u", "short"), (6, "u", None)], "page_id long, url string, html string")
     got = {int(r["record_id"]): (r["record_type"], r["refers_to"], r["payload_bytes"]) for r in warc.write_and_read(pages).collect()}
     assert got == {5: ("revisit", "2", 200), 2: ("response", None, 200), 3: ("response", None, 5), 4: ("response", None, 5), 6: ("response", None, 0)}
