@@ -12,11 +12,15 @@ from pyspark.sql import functions as F
 
 from noria.llm.common import Scratch, crc_mod, longs, slices, word_hashes
 
-#: Words with an output vector of their own; the others are one class with a unigram inside.
-SHORTLIST = 1023
-#: Words whose counts are broadcast, 16 bytes each; the others' counts are joined.
-HEAD = 1 << 16
+#: Words that are classes of their own; the others are dealt into groups of equal mass.
+SHORTLIST, GROUPS = 1023, 256
+#: Words with an output vector of their own: HEAD[0] times the root of the number of distinct words, within the other two.
+#: Their counts and vectors are broadcast, 80 bytes each; the others' counts are joined, and they share a sixteenth as many vectors.
+HEAD = (64, 1 << 16, 1 << 18)
+SHARED = 16
 DIM, MINIBATCH, NOISE, ROUNDS, RATE = 16, 2048, 32, 2, 0.08
+#: Within a group: noise words a step, tokens of a group in a step, and the learning rate.
+GROUP_NOISE, GROUP_STEP, GROUP_RATE = 16, 512, 0.05
 #: The end token's key.
 END = np.uint64(0xE0D0E0D0E0D0E0D1)
 ALPHA = 0.1
@@ -61,25 +65,37 @@ def _counts(batches):
 
 
 class Classes:
-    """Token key -> class: the shortlist's by rank, then `other`; and counts of the head."""
+    """Token key -> class and row: the shortlist's classes by rank, then the groups; a group is a range of rows.
 
-    def __init__(self, head: list[tuple[int, int]], shortlist: int):
+    Rows are the head's other words by rank, then `shared` ones for the hashes of all words
+    outside the head.  Groups are cut at equal mass: of many rare rows, or few frequent ones.
+    """
+
+    def __init__(self, head: list[tuple[int, int]], shortlist: int, shared: np.ndarray):
         keys = np.array([k for k, _ in head], np.int64).view(np.uint64)
         order = np.argsort(keys)
-        self.keys, self.rank = keys[order], order.astype(np.int32)
-        self.count = np.array([c for _, c in head], np.int64)[order]
+        by_rank = np.array([c for _, c in head], np.int64)
+        self.keys, self.rank, self.count = keys[order], order.astype(np.int32), by_rank[order]
         self.k = min(shortlist, len(head))
-        self.other, self.start = self.k, self.k + 1
-
-    def look_up(self, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Class and count of each token; the count is -1 where the head lacks it."""
-        if not len(self.keys):
-            return np.full(len(t), self.other, np.int32), np.full(len(t), -1, np.int64)
+        self.own, self.shared = len(head) - self.k, shared
+        self.mass = np.append(by_rank[self.k :], shared).astype(np.float64)
+        before = np.cumsum(self.mass) - self.mass
+        _, first, group = np.unique((before / self.mass.sum() * GROUPS).astype(np.int64), return_index=True, return_inverse=True)
+        self.bounds, self.group = np.append(first, len(self.mass)).astype(np.int64), group.astype(np.int32)
+        self.start = self.k + len(first)
+        self.noise = np.append(by_rank[: self.k], np.add.reduceat(self.mass, first))
+        self.log_share = np.log(self.mass / self.noise[self.k :][group]).astype(np.float32)
+
+    def look_up(self, t: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Class, row and count of each token; the row is -1 in the shortlist, the count where the head lacks it."""
         u, back = np.unique(t, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.keys, u), len(self.keys) - 1)
-        hit = self.keys[at] == u
-        cls = np.where(hit & (self.rank[at] < self.k), self.rank[at], self.other)
-        return cls[back], np.where(hit, self.count[at], -1)[back]
+        row, count = self.own + (u & np.uint64(len(self.shared) - 1)).astype(np.int64), np.full(len(u), -1)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, u), len(self.keys) - 1)
+            hit = self.keys[at] == u
+            row, count = np.where(hit, self.rank[at] - self.k, row), np.where(hit, self.count[at], -1)
+        cls = np.where(row < 0, row + self.k, self.k + self.group[np.maximum(row, 0)]).astype(np.int32)
+        return cls[back], np.maximum(row, -1)[back], count[back]
 
     def contexts(self, cls: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Classes one and two tokens before, `start` where a text has none."""
@@ -93,20 +109,23 @@ class Classes:
 
 
 class LogBilinear:
-    """s(w | u, v) = (r[u] * c1 + r[v] * c2) . q[w] + b[w], with u and v the two classes before."""
+    """s(class | u, v) = h . q[class] + b[class], with h = r[u] * c1 + r[v] * c2 of the two classes before.
+
+    Within a group, s(row | u, v) = h . rows[row] + ln of the row's share of the group's mass.
+    """
 
-    def __init__(self, noise: np.ndarray, seed: int = 1):
+    def __init__(self, noise: np.ndarray, rows: int = 0, seed: int = 1):
         rng = np.random.default_rng(seed)
         n = len(noise)
         self.noise = noise
-        self.flat = np.concatenate([rng.normal(0, 0.1, (n + 1) * DIM), np.ones(DIM), np.full(DIM, 0.5), rng.normal(0, 0.1, n * DIM), np.log(noise)]).astype(np.float32)
+        self.flat = np.concatenate([rng.normal(0, 0.1, (n + 1) * DIM), np.ones(DIM), np.full(DIM, 0.5), rng.normal(0, 0.1, n * DIM), np.log(noise), np.zeros(rows * DIM)]).astype(np.float32)
         self._view()
 
     def _view(self):
         n = len(self.noise)
         cut = np.cumsum([(n + 1) * DIM, DIM, DIM, n * DIM, n])
-        r, self.c1, self.c2, q, self.b = np.split(self.flat, cut[:-1])
-        self.r, self.q = r.reshape(-1, DIM), q.reshape(-1, DIM)
+        r, self.c1, self.c2, q, self.b, rows = np.split(self.flat, cut)
+        self.r, self.q, self.rows = r.reshape(-1, DIM), q.reshape(-1, DIM), rows.reshape(-1, DIM)
 
     def with_parameters(self, flat: np.ndarray) -> LogBilinear:
         out = LogBilinear.__new__(LogBilinear)
@@ -151,16 +170,71 @@ class LogBilinear:
             dense("c2", np.einsum("ij,ij->j", dh, rv))
         return seen
 
-    def log_norms(self) -> np.ndarray:
-        """ln of the sum over all classes, for every pair of contexts, by batched matrix products."""
-        a, c = self.r * self.c1, self.r * self.c2
-        out = np.empty((len(a), len(a)), np.float32)
-        for i in range(len(a)):
-            s = (a[i] + c) @ self.q.T + self.b
-            top = s.max(axis=1)
-            out[i] = top + np.log(np.exp(s - top[:, None]).sum(axis=1))
+    def train_rows(self, batches, classes: Classes, seed: int, rate: float):
+        """Noise-contrastive steps for the rows of every group at once; then hands each batch on, without its rows, in minibatches.
+
+        A step takes at most GROUP_STEP tokens of each group, against GROUP_NOISE rows that
+        are drawn from the group by mass.
+        """
+        rng = np.random.default_rng(seed)
+        cum = np.append(0.0, np.cumsum(classes.mass))
+        g = np.ones(self.rows.shape, np.float32)
+        log_k = np.float32(math.log(GROUP_NOISE))
+        for w, u, v, row in batches:
+            tail = np.flatnonzero(row >= 0)
+            tail = tail[np.argsort(w[tail], kind="stable")]
+            group = w[tail] - classes.k
+            at = np.arange(len(tail)) - np.searchsorted(group, group)
+            for lo in range(0, int(at.max(initial=-1)) + 1, GROUP_STEP):
+                now = np.flatnonzero((at >= lo) & (at < lo + GROUP_STEP))
+                t, (gs, place) = tail[now], np.unique(group[now], return_inverse=True)
+                low, high = cum[classes.bounds[gs]], cum[classes.bounds[gs + 1]]
+                z = np.searchsorted(cum, low[:, None] + rng.random((len(gs), GROUP_NOISE)) * (high - low)[:, None], side="right") - 1
+                z = np.clip(z, classes.bounds[gs][:, None], classes.bounds[gs + 1][:, None] - 1)
+                h = np.zeros((len(gs), int(at[now].max()) - lo + 1, DIM), np.float32)
+                inside = (place, at[now] - lo)
+                h[inside] = self.r[u[t]] * self.c1 + self.r[v[t]] * self.c2
+                real = np.zeros(h.shape[:2], bool)
+                real[inside] = True
+                qw, qz = self.rows[row[t]], self.rows[z]
+                dp = 1 / (1 + np.exp(-np.clip(np.einsum("ij,ij->i", h[inside], qw) - log_k, -30, 30))) - 1
+                dn = real[:, :, None] / (1 + np.exp(-np.clip(h @ qz.transpose(0, 2, 1) - log_k, -30, 30)))
+                grad = np.concatenate([dp[:, None] * h[inside], (dn.transpose(0, 2, 1).astype(np.float32) @ h).reshape(-1, DIM)])
+                ids = np.append(row[t], z)
+                order = np.argsort(ids, kind="stable")
+                first = np.flatnonzero(np.append(True, np.diff(ids[order]) > 0))
+                rows, total = ids[order][first], np.add.reduceat(grad[order], first, axis=0)
+                g[rows] += total**2
+                self.rows[rows] -= rate * total / np.sqrt(g[rows])
+            for lo in range(0, len(w), MINIBATCH):
+                yield w[lo : lo + MINIBATCH], u[lo : lo + MINIBATCH], v[lo : lo + MINIBATCH]
+
+    def row_logs(self, h: np.ndarray, cls: np.ndarray, row: np.ndarray, classes: Classes) -> np.ndarray:
+        """ln of each token's row within its group, normalised over the group's rows by matrix products; 0 in the shortlist."""
+        out = np.zeros(len(row), np.float64)
+        tail = np.flatnonzero(row >= 0)
+        tail = tail[np.argsort(cls[tail], kind="stable")]
+        cuts = np.searchsorted(cls[tail], np.arange(classes.k, classes.start + 1))
+        for i in np.flatnonzero(np.diff(cuts)):
+            lo, hi = classes.bounds[i : i + 2]
+            q, share = self.rows[lo:hi].T, classes.log_share[lo:hi]
+            step = max(1, (1 << 21) // int(hi - lo))
+            for j in range(cuts[i], cuts[i + 1], step):
+                t = tail[j : min(j + step, cuts[i + 1])]
+                s = h[t] @ q + share
+                top = s.max(axis=1)
+                out[t] = s[np.arange(len(t)), row[t] - lo] - top - np.log(np.exp(s - top[:, None]).sum(axis=1))
         return out
 
+    def log_norms(self) -> np.ndarray:
+        """ln of the sum over all classes, for every pair of contexts: one matrix product of the two contexts' factors."""
+        factors, tops = [], 0.0
+        for x, axis in ((self.r * self.c1 @ self.q.T, 1), (self.r * self.c2 @ self.q.T + self.b, 0)):
+            top = x.max(axis=1, keepdims=True).astype(np.float64)
+            factors.append(np.exp(x - top))
+            tops = tops + (top if axis else top.T)
+        return (np.log(factors[0] @ factors[1].T + np.finfo(np.float64).tiny) + tops).astype(np.float32)
+
 
 def _trained(model, classes, seed: int, rate: float):
     def run(batches):
@@ -172,61 +246,66 @@ def _trained(model, classes, seed: int, rate: float):
             for batch in batches:
                 for _, texts in slices(batch.column(0)):
                     t, rows = tokens(texts)
-                    cls, _ = c.look_up(t)
-                    held.append(np.stack([cls, *c.contexts(cls, rows)]))
+                    cls, row, _ = c.look_up(t)
+                    held.append(np.stack([cls, *c.contexts(cls, rows), row]))
                     if sum(x.shape[1] for x in held) >= 1 << 16:
-                        yield from cut(np.hstack(held))
+                        yield shuffled(np.hstack(held))
                         held = []
             if held:
-                yield from cut(np.hstack(held))
+                yield shuffled(np.hstack(held))
 
-        def cut(x):
-            x = x[:, np.random.default_rng(seed).permutation(x.shape[1])]
-            for lo in range(0, x.shape[1], MINIBATCH):
-                yield x[:, lo : lo + MINIBATCH]
+        def shuffled(x):
+            return x[:, np.random.default_rng(seed).permutation(x.shape[1])]
 
-        n = local.train(steps(), seed + TaskContext.get().partitionId(), rate)
+        own = seed + TaskContext.get().partitionId()
+        n = local.train(local.train_rows(steps(), c, own, GROUP_RATE), own, rate)
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([local.flat.tobytes()])], ["n", "flat"])
 
     return run
 
 
-def _scored(classes, vectors, unigram):
+def _scored(classes, model, vectors):
     log10 = 1 / math.log(10)
 
     def run(batches):
-        c = classes.value
-        a, b2, q, b, norms = vectors.value
+        c, m = classes.value, model.value
+        a, b2, norms = vectors.value
         uid = TaskContext.get().partitionId() << 33
         for batch in batches:
             for lo, texts in slices(batch.column(1)):
                 t, rows = tokens(texts)
-                cls, count = c.look_up(t)
+                cls, row, count = c.look_up(t)
                 one, two = c.contexts(cls, rows)
-                s = np.einsum("ij,ij->i", a[one] + b2[two], q[cls]) + b[cls] - norms[one, two]
+                h = a[one] + b2[two]
+                s = np.einsum("ij,ij->i", h, m.q[cls]) + m.b[cls] - norms[one, two] + m.row_logs(h, cls, row, c)
+                shares = row >= c.own
+                s[shares] -= np.log(c.mass[row[shares]])
                 known = count >= 0
                 logc = np.log10(np.where(known, count, 1) + ALPHA) * known
-                other = cls == c.other
                 first = rows[:-1]
-                sums = [np.add.reduceat(x, first) for x in (s.astype(np.float64) * log10, logc, logc * other, other.astype(np.int64), known.astype(np.int64))]
+                sums = [np.add.reduceat(x, first) for x in (s * log10, logc, known.astype(np.int64))]
                 tail = [t[i:j][~known[i:j]] for i, j in zip(rows[:-1], rows[1:], strict=True)]
                 n = len(texts)
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(uid, uid + n)), batch.column(0).slice(lo, n), pa.array(np.diff(rows)), *map(pa.array, sums), longs(tail)], ["uid", "id", "n_tokens", "lm", "head_log", "other_log", "others", "known", "tail"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(uid, uid + n)), batch.column(0).slice(lo, n), pa.array(np.diff(rows)), *map(pa.array, sums), longs(tail)], ["uid", "id", "n_tokens", "lm", "head_log", "known", "tail"])
                 uid += n
 
     return run
 
 
-def lm_scores(docs: DataFrame, learn: Column | None = None, id_col: str = "doc_id", text_col: str = "text", shortlist: int = SHORTLIST, head: int = HEAD, rounds: int = ROUNDS) -> DataFrame:
+def lm_scores(docs: DataFrame, learn: Column | None = None, id_col: str = "doc_id", text_col: str = "text", shortlist: int = SHORTLIST, head: int | None = None, rounds: int = ROUNDS) -> DataFrame:
     """-> (id_col, n_tokens, n_known, train_tokens, base_score, score), one row per row of `docs`.
 
     Tokens are the words of the whole text (A-Z lower-cased) and one end.  c, N and V
     are counted over all rows for which `learn` holds; base_score is the add-0.1
     unigram's log10 probability.
 
-    score is the log-bilinear model's: the `shortlist` most frequent tokens are classes,
-    all others one class, inside which a token has (c + 0.1) / (N' + 0.1 (V' + 1)) of
-    the tokens outside the shortlist, so probabilities over all words add up to 1.
+    score is the log-bilinear model's: p(class) * p(row in the class) * p(token in the row).
+    The `shortlist` most frequent tokens are classes of their own.  The other tokens of the
+    `head` most frequent ones have rows of their own, and all the rest share rows by their
+    hash, a sixteenth as many; GROUPS classes are ranges of those rows.  Both softmaxes are
+    normalised exactly.  In a shared row of c', V' a token has (c + 0.1) / (c' + 0.1 (V' + 1)),
+    so probabilities over all words add up to 1.  head: by default it grows with the root
+    of V (HEAD).
     Every task trains a copy on all its training texts by noise-contrastive estimation;
     the copies are averaged by their tokens in a tree, `rounds` times.  Normalisers are
     a table over pairs of contexts, made by matrix products once.
@@ -246,28 +325,34 @@ def lm_scores(docs: DataFrame, learn: Column | None = None, id_col: str = "doc_i
     training = docs.where(learn).select(text)
     counts = scratch.cut(training.mapInArrow(_counts, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "counts")
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    if head is None:
+        head = min(max(int(HEAD[0] * math.sqrt(v)), HEAD[1]), HEAD[2])
     top = [tuple(r) for r in counts.orderBy(F.desc("c"), "h").limit(head).collect()]
-    classes = Classes(top, shortlist)
-    inside = np.array([c for _, c in top[: classes.k]], np.float64)
-    outside, kinds = n - int(inside.sum()), v - classes.k
-    noise = np.append(inside, outside + ALPHA * (kinds + 1))
-    model = LogBilinear(noise / noise.sum())
+    slots = 1 << max(0, (head // SHARED).bit_length() - 1)
+    shared = np.zeros((slots, 2), np.int64)
+    for slot, c, kinds in counts.groupBy(F.col("h").bitwiseAND(F.lit(slots - 1)).alias("slot")).agg(F.sum("c"), F.count("*")).collect():
+        shared[slot] = c, kinds
+    owned = np.array(top, np.int64).reshape(-1, 2)
+    np.subtract.at(shared, owned[:, 0] & (slots - 1), np.stack([owned[:, 1], np.ones(len(owned), np.int64)], axis=1))
+    classes = Classes(top, shortlist, shared[:, 0] + ALPHA * (shared[:, 1] + 1))
+    model = LogBilinear(classes.noise / classes.noise.sum(), len(classes.mass))
     sent = sc.broadcast(classes)
     for i in range(rounds if n else 0):
         now = sc.broadcast(model)
         parts = training.mapInArrow(_trained(now, sent, 100 * i, RATE / (1 + i)), "n long, flat binary").rdd
-        zero = (0, np.zeros(len(model.flat)))
+        zero = (0, 0.0)
         total, flat = parts.treeAggregate(zero, lambda acc, r: (acc[0] + r["n"], acc[1] + r["n"] * np.frombuffer(r["flat"], np.float32).astype(np.float64)), lambda x, y: (x[0] + y[0], x[1] + y[1]), 3)
         if total:
             model = model.with_parameters(flat / total)
-    vectors = sc.broadcast((model.r * model.c1, model.r * model.c2, model.q, model.b, model.log_norms()))
+    vectors = sc.broadcast((model.r * model.c1, model.r * model.c2, model.log_norms()))
+    fitted = sc.broadcast(model)
     rows = docs.select(F.col(id_col).alias("id"), text)
-    fields = f"uid long, id {docs.schema[id_col].dataType.simpleString()}, n_tokens long, lm double, head_log double, other_log double, others long, known long, tail array<long>"
-    scored = scratch.cut(rows.mapInArrow(_scored(sent, vectors, None), fields), "scored")
+    fields = f"uid long, id {docs.schema[id_col].dataType.simpleString()}, n_tokens long, lm double, head_log double, known long, tail array<long>"
+    scored = scratch.cut(rows.mapInArrow(_scored(sent, fitted, vectors), fields), "scored")
     tail = scored.select("uid", F.explode("tail").alias("h")).join(counts, "h", "left")
     tail = tail.groupBy("uid").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(ALPHA))).alias("tail_log"), F.count("c").alias("tail_known"))
     every = scored.drop("tail").join(tail, "uid", "left")
     tail_log = F.coalesce("tail_log", F.lit(0.0))
     base = F.col("head_log") + tail_log - F.col("n_tokens") * math.log10(n + ALPHA * (v + 1))
-    full = F.col("lm") + F.col("other_log") + tail_log - F.col("others") * math.log10(outside + ALPHA * (kinds + 1))
+    full = F.col("lm") + tail_log
     return every.select(F.col("id").alias(id_col), "n_tokens", (F.col("known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), full.alias("score"))

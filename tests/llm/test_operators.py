@@ -2,6 +2,7 @@ import base64
 import hashlib
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -319,3 +320,60 @@ def test_lm_probabilities(spark):
     m = lm.LogBilinear(np.full(5, 0.2))
     s = (m.r[2] * m.c1 + m.r[3] * m.c2) @ m.q.T + m.b
     assert np.exp(s - m.log_norms()[2, 3]).sum() == pytest.approx(1, abs=1e-5)
+
+
+def test_lm_against_a_slow_loop(spark, monkeypatch):
+    """Counts, base score and score, token by token, from the model that the operator fitted; probabilities add up to 1."""
+    kept = {}
+    classes, forms = lm.Classes.__init__, lm.LogBilinear.with_parameters
+
+    def classes_init(self, *args):
+        classes(self, *args)
+        kept["classes"] = self
+
+    def with_parameters(self, flat):
+        kept["model"] = forms(self, flat)
+        return kept["model"]
+
+    monkeypatch.setattr(lm.Classes, "__init__", classes_init)
+    monkeypatch.setattr(lm.LogBilinear, "with_parameters", with_parameters)
+    rng = np.random.default_rng(7)
+    words = [f"w{i}" for i in range(90)]
+    texts = [" ".join(np.minimum(rng.zipf(1.3, rng.integers(1, 30)), 90).astype(str)) for _ in range(80)] + [" ".join(words), "", None, "never Seen BEFORE 1 2"]
+    got = lm.lm_scores(docs(spark, texts), shortlist=6, head=40).toPandas().set_index("doc_id")
+    c, m = kept["classes"], kept["model"]
+    split = [[*(t or "").lower().split(), None] for t in texts]
+    count = Counter(w for i, t in enumerate(split) if zlib.crc32(str(i).encode()) % 10 for w in t)
+    n, v = sum(count.values()), len(count)
+    key = {w: lm.END if w is None else lm.tokens(pa.array([w]))[0][0] for w in {w for t in split for w in t}}
+    place = {w: [int(x[0]) for x in c.look_up(np.array([k]))] for w, k in key.items()}
+
+    def p(word, u, w):
+        h = m.r[u] * m.c1 + m.r[w] * m.c2
+        s = np.exp((m.q @ h + m.b).astype(float))
+        cls, row, _ = place[word]
+        out = s[cls] / s.sum()
+        if row >= 0:
+            lo, hi = c.bounds[cls - c.k], c.bounds[cls - c.k + 1]
+            e = np.exp((m.rows[lo:hi] @ h).astype(float)) * c.mass[lo:hi]
+            out *= e[row - lo] / e.sum()
+            if row >= c.own:
+                out *= (count[word] + 0.1) / c.mass[row]
+        return out
+
+    assert abs(m.rows).max() > 0 and len(c.mass) > c.own
+    for i, t in enumerate(split):
+        cls = [c.start, c.start, *(place[w][0] for w in t)]
+        assert (got.n_tokens[i], got.n_known[i], got.train_tokens[i]) == (len(t), sum(count[w] > 0 for w in t), n)
+        assert got.base_score[i] == pytest.approx(sum(np.log10((count[w] + 0.1) / (n + 0.1 * (v + 1))) for w in t), rel=1e-9)
+        assert got.score[i] == pytest.approx(sum(np.log10(p(w, cls[j + 1], cls[j])) for j, w in enumerate(t)), rel=1e-4)
+    total = sum(p(w, c.start, 0) for w in count)
+    unseen = 0.0
+    for row in range(c.own, len(c.mass)):
+        g = int(c.group[row])
+        h = m.r[c.start] * m.c1 + m.r[0] * m.c2
+        s = np.exp((m.q @ h + m.b).astype(float))
+        lo, hi = c.bounds[g], c.bounds[g + 1]
+        e = np.exp((m.rows[lo:hi] @ h).astype(float)) * c.mass[lo:hi]
+        unseen += s[c.k + g] / s.sum() * e[row - lo] / e.sum() * 0.1 / c.mass[row]
+    assert total + unseen == pytest.approx(1, abs=1e-6)
