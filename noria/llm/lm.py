@@ -13,14 +13,14 @@ from pyspark.sql import functions as F
 from noria.llm.common import Scratch, crc_mod, longs, slices, word_hashes
 
 #: Words that are classes of their own; the others are dealt into groups of equal mass.
-SHORTLIST, GROUPS = 1023, 256
+SHORTLIST, GROUPS = 1023, 512
 #: Words with an output vector of their own: HEAD[0] times the root of the number of distinct words, within the other two.
 #: Their counts and vectors are broadcast, 80 bytes each; the others' counts are joined, and they share a sixteenth as many vectors.
 HEAD = (64, 1 << 16, 1 << 18)
 SHARED = 16
 DIM, MINIBATCH, NOISE, ROUNDS, RATE = 16, 2048, 32, 2, 0.08
 #: Within a group: noise words a step, tokens of a group in a step, and the learning rate.
-GROUP_NOISE, GROUP_STEP, GROUP_RATE = 16, 512, 0.05
+GROUP_NOISE, GROUP_STEP, GROUP_RATE = 8, 32, 0.05
 #: The end token's key.
 END = np.uint64(0xE0D0E0D0E0D0E0D1)
 ALPHA = 0.1
@@ -218,7 +218,7 @@ class LogBilinear:
         for i in np.flatnonzero(np.diff(cuts)):
             lo, hi = classes.bounds[i : i + 2]
             q, share = self.rows[lo:hi].T, classes.log_share[lo:hi]
-            step = max(1, (1 << 21) // int(hi - lo))
+            step = max(1, (1 << 16) // int(hi - lo))
             for j in range(cuts[i], cuts[i + 1], step):
                 t = tail[j : min(j + step, cuts[i + 1])]
                 s = h[t] @ q + share
