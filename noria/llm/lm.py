@@ -21,6 +21,8 @@ SHARED = 16
 DIM, MINIBATCH, NOISE, ROUNDS, RATE = 16, 2048, 32, 2, 0.08
 #: Within a group: noise words a step, tokens of a group in a step, and the learning rate.
 GROUP_NOISE, GROUP_STEP, GROUP_RATE = 8, 32, 0.05
+#: Tokens that a copy is trained on, at least on average: smaller partitions are put together, so that copies stay few.
+COPY_TOKENS = 1 << 20
 #: The end token's key.
 END = np.uint64(0xE0D0E0D0E0D0E0D1)
 ALPHA = 0.1
@@ -337,13 +339,15 @@ def lm_scores(docs: DataFrame, learn: Column | None = None, id_col: str = "doc_i
     classes = Classes(top, shortlist, shared[:, 0] + ALPHA * (shared[:, 1] + 1))
     model = LogBilinear(classes.noise / classes.noise.sum(), len(classes.mass))
     sent = sc.broadcast(classes)
+    copies = max(sc.defaultParallelism, -(-n // COPY_TOKENS))
+    few = copies if copies < training.rdd.getNumPartitions() else None
     for i in range(rounds if n else 0):
         now = sc.broadcast(model)
-        parts = training.mapInArrow(_trained(now, sent, 100 * i, RATE / (1 + i)), "n long, flat binary").rdd
-        zero = (0, 0.0)
-        total, flat = parts.treeAggregate(zero, lambda acc, r: (acc[0] + r["n"], acc[1] + r["n"] * np.frombuffer(r["flat"], np.float32).astype(np.float64)), lambda x, y: (x[0] + y[0], x[1] + y[1]), 3)
+        parts = (training if few is None else training.coalesce(few)).mapInArrow(_trained(now, sent, 100 * i, RATE / (1 + i)), "n long, flat binary").rdd
+        zero = (0, np.float32(0))
+        total, flat = parts.treeAggregate(zero, lambda acc, r: (acc[0] + r["n"], acc[1] + np.float32(r["n"] / n) * np.frombuffer(r["flat"], np.float32)), lambda x, y: (x[0] + y[0], x[1] + y[1]), 3)
         if total:
-            model = model.with_parameters(flat / total)
+            model = model.with_parameters(flat * np.float32(n / total))
     vectors = sc.broadcast((model.r * model.c1, model.r * model.c2, model.log_norms()))
     fitted = sc.broadcast(model)
     rows = docs.select(F.col(id_col).alias("id"), text)
