@@ -62,13 +62,14 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.base}/{len(self.names)}-{name}"
 
-    def cut(self, df: DataFrame, name: str) -> DataFrame:
+    def cut(self, df: DataFrame, name: str, *by: str) -> DataFrame:
+        """df, written and read again; a folder for each value of the columns `by`."""
         path = self.path(name)
         self.names.append(path)
         before = self.spark.conf.get(self.FEW_FILES)
         self.spark.conf.set(self.FEW_FILES, "false")
         try:
-            df.write.mode("overwrite").parquet(path)
+            df.write.mode("overwrite").partitionBy(*by).parquet(path)
         finally:
             self.spark.conf.set(self.FEW_FILES, before)
         out = self.spark.read.schema(df.schema).parquet(path)
@@ -128,13 +129,16 @@ def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def word_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words `[^\\x20\\x09-\\x0D]+`, and the first word of each row (one more at the end)."""
+def word_spans(data: np.ndarray, at: np.ndarray, apart: np.ndarray = _WS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words, and the first word of each row (one more at the end).
+
+    apart: which bytes stand between words; by default words are `[^\\x20\\x09-\\x0D]+`.
+    """
     n = len(data)
     if not n:
         none = np.zeros(0, dtype=np.int64)
         return none, none, np.zeros(len(at), dtype=np.int64)
-    word = ~_WS[data]
+    word = ~apart[data]
     first = np.ones(n, dtype=bool)
     first[1:] = ~word[:-1]
     inner = at[(at > 0) & (at < n)]

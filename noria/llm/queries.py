@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noria.llm import chat, embedding_dedup, line_dedup, lm, metric_search, minmax, mixing, packing, toxicity, warc
+from noria.llm import ball_kmeans, chat, embedding_dedup, lexical_search, line_dedup, lm, metric_search, minmax, mixing, packing, toxicity, warc
 from noria.llm.common import crc_mod, ship_package
 
 #: Which domain a source belongs to, and the integer weights of the tree.  The sources that have no weight of their own weigh 1.
@@ -79,7 +79,17 @@ def op10_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.near_duplicates(_read(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op3_mixing, op4_metric_search, op5_embedding_dedup, op6_toxicity, op7_chat_tree, op8_warc, op9_lm_scores, op10_minmax)}
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 highest-scoring documents of each benchmark item."""
+    return lexical_search.search(lexical_search.build_index(_read(spark, sf_dir, "documents")), _read(spark, sf_dir, "benchmark"))
+
+
+def op13_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors of 64 components in 40 clusters after five rounds."""
+    return ball_kmeans.ball_kmeans(_read(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op3_mixing, op4_metric_search, op5_embedding_dedup, op6_toxicity, op7_chat_tree, op8_warc, op9_lm_scores, op10_minmax, op12_lexical_search, op13_ball_kmeans)}
 
 ORACLE_SQL = {
     "op1_line_dedup": line_dedup.oracle(),
@@ -98,4 +108,6 @@ ORACLE_SQL = {
     select page_id, payload_bytes, payload_digest, case when payload_bytes >= 100 and page_id > low then 'revisit' else 'response' end as record_type,
            case when payload_bytes >= 100 and page_id > low then low end as refers_to from f
     """,
+    "op12_lexical_search": lexical_search.oracle(),
+    "op13_ball_kmeans": ball_kmeans.oracle(),
 }
