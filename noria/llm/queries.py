@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noria.llm import ball_kmeans, chat, embedding_dedup, lexical_search, line_dedup, lm, metric_search, minmax, mixing, packing, toxicity, warc
+from noria.llm import ball_kmeans, chat, embedding_dedup, lexical_search, line_dedup, lm, metric_search, minmax, mixing, packing, pii, toxicity, warc
 from noria.llm.common import crc_mod, ship_package
 
 #: Which domain a source belongs to, and the integer weights of the tree.  The sources that have no weight of their own weigh 1.
@@ -79,6 +79,11 @@ def op10_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.near_duplicates(_read(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in all documents: those of the four forms, and what their contexts discover."""
+    return pii.digests(pii.find_pii(_read(spark, sf_dir, "documents")))
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 50 highest-scoring documents of each benchmark item."""
     return lexical_search.search(lexical_search.build_index(_read(spark, sf_dir, "documents")), _read(spark, sf_dir, "benchmark"))
@@ -89,7 +94,7 @@ def op13_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ball_kmeans.ball_kmeans(_read(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op3_mixing, op4_metric_search, op5_embedding_dedup, op6_toxicity, op7_chat_tree, op8_warc, op9_lm_scores, op10_minmax, op12_lexical_search, op13_ball_kmeans)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op3_mixing, op4_metric_search, op5_embedding_dedup, op6_toxicity, op7_chat_tree, op8_warc, op9_lm_scores, op10_minmax, op11_pii, op12_lexical_search, op13_ball_kmeans)}
 
 ORACLE_SQL = {
     "op1_line_dedup": line_dedup.oracle(),
