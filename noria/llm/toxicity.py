@@ -1,7 +1,14 @@
-"""Toxicity by a convolutional text classifier over hashed word embeddings, trained in numpy."""
+"""Toxicity by a convolutional text classifier over hashed word embeddings, trained in numpy.
+
+The classifier is the mean of as many models as there are folds, each fitted in a task of
+its own on the other folds.  A model starts from the classes' log odds of each word, one
+of the embedding's dimensions, so that what few examples say does not hang on its seed.
+"""
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -21,13 +28,20 @@ SAMPLE = 4000
 #: A bucket met in fewer training documents has no embedding.
 MIN_DOCS = 5
 #: Share of the words that a step of the fit leaves out, and how fast the embeddings it meets shrink.
-DROP, DECAY = 0.5, 0.05
+DROP, DECAY = 0.5, 0.02
 #: Bins a unit of log odds has in the histograms that calibrate, and their ends.
 BINS, LEAST, MOST = 256, -32 * 256, 32 * 256 - 1
-#: Folds of the fitted documents, each scored by a model of the others for the calibration.
+#: Folds of the fitted documents, each scored by a model of the others for the calibration; the models' mean scores all else.
 FOLDS = 3
+#: Documents that a word's log odds are smoothed by, and their share in the embedding's first dimension.
+SMOOTH, GAIN = 4, 0.25
+#: Labelled ids that are broadcast at most, 8 bytes each.
+BROADCAST_IDS = 1 << 20
 #: Labelled documents of each class a language needs for a threshold of its own.
 MIN_LANGUAGE = 20
+#: Bytes of letters and digits, and all non-ASCII ones.
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 
 @dataclass
@@ -39,12 +53,23 @@ class Model:
     out_bias: float = 0.0
     scale: tuple[float, float] = (1.0, 0.0)
     thresholds: dict = field(default_factory=dict)
+    share: float = 0.5  # of the toxic labels: the score of a text without words
+    members: list = field(default_factory=list)  # models whose mean this one is
 
 
 def word_buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(words, PARTS) embedding rows of every word, and the first word of each text (one more at the end)."""
+    """(words, PARTS) embedding rows of every word, and the first word of each text (one more at the end).
+
+    A word counts without the ASCII punctuation at its ends, if anything is left.
+    """
     data, at = raw(texts)
     starts, ends, rows = word_spans(data, at)
+    if len(starts):
+        place = np.arange(len(data))
+        after = np.minimum.accumulate(np.where(_LETTER[data], place, len(data))[::-1])[::-1][starts]
+        before = np.maximum.accumulate(np.where(_LETTER[data], place, -1))[ends - 1] + 1
+        some = after < ends
+        starts, ends = np.where(some, after, starts), np.where(some, before, ends)
     rolled = rolling(data)
     out = np.empty((len(starts), PARTS), np.int32)
     for j, most in enumerate((None, *PREFIXES)):
@@ -77,7 +102,9 @@ def _convolve(model: Model, e: np.ndarray, rows: np.ndarray) -> list[np.ndarray]
 
 
 def logits(model: Model, buckets: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Of each text; a text without words has none of the filters."""
+    """Of each text, the members' mean; a text without words has none of the filters."""
+    if model.members:
+        return np.mean([logits(m, buckets, rows) for m in model.members], axis=0)
     pooled = np.zeros((len(rows) - 1, len(WIDTHS) * FILTERS), np.float32)
     full = np.flatnonzero(np.diff(rows))
     if len(full) and model.filters:
@@ -87,7 +114,17 @@ def logits(model: Model, buckets: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return pooled @ model.out + model.out_bias
 
 
-def fit(texts: list[np.ndarray], labels: np.ndarray, epochs: int = 6, least_steps: int = 600, batch: int = 32, rate: float = 0.02, drop: float = DROP, decay: float = DECAY, seed: int = 5) -> Model:
+def log_odds(texts: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """Of each bucket, how much more often documents of label 1 hold it; smoothed by SMOOTH documents of the whole."""
+    n, total = np.zeros((2, BUCKETS)), np.array([(labels == 0).sum(), (labels > 0).sum()])
+    for words, y in zip(texts, labels, strict=True):
+        n[int(y)][np.unique(words)] += 1
+    prior = SMOOTH * total / max(1, total.sum())
+    rate = (n + prior[:, None]) / np.maximum(total + prior, 1e-9)[:, None]
+    return np.log(rate[1] / rate[0])
+
+
+def fit(texts: list[np.ndarray], labels: np.ndarray, epochs: int = 6, least_steps: int = 200, batch: int = 32, rate: float = 0.02, drop: float = DROP, decay: float = DECAY, seed: int = 5) -> Model:
     """Adam on the log loss, for at least `least_steps` batches; each max passes its gradient to the window it came from."""
     rng = np.random.default_rng(seed)
     model = Model()
@@ -102,6 +139,15 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, epochs: int = 6, least_step
     model.out_bias = float(np.log(share / (1 - share)))
     if not len(labels) or labels.min() == labels.max():
         return model
+    # the first filter of each width begins as the log odds of a word
+    model.table[live, 0] = GAIN * log_odds(texts, labels)[live]
+    firsts = [i * FILTERS for i in range(len(WIDTHS))]
+    for f in model.filters:
+        f[:, :, 0] = 0
+        f[0, 0, 0] = 1
+    model.out[firsts] = 0.5
+    model.out[0] = 1.5
+    model.bias[firsts] = -1
     params = {"bias": model.bias, "out": model.out, **{f"f{i}": f for i, f in enumerate(model.filters)}}
     m1, m2 = ({k: np.zeros_like(v) for k, v in params.items()} for _ in range(2))
     t1, t2 = np.zeros_like(model.table), np.zeros_like(model.table)
@@ -156,21 +202,21 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, epochs: int = 6, least_step
     return model
 
 
-def out_of_fold(texts: list[np.ndarray], labels: np.ndarray, folds: int = FOLDS) -> np.ndarray:
-    """Log odds of each text by a model that was fitted on the other folds; each class is dealt evenly to the folds."""
-    rng, fold, z = np.random.default_rng(8), np.zeros(len(texts), np.int64), np.zeros(len(texts))
+def folds_of(labels: np.ndarray, folds: int = FOLDS) -> np.ndarray:
+    """The fold of each document; each class is dealt evenly to the folds."""
+    rng, fold = np.random.default_rng(8), np.zeros(len(labels), np.int64)
     for y in (0, 1):
         mine = np.flatnonzero(labels == y)
         fold[rng.permutation(mine)] = np.arange(len(mine)) % folds
-    for k in range(folds):
-        held = np.flatnonzero(fold == k)
-        if not len(held):
-            continue
-        model = fit([texts[i] for i in np.flatnonzero(fold != k)], labels[fold != k])
-        for lo in range(0, len(held), 256):
-            some = held[lo : lo + 256]
-            z[some] = logits(model, np.concatenate([texts[i] for i in some]), np.cumsum([0, *(len(texts[i]) for i in some)]))
-    return z
+    return fold
+
+
+def fit_fold(texts: list[np.ndarray], labels: np.ndarray, k: int, folds: int = FOLDS) -> tuple[Model, np.ndarray]:
+    """A model of all folds but k, and its log odds of the documents of fold k."""
+    fold = folds_of(labels, folds)
+    model, held = fit([texts[i] for i in np.flatnonzero(fold != k)], labels[fold != k], seed=5 + k), np.flatnonzero(fold == k)
+    z = [logits(model, np.concatenate([texts[i] for i in some]), np.cumsum([0, *(len(texts[i]) for i in some)])) for some in np.array_split(held, len(held) // 256 + 1) if len(some)]
+    return model, np.concatenate([np.zeros(0), *z])
 
 
 def calibrate(model: Model, z: np.ndarray, labels: np.ndarray, langs: list, counts: np.ndarray | None = None, share: float | None = None) -> None:
@@ -202,7 +248,7 @@ def calibrate(model: Model, z: np.ndarray, labels: np.ndarray, langs: list, coun
         y, s, w = labels[mine], p[mine], weight[mine]
         if counts[mine][y > 0].sum() < MIN_LANGUAGE or counts[mine][y == 0].sum() < MIN_LANGUAGE:
             continue
-        grid = np.round(np.arange(0.2, 0.85, 0.05), 2)
+        grid = np.round(np.arange(0.4, 0.85, 0.05), 2)
         f1 = [2 * w[(s >= t) & (y > 0)].sum() / (w[s >= t].sum() + w[y > 0].sum()) for t in grid]
         best = np.flatnonzero(np.array(f1) >= max(f1) - 1e-12)
         model.thresholds[lang] = float(grid[best[np.abs(grid[best] - 0.5).argmin()]])
@@ -225,12 +271,13 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     """A model from labelled rows for which `learn` (over labels) holds.
 
     The fit takes at most `sample` rows of each class, those with the least hash of
-    their id, and their whole texts, which the driver holds (12 bytes a word).  It is
-    calibrated on all labelled rows: each of those it took by a model of the other
-    folds, all others by itself, scored in Spark over their whole texts and counted by
-    language, label and log odds.  The classes weigh as in all labels, so the prior is
-    the same at every size.  Rows with a null label or id teach nothing; a row whose
-    id has both labels counts as each.  Without rows of both classes the model has no
+    their id, and their whole texts, which the driver and the task of each fold hold (12
+    bytes a word).  It is calibrated on all labelled rows: each of those it took by the
+    model of the other folds, all others by the models' mean, scored in Spark over their
+    whole texts and counted by language, label and log odds.  The classes weigh as in all
+    labels, so the prior is the same at every size.  Rows with a null label or id teach
+    nothing; a row whose id has both labels counts as each, and repeated rows of an id
+    teach each.  Without rows of both classes, or of an empty table, the model has no
     filters, and every text gets the same score.  Languages choose a threshold, never a
     score.
     """
@@ -246,23 +293,46 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     at, values = np.asarray(flat.offsets), np.asarray(flat.values)
     words = [values[a:b].reshape(-1, PARTS) for a, b in zip(at[:-1], at[1:], strict=True)]
     y = np.asarray(got.column("y")).astype(np.float64)
-    model = fit(words, y)
-    z, langs, counts = out_of_fold(words, y), got.column("lang").to_pylist(), np.ones(len(y))
-    if sum(total.values()) > picked.count():
+    model, z = _fit_folds(spark, words, y)
+    langs, counts = got.column("lang").to_pylist(), np.ones(len(y))
+    left = sum(total.values()) - picked.count()
+    if left:
         others = rows.join(F.broadcast(picked), ["id", "y"], "left_anti")
+        if left <= BROADCAST_IDS:
+            texts = texts.join(F.broadcast(others.select("id").distinct()), "id", "left_semi").select("id", "text", "lang")
         sent = spark.sparkContext.broadcast(model)
-        # scored before the join, so texts are not shuffled
+        # scored before the join with the labels, so texts are not shuffled
         scored = texts.where("id is not null").mapInArrow(_log_odds(sent), "id long, lang string, bin int")
         seen = scored.join(others, "id").groupBy("lang", "y", "bin").agg(F.count("*").alias("n")).orderBy("lang", "y", "bin").toPandas()
         sent.unpersist()
         z = np.concatenate([z, (seen["bin"].to_numpy(np.float64) + 0.5) / BINS])
         y, counts = np.concatenate([y, seen["y"].to_numpy(np.float64)]), np.concatenate([counts, seen["n"].to_numpy(np.float64)])
         langs += [x if isinstance(x, str) else None for x in seen["lang"]]
-    calibrate(model, z, y, langs, counts, total.get(1, 0) / max(1, sum(total.values())))
+    if total:
+        model.share = total.get(1, 0) / sum(total.values())
+    calibrate(model, z, y, langs, counts, model.share)
     scratch.drop(picked)
     return model
 
 
+def _fit_folds(spark, words: list[np.ndarray], y: np.ndarray) -> tuple[Model, np.ndarray]:
+    """The mean of the folds' models, each fitted in a task, and every document's log odds by the model that has not seen it."""
+    sent = spark.sparkContext.broadcast((words, y))  # of the bounded sample
+
+    def run(batches):
+        for batch in batches:
+            for k in batch.column(0).to_pylist():
+                model, z = fit_fold(*sent.value, k)
+                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([zlib.compress(pickle.dumps(model), 1)], pa.binary()), pa.array([z.tolist()], pa.list_(pa.float64()))], ["k", "model", "z"])
+
+    fitted = spark.range(0, FOLDS, 1, FOLDS).mapInArrow(run, "k long, model binary, z array<double>").orderBy("k").collect()
+    sent.unpersist()
+    fold, z = folds_of(y), np.zeros(len(y))
+    for r in fitted:
+        z[fold == r["k"]] = r["z"]
+    return Model(table=np.zeros((0, DIM), np.float32), members=[pickle.loads(zlib.decompress(r["model"])) for r in fitted]), z
+
+
 def _log_odds(sent):
     def run(batches):
         for batch in batches:
@@ -276,17 +346,21 @@ def _log_odds(sent):
 def score(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang", out: str = "toxicity", threshold_col: str = "toxicity_threshold") -> DataFrame:
     """`docs` with the columns out (probability that the whole text is toxic) and threshold_col.
 
-    A null or empty text is scored as one without words.  A language without a
-    threshold of its own, or null, has 0.5.  Columns of these two names are replaced.
+    A text without words, or null, says nothing: its score is the share of toxic labels.
+    A language without a threshold of its own, or null, has 0.5.  Columns of these two
+    names are replaced.
     """
     docs = docs.drop(out, threshold_col)
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size: BUCKETS * DIM floats
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size: FOLDS * BUCKETS * DIM floats
 
     @F.pandas_udf("double")
     def toxicity(texts):
         found = [np.zeros(0)]
         for _, part in slices(pa.array(texts, pa.string(), from_pandas=True)):
-            found.append(probability(sent.value, logits(sent.value, *word_buckets(part))))
+            buckets, rows = word_buckets(part)
+            p = probability(sent.value, logits(sent.value, buckets, rows))
+            p[rows[1:] == rows[:-1]] = sent.value.share
+            found.append(p)
         return _series(np.concatenate(found), texts)
 
     limit = F.lit(0.5)
@@ -302,10 +376,11 @@ def _series(values, like):
 
 
 def reject_toxic(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """`docs` without the rows whose score reaches their language's threshold."""
+    """`docs` without the rows whose score reaches their language's threshold; texts without words, or null, stay."""
     n = own(docs.columns, "score", "limit")
     scored = score(docs, model, text_col, lang_col, n["score"], n["limit"])
-    return scored.where(F.col(n["score"]) < F.col(n["limit"])).select(*docs.columns)
+    says = F.coalesce(F.col(text_col).cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    return scored.where((F.col(n["score"]) < F.col(n["limit"])) | ~says).select(*docs.columns)
 
 
 def not_held_out(id_col: str = "doc_id", folds: int = 5) -> Column:
