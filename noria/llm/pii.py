@@ -2,8 +2,8 @@
 
 Identifiers of four kinds are found by their form (the base).  Those that are a whole word
 seed a graph of lexical patterns and instances.  An instance is an identifier-shaped
-word: one that holds a digit or an @, with the words of digits that follow it after one
-space each.  A pattern is the words beside it: the word before, the two words before, or
+word: one that holds a digit, an @, (at) or [at], with the words of digits that follow it
+after one space each.  A pattern is the words beside it: the word before, the two words before, or
 the words before and after.  In each round a pattern scores by the share of seeds and
 discovered instances in all that it ever stands beside, ordinary words included, and the
 patterns of high confidence discover further instances.  What has the form of a kind and
@@ -41,7 +41,7 @@ _ABLE = {
     "card": "d >= 8 and c rlike r'^[0-9][0-9 -]+$'",
     "phone": "d >= 5 and c rlike r'^[+]?[0-9][0-9 ().-]+$'",
 }
-IDENTIFIER = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+(?: [().-]*+[0-9]\S*+)*+"
+IDENTIFIER = r"(?<!\S)(?:[^\s0-9@]*+[0-9@]\S*+(?: [().-]*+[0-9]\S*+)*+|\S*?[(\[][aA][tT][)\]]\S*+)"
 #: Characters that are cut from both ends of an identifier-shaped word.
 EDGES = ".,;:!?\"()[]{}<>*|&%$#=~^"
 #: A context word of more characters is one of a class, "~"; an identifier-shaped one is "#".
@@ -113,7 +113,7 @@ def _identifiers() -> Column:
     span = "'start', at + lead, 'end', at + lead + length(core)"
     each = _let("core", core, _let("lead", lead, _let("c", "lower(core)", f"named_struct({span}, 'key', xxhash64(c), 'kind', {kind}, 'able', {able}, 'patterns', {patterns})")))
     schema = "array<struct<start: bigint, end: bigint, key: bigint, kind: int, able: int, patterns: array<bigint>>>"
-    return F.expr(f"case when text rlike '[0-9@]' then {_matches(IDENTIFIER, each)} else cast(array() as {schema}) end").alias("identifiers")
+    return F.expr(f"case when text rlike r'[0-9@]|[(\\[][aA][tT][)\\]]' then {_matches(IDENTIFIER, each)} else cast(array() as {schema}) end").alias("identifiers")
 
 
 def _places(docs: DataFrame) -> DataFrame:
