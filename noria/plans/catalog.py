@@ -528,22 +528,27 @@ def best_k(spark, d):
     return topics.best_k(_metrics(spark, d), METRICS)
 
 
+def _topic_input(spark, d):
+    """Documents and vocabulary for the topic model, at its defaults, and how many documents there are."""
+    docs, vocab = dtm.stm_input(_frequent(spark, d, 2))
+    return docs, vocab, docs.count()
+
+
 @query()
 def stm_fit(spark, d):
-    docs, vocab = dtm.stm_input(_frequent(spark, d, 100))
-    return stm.theta(stm.fit(docs, vocab, 5, max_em=5), docs)
+    docs, vocab, n = _topic_input(spark, d)
+    return stm.theta(stm.fit(docs, vocab, stm.suggest_k(n)), docs)
 
 
 @query()
 def search_k(spark, d):
-    docs, vocab = dtm.stm_input(_frequent(spark, d, 200))
-    return stm.search_k(docs, vocab, [2, 3], max_em=2)
+    docs, vocab, n = _topic_input(spark, d)
+    return stm.search_k(docs, vocab, stm.suggest_range(n))
 
 
 @query()
 def covariate_effects(spark, d):
-    ship_package(spark)
-    docs, vocab = dtm.stm_input(_frequent(spark, d, 100))
+    docs, vocab, n = _topic_input(spark, d)
     meta = _langs(spark, d)
-    t = stm.theta(stm.fit(docs, vocab, 4, meta, ["lang"], max_em=4), docs, meta, ["lang"])
-    return spark.createDataFrame(stm.effects(t, meta, ["lang"]))
+    model = stm.fit(docs, vocab, stm.suggest_k(n), meta, "~ lang")
+    return spark.createDataFrame(stm.effects(model, docs, meta, "~ lang"))

@@ -7,7 +7,6 @@ import json
 import re
 import zipfile
 from datetime import datetime
-from pathlib import Path
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from noria.operators.corpus import union_by_name
+from noria.sources import storage
 
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
@@ -146,10 +146,20 @@ def read_dictionary_words(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).where("value not like '#%' and value like '%\t%'").select(F.split("value", "\t")[0].alias("word"))
 
 
-def write_dictionary(df: DataFrame, path: str) -> None:
-    """One UTF-8 file, without header or quotes (a dictionary is small)."""
-    rows = df.select("word", "tag", "score").orderBy("word").collect()
-    Path(path).write_text("".join(f"{w}\t{t}\t{s:g}\n" for w, t, s in rows), encoding="utf-8")
+def write_dictionary(df: DataFrame, path: str) -> str:
+    """One UTF-8 file of word, tag and score in the words' order, without header or quotes, on any file system; written by a task."""
+    score = F.when(F.col("score") == F.floor("score"), F.col("score").cast("long").cast("string")).otherwise(F.col("score").cast("string"))
+    line = F.concat_ws("\t", "word", "tag", F.coalesce(score, F.lit("0")))
+    return storage.write_one(df.orderBy("word").select(line.alias("value")), path, "text")
+
+
+#: Header of the proper nouns that are filled by hand.
+PROPER_NOUNS = "noun string, pos_tag string"
+
+
+def write_template(spark: SparkSession, path: str) -> str:
+    """An empty CSV with the header of the proper nouns."""
+    return storage.write_one(spark.createDataFrame([("noun", "pos_tag")], PROPER_NOUNS), path, "csv", header="false")
 
 
 def write_csv(df: DataFrame, path: str, one_file: bool = False) -> None:
@@ -164,21 +174,3 @@ def write_with_metadata(df: DataFrame, path: str, **metadata: str) -> None:
 
 def stamped(prefix: str, suffix: str, ext: str, now: datetime | None = None) -> str:
     return f"{(now or datetime.now()):%Y%m%d_%H%M%S}_{prefix}{'_' + suffix if suffix else ''}.{ext}"
-
-
-def free_name(folder: str, name: str, ext: str) -> str:
-    """name, name_v2, name_v3, ...: the first that is free."""
-    name = re.sub("_+", "_", re.sub(r"[^a-zA-Z0-9_-]", "_", name)).strip("_")
-    path, i = Path(folder) / f"{name}.{ext}", 2
-    while path.exists():
-        path, i = Path(folder) / f"{name}_v{i}.{ext}", i + 1
-    return str(path)
-
-
-def latest(folder: str, pattern: str = "*", criterion: str = "latest") -> str | None:
-    """Path of the latest, largest or first file."""
-    found = sorted(Path(folder).glob(pattern))
-    if not found:
-        return None
-    key = {"latest": lambda p: p.stat().st_mtime, "largest": lambda p: p.stat().st_size}.get(criterion)
-    return str(max(found, key=key) if key else found[0])

@@ -38,6 +38,11 @@ class Store:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self) -> None:
+        """Deletes all tables of this store; whoever made it has read them to the end."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.base)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
 
 def numbered(df: DataFrame, order: list, store: Store, out: str = "number") -> DataFrame:
     """df with `out`: 1, 2, 3, ... in a total order.
