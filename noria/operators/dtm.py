@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noria.operators.nouns import each
@@ -20,6 +20,31 @@ def tokenize(df: DataFrame, text: str = "abstract", least_length: int = 2) -> Da
     return df.select("doc_id", F.filter(F.split(text, r"[\s\p{P}\p{S}]+"), lambda x: F.length(x) >= least_length).alias("nouns"))
 
 
+#: Letters and digits with the marks that extend them; what stands between letters, and between digits, within a word.
+_LETTER, _DIGIT = r"[\p{L}\p{Nl}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}]][\p{M}\p{Cf}]*+", r"\p{Nd}[\p{M}\p{Cf}]*+"
+_BETWEEN_LETTERS, _BETWEEN_DIGITS, _JOINS = r"[:.'\u00B7\u2018\u2019\u2024\u2027]", r"[,;.'\u2018\u2019\u2024]", r"\p{Pc}"
+_UNIT = rf"(?:{_LETTER}(?:{_BETWEEN_LETTERS}{_LETTER})++|{_DIGIT}(?:{_BETWEEN_DIGITS}{_DIGIT})++|{_LETTER}|{_DIGIT}|{_JOINS})++"
+_ALONE = r"[\p{IsHan}\p{IsHiragana}][\p{M}\p{Cf}]*+|[\p{IsKatakana}\u30FC][\p{IsKatakana}\u30FC\p{M}\p{Cf}]*+"
+
+
+def word_break(text: Column, split_hyphens: bool = False) -> Column:
+    """The words of a text by Unicode's word boundaries (UAX 29), without punctuation and symbols.
+
+    A full stop, colon or apostrophe between letters stays within a word, and so does a
+    full stop, comma or semicolon between digits; letters, digits and connecting
+    punctuation hold together; an ideograph or hiragana is a word by itself, and katakana
+    hold together.  Hyphens join words unless split_hyphens.
+    """
+    word = _UNIT if split_hyphens else rf"{_UNIT}(?:[-\u2010\u2011]{_UNIT})*+"
+    found = F.regexp_extract_all(text, F.lit(f"{_ALONE}|{word}"), F.lit(0))
+    return F.filter(found, lambda x: F.regexp_like(x, F.lit(r"[\p{L}\p{N}]")))
+
+
+def words(df: DataFrame, text: str = "abstract", least_length: int = 2, split_hyphens: bool = False) -> DataFrame:
+    """(doc_id, nouns): the words of a text by `word_break`, of at least so many characters."""
+    return df.select("doc_id", F.filter(word_break(F.col(text), split_hyphens), lambda x: F.length(x) >= least_length).alias("nouns"))
+
+
 def term_stats(cells: DataFrame) -> DataFrame:
     """(term, frequency, docfreq)."""
     return cells.groupBy("term").agg(F.sum("tf").alias("frequency"), F.count("*").alias("docfreq"))

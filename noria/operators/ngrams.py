@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from noria.functions.text import bound, strip_spaces, year_span
+from noria.operators.rules import nested, normalize_arrays
+from noria.session import ship_package
 
 
 def normalize(x: Column, rules: list[tuple[str, str]]) -> Column:
-    """Fixed replacements, one after the other: an early one can make input for a later one."""
-    for spaced, joined in rules:
-        x = F.replace(x, F.lit(spaced), F.lit(joined))
-    return x
+    """Fixed replacements, one after the other: an early one can make input for a later one.  A nested expression for a few rules."""
+    return nested(x, rules)
 
 
 def dictionary_rules(terms: list[str], rules: list[tuple[str, str]]) -> list[tuple[str, str]]:
@@ -23,9 +23,11 @@ def dictionary_rules(terms: list[str], rules: list[tuple[str, str]]) -> list[tup
 
 def normalize_list(df: DataFrame, rules: list[tuple[str, str]], column: str = "nouns") -> DataFrame:
     """`column` normalised, and n_changed: how many of its values changed."""
-    done = F.transform(column, lambda x: normalize(x, rules))
-    changed = F.size(F.filter(F.zip_with(column, done, lambda a, b: a != b), lambda x: x))
-    return df.withColumn("n_changed", changed).withColumn(column, done)
+    ship_package(df.sparkSession)
+    after = "__after"
+    done = df.withColumn(after, normalize_arrays(df.sparkSession, F.col(column), rules))
+    changed = F.size(F.filter(F.zip_with(column, after, lambda a, b: a != b), lambda x: x))
+    return done.withColumn("n_changed", changed).withColumn(column, F.col(after)).drop(after)
 
 
 def long_words(df: DataFrame, column: str = "nouns", least: int = 2) -> DataFrame:

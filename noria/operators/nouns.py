@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+import tempfile
+import time
 from collections.abc import Callable, Iterator
+from pathlib import Path
 from typing import Protocol
 
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles, TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noria.functions.text import bound
@@ -41,42 +47,88 @@ class PretaggedTagger:
 
 
 class PythonTagger:
-    """Any `make() -> (text -> [(form, tag)])`, made once in each Python worker; a text that fails has no tokens."""
+    """Any `make() -> (text -> [(form, tag)])`, made once in each Python worker; a text that fails has no tokens.
 
-    def __init__(self, make: Callable[[], Callable[[str], list[tuple[str, str]]]]):
-        self.make = make
+    times: an accumulator of `plans.metrics`, which gets each partition's documents,
+    failures and seconds.
+    """
+
+    def __init__(self, make: Callable[[], Callable[[str], list[tuple[str, str]]]], times=None):
+        self.make, self.times = make, times
 
     def tag(self, df: DataFrame) -> DataFrame:
-        make = self.make
+        make, times = self.make, self.times
+        kind = df.schema["doc_id"].dataType.simpleString()
 
         def run(batches: Iterator):
-            tokenize = make()
+            tokenize, docs, failures, began = make(), 0, 0, time.perf_counter()
             for pdf in batches:
                 out = []
                 for text in pdf["abstract"]:
+                    docs += 1
                     try:
                         out.append([{"form": a, "tag": b} for a, b in tokenize(text or "")])
                     except Exception:  # noqa: BLE001  one bad text must not end the job
+                        failures += 1
                         out.append([])
                 pdf["tokens"] = out
                 yield pdf[["doc_id", "tokens"]]
+            if times is not None:
+                times.add({TaskContext.get().partitionId(): (docs, failures, time.perf_counter() - began)})
+
+        return df.select("doc_id", "abstract").mapInPandas(run, f"doc_id {kind}, tokens {TOKENS}")
+
+
+class DictionaryTagger(PythonTagger):
+    """A tagger with a user dictionary: `make(path) -> (text -> [(form, tag)])`, the path being the dictionary's copy on the worker.
+
+    The file, on any file system, is shipped once under a name made from its content, so
+    a new version never meets an old copy.
+    """
+
+    def __init__(self, spark: SparkSession, make: Callable[[str | None], Callable[[str], list[tuple[str, str]]]], dictionary: str | None = None, times=None):
+        name = _shipped(spark, dictionary) if dictionary else None
+
+        def start():
+            return make(SparkFiles.get(name) if name else None)
+
+        super().__init__(start, times)
+
+
+def _shipped(spark: SparkSession, path: str) -> str:
+    content = bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
+    name = f"dictionary-{hashlib.sha256(content).hexdigest()}.tsv"
+    local = Path(tempfile.mkdtemp(prefix="noria-")) / name
+    local.write_bytes(content)
+    spark.sparkContext.addFile(str(local))
+    return name
+
 
-        return df.select("doc_id", "abstract").mapInPandas(run, f"doc_id string, tokens {TOKENS}")
+def longest_match(path: str | None) -> Callable[[str], list[tuple[str, str]]]:
+    """A tokenizer for `DictionaryTagger`: the longest dictionary words, and between them runs of letters and digits as NNG."""
+    words: dict[str, str] = {}
+    for line in Path(path).read_text(encoding="utf-8").splitlines() if path else []:
+        parts = line.split("\t")
+        if len(parts) >= 2 and parts[0] and not line.startswith("#"):
+            words.setdefault(parts[0], parts[1])
+    either = "|".join(re.escape(w) for w in sorted(words, key=len, reverse=True))
+    found = re.compile(rf"({either})|[^\W_]+?(?={either}|[\W_]|$)" if words else r"()[^\W_]+")
+    return lambda text: [(m[0], words[m[1]] if m[1] else "NNG") for m in found.finditer(text)]
 
 
-def kiwi_tagger(model_path: str | None = None, dictionary: str | None = None) -> PythonTagger:
+def kiwi_tagger(spark: SparkSession, model_path: str | None = None, dictionary: str | None = None, model_type: str | None = None, times=None) -> DictionaryTagger:
     """The Kiwi analyser, where it is installed on the executors."""
 
-    def make():
+    def make(path):
         from kiwipiepy import Kiwi
 
-        kiwi = Kiwi(**({"model_path": model_path} if model_path else {}))
+        kiwi = Kiwi(**{k: v for k, v in (("model_path", model_path), ("model_type", model_type)) if v})
         kiwi.space_tolerance = 2
-        if dictionary:
-            kiwi.load_user_dictionary(dictionary)
+        if path:
+            kiwi.load_user_dictionary(path)
         return lambda text: [(t.form, t.tag) for t in kiwi.tokenize(text)]
 
-    return PythonTagger(make)
+    return DictionaryTagger(spark, make, dictionary, times)
 
 
 def morphemes(tagged: DataFrame) -> DataFrame:

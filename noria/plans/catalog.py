@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noria.functions import text as fn
-from noria.operators import corpus, dtm, ngrams, nouns, stm, topics
+from noria.operators import corpus, dtm, ngrams, nouns, rules, stm, topics
 from noria.session import ship_package
 from noria.store import Store
 
@@ -528,6 +528,33 @@ def best_k(spark, d):
     return topics.best_k(_metrics(spark, d), METRICS)
 
 
+PAIRS = r"""i0 as (select item_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') as w from benchmark),
+pair as (select w[i] || ' ' || w[i + 1] as spaced, item_id, i from (select item_id, w, unnest(range(1, len(w))) as i from i0)),
+rule as (select spaced, row_number() over (order by min(item_id * 100000 + i)) as ord from pair group by spaced)"""
+
+
+@query(f"""with {C}, {PAIRS}, r as (select list(spaced || chr(9) || replace(spaced, ' ', '') order by ord) as rules from rule),
+a as (select doc_id, lower(abstract) as a, list_reduce(list_concat([lower(abstract)], rules), lambda x, r: replace(x, split_part(r, chr(9), 1), split_part(r, chr(9), 2))) as b from c cross join r)
+select doc_id, md5(b) as digest, length(b) as n_chars, length(a) - length(b) as n_joined from a""")
+def compound_cascade(spark, d):
+    """Thousands of ordered rules on whole texts: every pair of adjacent words of the benchmark items is joined."""
+    ship_package(spark)
+    w = F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), lambda x: x != "")
+    pairs = _t(spark, d, "benchmark").select("item_id", w.alias("w")).select("item_id", F.posexplode(ngrams.ngrams_of("w", 2)).alias("i", "spaced"))
+    spaced = [r["spaced"] for r in pairs.groupBy("spaced").agg(F.min(F.col("item_id") * 100000 + F.col("i")).alias("ord")).orderBy("ord").collect()]
+    texts = _corpus(spark, d).select("doc_id", F.lower("abstract").alias("a"))
+    done = texts.select("doc_id", "a", rules.normalize_texts(spark, F.col("a"), rules.joined(spaced)).alias("b"))
+    return done.select("doc_id", F.md5(F.col("b").cast("binary")).alias("digest"), F.length("b").alias("n_chars"), (F.length("a") - F.length("b")).alias("n_joined"))
+
+
+@query(r"""with c as (select doc_id::varchar as doc_id, text from documents),
+t as (select doc_id, unnest(regexp_extract_all(text, '(?:(?:[\p{L}\p{Nl}][\p{M}\p{Cf}]*(?:[:.''·‘’․‧][\p{L}\p{Nl}][\p{M}\p{Cf}]*)+|\p{Nd}[\p{M}\p{Cf}]*(?:[,;.''‘’․]\p{Nd}[\p{M}\p{Cf}]*)+|[\p{L}\p{Nl}][\p{M}\p{Cf}]*|\p{Nd}[\p{M}\p{Cf}]*|\p{Pc})+)(?:[-‐‑](?:[\p{L}\p{Nl}][\p{M}\p{Cf}]*(?:[:.''·‘’․‧][\p{L}\p{Nl}][\p{M}\p{Cf}]*)+|\p{Nd}[\p{M}\p{Cf}]*(?:[,;.''‘’․]\p{Nd}[\p{M}\p{Cf}]*)+|[\p{L}\p{Nl}][\p{M}\p{Cf}]*|\p{Nd}[\p{M}\p{Cf}]*|\p{Pc})+)*')) as word from c)
+select word, count(*) as n, count(distinct doc_id) as n_docs from t where length(word) >= 2 and regexp_matches(word, '[\p{L}\p{N}]') group by word""")
+def unicode_words(spark, d):
+    found = dtm.words(_t(spark, d, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text"), "text")
+    return nouns.each(found, "doc_id", name="word").groupBy("doc_id", "word").agg(F.count("*").alias("n")).groupBy("word").agg(F.sum("n").alias("n"), F.count("*").alias("n_docs"))
+
+
 def _topic_input(spark, d):
     """Documents and vocabulary for the topic model, at its defaults, and how many documents there are."""
     docs, vocab = dtm.stm_input(_frequent(spark, d, 2))

@@ -8,9 +8,13 @@ import time
 from dataclasses import dataclass, field, fields
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from noria.operators import corpus, dtm, ngrams, nouns, stm, topics
+from noria.operators import corpus, dtm, ngrams, nouns, rules, stm, topics
 from noria.operators.nouns import RuleTagger, Tagger
+from noria.plans import feedback
+from noria.plans.metrics import Watch, read_metrics, write_metrics
+from noria.sources import files, storage
 
 
 @dataclass(frozen=True)
@@ -60,16 +64,23 @@ class RunReport:
 
 
 class Pipeline:
-    """Steps 1 corpus, 2 nouns, 3 n-grams (may fail), 4 document-term table, 5 topic model; each writes its tables under `out`."""
+    """Steps 1 corpus, 2 nouns, 3 n-grams (may fail), 4 document-term table, 5 topic model; each writes its tables under `out`.
+
+    dictionary: a file of (word, tag, score); its spaced words join the compound rules of
+    step 3, and a `DictionaryTagger` may have it too.  rules: of steps 3 and 4 in place of
+    the built-in ones (those of step 3 hold only with a dictionary).  Beside each step's
+    tables lie its metrics, under `out`/metrics.
+    """
 
     STEPS = {1: "corpus", 2: "nouns", 3: "ngrams", 4: "dtm", 5: "topics"}
 
-    def __init__(self, spark: SparkSession, out: str, config: EngineConfig | None = None, tagger: Tagger | None = None, rules: list[tuple[str, str]] = ()):
+    def __init__(self, spark: SparkSession, out: str, config: EngineConfig | None = None, tagger: Tagger | None = None, rules: list[tuple[str, str]] | None = None, dictionary: str | None = None):
         self.spark, self.out, self.config = spark, out, config or EngineConfig()
-        self.tagger, self.rules = tagger or RuleTagger([], [], []), list(rules)
+        self.tagger, self.rules, self.dictionary = tagger or RuleTagger([], [], []), rules, dictionary
 
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{self.out}/{name}")
+        watch = getattr(self, "_watch", None)
+        (watch.seen(df) if watch else df).write.mode("overwrite").parquet(f"{self.out}/{name}")
         return self.table(name)
 
     def table(self, name: str) -> DataFrame:
@@ -80,14 +91,47 @@ class Pipeline:
         for i in steps:
             name, began = self.STEPS[i], time.time()
             try:
-                report.tables[name] = getattr(self, f"_{name}")(raw)
+                with Watch(name, getattr(self.tagger, "times", None) if i == 2 else None) as self._watch:
+                    report.tables[name] = getattr(self, f"_{name}")(raw)
+                write_metrics(self.spark, f"{self.out}/metrics/{name}", self._watch.metrics())
                 report.steps[name] = ("done", (time.time() - began) / 60)
             except Exception:
                 report.steps[name] = ("failed", (time.time() - began) / 60)
                 if i != 3:
                     raise
+            finally:
+                self._watch = None
         return report
 
+    def metrics(self) -> DataFrame:
+        """A row for each step that ran."""
+        return read_metrics(self.spark, *(e.path for e in storage.entries(self.spark, f"{self.out}/metrics")))
+
+    def new_dictionary(self, dictionary: str, tagger: Tagger, steps: tuple[int, ...] = (3, 4, 5)) -> tuple[RunReport, feedback.Retagged]:
+        """Another version of the dictionary: tags the documents it touches again, then runs the later steps.
+
+        The tokens are written beside the old ones, which a rename replaces, so a lost
+        driver leaves a whole table.
+        """
+        old = files.read_dictionary(self.spark, self.dictionary) if self.dictionary else None
+        docs, made = corpus.analysis_projection(self.table("corpus")), f"{self.out}/retagged"
+        done = feedback.retag(docs, self.table("tokens"), old, files.read_dictionary(self.spark, dictionary), tagger, made)
+        storage.delete(self.spark, f"{self.out}/tokens")
+        storage.rename(self.spark, f"{made}/tokens", f"{self.out}/tokens")
+        done.tokens = self.table("tokens")
+        storage.delete(self.spark, made)
+        self.dictionary, self.tagger = dictionary, tagger
+        self._keep("nouns", nouns.extract_nouns(self.table("tokens")))
+        return self.run(steps=steps), done
+
+    def _noun_rules(self) -> list[tuple[str, str]]:
+        if self.rules is not None:
+            return self.rules
+        if self.dictionary is None:
+            return []
+        spaced = files.read_dictionary_words(self.spark, self.dictionary).where(F.contains("word", F.lit(" "))).limit(feedback.MOST_WORDS).collect()
+        return ngrams.dictionary_rules([r["word"] for r in spaced], rules.NOUN_RULES)
+
     def _corpus(self, raw):
         return self._keep("corpus", corpus.standardize(raw))
 
@@ -96,12 +140,13 @@ class Pipeline:
         return self._keep("nouns", nouns.extract_nouns(tagged))
 
     def _ngrams(self, _):
-        words = ngrams.normalize_list(ngrams.long_words(self.table("nouns")), self.rules)
+        words = ngrams.normalize_list(ngrams.long_words(self.table("nouns")), self._noun_rules())
         mined = self._keep("ngrams", ngrams.mine_ngrams(words, list(self.config.ngram_sizes), self.config.min_frequency, self.config.max_results))
         return self._keep("candidates", ngrams.dictionary_candidates(mined, self.config.min_frequency))
 
     def _dtm(self, _):
-        cells = dtm.dfm(ngrams.normalize_list(self.table("nouns"), self.rules), least_length=self.config.min_token_length)
+        used = rules.TEXT_RULES if self.rules is None else self.rules
+        cells = dtm.dfm(ngrams.normalize_list(self.table("nouns"), used), least_length=self.config.min_token_length)
         kept = self._keep("dtm", dtm.trim(cells, self.config.min_termfreq, self.config.min_docfreq))
         self._keep("terms", dtm.tfidf_terms(kept, self.table("nouns").count(), self.config.top_terms))
         return kept
@@ -109,7 +154,10 @@ class Pipeline:
     def _topics(self, _):
         docs, vocab = dtm.stm_input(self.table("dtm"))
         k = self.config.topics or stm.suggest_k(docs.count())
-        model = stm.fit(docs, vocab, k, max_em=self.config.max_em, seed=self.config.seed)
+        # a run that was cut goes on from its last round
+        model = stm.fit(docs, vocab, k, max_em=self.config.max_em, seed=self.config.seed, state=f"{self.out}/topic_rounds")
+        stm.save(self.spark, model, f"{self.out}/topic_model")
+        storage.delete(self.spark, f"{self.out}/topic_rounds")
         self._keep("beta", stm.beta_table(self.spark, model))
         self._keep("labels", topics.top_words(topics.label_scores(self.table("beta")), "prob"))
         return self._keep("theta", stm.theta(model, docs))
