@@ -71,12 +71,30 @@ def differs(said: str, data: bytes) -> bool:
     return False
 
 
+#: A record's head is no longer; the search for its end stops there.
+HEAD_BYTES = 1 << 16
+
+
+class Marks:
+    """Where the next gzip member or version line may start.  Each marker's next place is kept until it is passed, so an archive is searched once for it, however many checks fail."""
+
+    def __init__(self, data: bytes):
+        self.data, self.next = data, {GZIP: -1, b"WARC/1.": -1}
+
+    def after(self, at: int) -> int:
+        for mark, place in self.next.items():
+            if place < at:
+                found = self.data.find(mark, at)
+                self.next[mark] = found if found >= 0 else len(self.data)
+        return min(self.next.values())
+
+
 def parse_record(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
     """Headers, block and end of the record at `at`; BadRecord if any check fails."""
     line = data.find(b"\r\n", at, at + 64)
     if line < 0 or data[at:line] not in VERSIONS:
         raise BadRecord("no version line")
-    stop = data.find(b"\r\n\r\n", line)
+    stop = data.find(b"\r\n\r\n", line, at + HEAD_BYTES)
     if stop < 0:
         raise BadRecord("no end of head")
     headers = {}
@@ -154,7 +172,7 @@ def salvage(data: bytes):
     digest where its data is wrong.  These end where the next valid place is found, as the
     gap for the rest does.
     """
-    at, gap, why, held = 0, None, "", []
+    at, gap, why, held, marks = 0, None, "", [], Marks(data)
 
     def quarantined(end):
         for _, _, _, headers, block in held:
@@ -186,8 +204,7 @@ def salvage(data: bytes):
         except BadRecord as e:
             if gap is None:
                 gap, why = at, str(e)
-            nxt = [p for p in (data.find(GZIP, at + 1), data.find(b"WARC/1.", at + 1)) if p >= 0]
-            at = min(nxt, default=len(data))
+            at = marks.after(at + 1)
             continue
         if gap is not None:
             yield from quarantined(at)
