@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 
 from noria.llm.common import Scratch, own
 
-#: A line in more than this share of a site's pages is boilerplate.  Lines repeated across differing
-#: texts lie at about 0.5 to 13 % of a site, below that most repeats come from copies of a document ...
-MAX_RATIO = 0.005
-#: ... if it is in at least so many of them, which is what decides on a small site.
-MIN_PAGES = 8
+#: A line is boilerplate if its share of a site's pages is over this, the site counted with SMOOTH more pages that lack it.
+#: So the pages it takes grow with the site: 5 of 50 pages, 7 of 500, 470 of 93,000, and no line of 4 pages ever is.
+MAX_RATIO, SMOOTH = 0.005, 800
 #: Boilerplate hashes that may be broadcast; 8 bytes each.  Beyond it the join is salted.
 BROADCAST_HASHES = 1_000_000
 SALTS = 64
@@ -22,13 +20,13 @@ def url_host(url: Column | str) -> Column:
     return F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def drop_boilerplate_lines(docs: DataFrame, host: Column | str = "source", text_col: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def drop_boilerplate_lines(docs: DataFrame, host: Column | str = "source", text_col: str = "text", max_ratio: float = MAX_RATIO, smooth: int = SMOOTH) -> DataFrame:
     """`docs` with its columns, text_col without its site's boilerplate lines, and n_dropped_lines.
 
     Lines end with \\n and are compared without the spaces around them; blank lines
     are never dropped.  Per host, the pages that contain a line are divided by the
-    pages of the host; a line above max_ratio that is in at least min_pages pages
-    is dropped wherever it stands on that host.
+    pages of the host and `smooth` more; a line above max_ratio is dropped wherever it
+    stands on that host.
 
     A line's count is a partial aggregate of (host, 64-bit hash), so neither a large
     host nor a common line gathers in a task.  A host has at most (distinct lines a
@@ -48,15 +46,17 @@ def drop_boilerplate_lines(docs: DataFrame, host: Column | str = "source", text_
     hashes = F.transform(F.split(F.col(text_col), "\n", -1), lambda x: F.when(F.trim(x) != "", F.xxhash64(F.trim(x))))
     lines = paged.select(F.col(n["host"]).alias("host"), F.array_distinct(F.array_compact(hashes)).alias("lines"))
     totals = paged.groupBy(F.col(n["host"]).alias("host")).agg(F.count("*").alias("pages"))
-    counted = lines.select("host", F.explode("lines").alias("line")).groupBy("host", "line").agg(F.count("*").alias("c")).where(F.col("c") >= min_pages)
-    bad = counted.join(totals, "host").where(F.col("c") > F.col("pages") * max_ratio).groupBy("host").agg(F.collect_list("line").alias("bad"))
+    counted = lines.select("host", F.explode("lines").alias("line")).groupBy("host", "line").agg(F.count("*").alias("c")).where(F.col("c") > smooth * max_ratio)
+    bad = counted.join(totals, "host").where(F.col("c") > (F.col("pages") + smooth) * max_ratio).groupBy("host").agg(F.collect_list("line").alias("bad"))
     bad = Scratch(spark).cut(bad, "boilerplate").select(F.col("host").alias(n["host"]), F.col("bad").alias(n["bad"]))
     many = bad.agg(F.coalesce(F.sum(F.size(n["bad"]) + F.lit(8)), F.lit(0))).first()[0]
     if many <= BROADCAST_HASHES:
         joined = paged.join(F.broadcast(bad), n["host"], "left")
     else:
         salted = bad.withColumn(n["salt"], F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        dealt = paged.withColumn(n["salt"], F.pmod(F.xxhash64(text_col), F.lit(SALTS)).cast("int"))
+        # by all that can be hashed, so pages without a text are dealt out too
+        hashed = [c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+        dealt = paged.withColumn(n["salt"], F.pmod(F.xxhash64(*hashed), F.lit(SALTS)).cast("int"))
         joined = dealt.join(salted, [n["host"], n["salt"]], "left")
     parts = F.split(F.col(text_col), "\n", -1)
     kept = F.filter(parts, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col(n["bad"]), F.xxhash64(F.trim(x))))
@@ -66,14 +66,14 @@ def drop_boilerplate_lines(docs: DataFrame, host: Column | str = "source", text_
     return out.select(*[c.alias(k) for k, c in fresh.items()], F.coalesce(F.col(n["bad"] + ".n"), F.lit(0)).alias("n_dropped_lines"))
 
 
-def oracle(table: str = "documents", host: str = "source", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> str:
-    """DuckDB SQL for (doc_id, text, n_dropped_lines) where doc_id is unique."""
+def oracle(table: str = "documents", host: str = "source", id_col: str = "doc_id", text_col: str = "text", max_ratio: float = MAX_RATIO, smooth: int = SMOOTH) -> str:
+    """DuckDB SQL for (id_col, text_col, n_dropped_lines) where ids are unique."""
     return f"""
-    with d as (select doc_id, coalesce({host}, chr(1)) as h, text, string_split(text, chr(10)) as parts from {table}),
+    with d as (select {id_col} as doc_id, coalesce({host}, chr(1)) as h, {text_col} as text, string_split({text_col}, chr(10)) as parts from {table}),
     l as (select distinct doc_id, h, trim(x, ' ') as line from (select doc_id, h, unnest(parts) as x from d)),
     t as (select h, count(*) as pages from d group by h),
     bad as (select h, list(line) as bad from (select h, line, count(*) as c from l where line <> '' group by h, line) join t using (h)
-            where c >= {min_pages} and c > pages * {max_ratio} group by h),
+            where c > {smooth} * {max_ratio} and c > (pages + {smooth}) * {max_ratio} group by h),
     k as (select doc_id, text, parts, list_filter(parts, lambda x: trim(x, ' ') = '' or not list_contains(coalesce(bad, []), trim(x, ' '))) as kept from d left join bad using (h))
-    select doc_id, case when text is null then null else array_to_string(kept, chr(10)) end as text, coalesce(len(parts) - len(kept), 0)::bigint as n_dropped_lines from k
+    select doc_id as {id_col}, case when text is null then null else array_to_string(kept, chr(10)) end as {text_col}, coalesce(len(parts) - len(kept), 0)::bigint as n_dropped_lines from k
     """

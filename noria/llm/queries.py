@@ -25,6 +25,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate_lines(_read(spark, sf_dir, "documents").select("doc_id", "source", "text")).select("doc_id", "text", "n_dropped_lines")
 
 
+def line_dedup_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web pages without their host's boilerplate lines: page_id, html, n_dropped_lines."""
+    pages = _read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return line_dedup.drop_boilerplate_lines(pages, line_dedup.url_host("url"), "html").select("page_id", "html", "n_dropped_lines")
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 tokens."""
     return packing.pack(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -94,10 +100,11 @@ def op13_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ball_kmeans.ball_kmeans(_read(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op3_mixing, op4_metric_search, op5_embedding_dedup, op6_toxicity, op7_chat_tree, op8_warc, op9_lm_scores, op10_minmax, op11_pii, op12_lexical_search, op13_ball_kmeans)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op3_mixing, op4_metric_search, op5_embedding_dedup, op6_toxicity, op7_chat_tree, op8_warc, op9_lm_scores, op10_minmax, op11_pii, op12_lexical_search, op13_ball_kmeans, line_dedup_pages)}
 
 ORACLE_SQL = {
     "op1_line_dedup": line_dedup.oracle(),
+    "line_dedup_pages": line_dedup.oracle("pages", r"lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1))", "page_id", "html"),
     "op3_mixing": mixing.oracle(MIX_DOMAIN_SQL, MIX_FRACTION, MIX_EPOCHS, MIX_WEIGHTS, MIX_SEED),
     "op4_metric_search": """
     with v as (select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as e from embeddings

@@ -33,12 +33,26 @@ def test_line_dedup(spark):
 def test_line_dedup_takes_lines_of_one_to_five_percent_of_a_large_site(spark):
     shares = {"one": 10, "two": 20, "five": 50, "rare": 4}
     rows = [(i, "\n".join([f"body {i}", *(k for k, n in shares.items() if i < n)]), "en", "large", 0, "x") for i in range(1000)]
-    rows += [(2000 + i, f"text {i}" + "\nfew" * (i < 7), "en", "small", 0, "x") for i in range(40)]
+    rows += [(2000 + i, f"text {i}" + "\nfew" * (i < 4), "en", "small", 0, "x") for i in range(40)]
     got = {r["doc_id"]: (r["text"], r["n_dropped_lines"]) for r in line_dedup.drop_boilerplate_lines(spark.createDataFrame(rows, DOCS)).collect()}
     assert got[0] == ("body 0\nrare", 3) and got[15] == ("body 15", 2) and got[30] == ("body 30", 1) and got[60] == ("body 60", 0)
     assert got[2000] == ("text 0\nfew", 0)
 
 
+def test_line_dedup_goes_by_the_share_of_a_site_not_by_pages_alone(spark):
+    """The same line on 12 pages goes from a site of 1,000 pages and stays on one of 2,000."""
+    rows = [(i, f"body {i}" + "\nshared" * (i % 1000 < 12 and i < 2000), "en", "less" if i < 1000 else "more", 0, "x") for i in range(3000)]
+    got = {r["doc_id"]: r["n_dropped_lines"] for r in line_dedup.drop_boilerplate_lines(spark.createDataFrame(rows, DOCS)).collect()}
+    assert [got[i] for i in (0, 11, 12, 1000, 1011)] == [1, 1, 0, 0, 0]
+
+
+def test_line_dedup_by_salted_join(spark, monkeypatch):
+    rows = docs(spark, [f"menu\nbody {i}" for i in range(30)] + [None] * 30)
+    want = sorted(map(str, line_dedup.drop_boilerplate_lines(rows).collect()))
+    monkeypatch.setattr(line_dedup, "BROADCAST_HASHES", -1)
+    assert sorted(map(str, line_dedup.drop_boilerplate_lines(rows).collect())) == want and "n_dropped_lines=1" in want[0]
+
+
 def test_packing_is_an_exact_partition(spark):
     texts = ["", None, "a  b\n c <|endoftext|>", "word " * 3000, "x", "x"]
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -377,3 +391,21 @@ def test_lm_against_a_slow_loop(spark, monkeypatch):
         e = np.exp((m.rows[lo:hi] @ h).astype(float)) * c.mass[lo:hi]
         unseen += s[c.k + g] / s.sum() * e[row - lo] / e.sum() * 0.1 / c.mass[row]
     assert total + unseen == pytest.approx(1, abs=1e-6)
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_warc_salvage_takes_time_in_proportion(packed):
+    """Archives of bad records, plain and gzip, from 1 to 16 MB."""
+    import time
+
+    bad = warc.record("response", "u", "1", b"x" * 900, "0" * 64, 900).replace(b"x" * 10, b"y" * 10, 1)
+    good = warc.record("response", "u", "2", b"z" * 50, hashlib.sha256(b"z" * 50).hexdigest(), 50)
+    one, last = (warc.member(x) if packed else x for x in (bad, good))
+    took = []
+    for mb in (1, 16):
+        data = one * ((mb << 20) // len(one)) + last
+        began = time.process_time()
+        kinds = Counter(x[0] for x in warc.salvage(data))
+        took.append((time.process_time() - began) / len(data))
+        assert kinds["record"] == 1
+    assert took[1] < 3 * took[0]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from noria.llm import line_dedup
 from noria.llm.queries import MIX_FRACTION
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -66,7 +67,7 @@ def test_lines(stages):
     for r in stages["toxicity"]:
         pages[r["source"]] += 1
         having.update({(r["source"], x.strip(" ")) for x in (r["text"] or "").split("\n")})
-    drop = {k for k, n in having.items() if k[1] and n >= 8 and n > 0.1 * pages[k[0]]}
+    drop = {k for k, n in having.items() if k[1] and n > line_dedup.MAX_RATIO * (pages[k[0]] + line_dedup.SMOOTH)}
     want = {r["doc_id"]: None if r["text"] is None else "\n".join(x for x in r["text"].split("\n") if (r["source"], x.strip(" ")) not in drop) for r in stages["toxicity"]}
     assert drop and {r["doc_id"]: r["text"] for r in stages["line_dedup"]} == want
 
