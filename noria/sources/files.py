@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from noria.operators.corpus import union_by_name
-from noria.sources import storage
+from noria.session import ship_package
+from noria.sources import storage, xls
+from noria.store import Store
 
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
@@ -40,6 +42,16 @@ def read_xlsx(content: bytes) -> pd.DataFrame:
             text = "".join(t.text or "" for t in c.iter(f"{{{_NS['m']}}}t")) if c.get("t") == "inlineStr" else v.text if v is not None else None
             cells[at] = shared[int(text)] if c.get("t") == "s" and text is not None else text
         rows.append(cells)
+    return _framed(rows)
+
+
+def read_workbook(content: bytes) -> pd.DataFrame:
+    """The first sheet of a workbook of either kind, which its first bytes tell."""
+    return _framed(xls.rows(content)) if content[:8] == xls.MAGIC else read_xlsx(content)
+
+
+def _framed(rows: list[dict]) -> pd.DataFrame:
+    """Rows (column -> text) as strings; the first row names the columns."""
     if not rows:
         return pd.DataFrame()
     width = max(rows[0], default=-1) + 1
@@ -70,21 +82,22 @@ def list_exports(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_exports(spark: SparkSession, folder: str) -> DataFrame:
-    """All workbooks of a folder, united by column names, with source_file.
+    """All workbooks of a folder, .xlsx and .xls, united by column names, with source_file.
 
-    A workbook is one value of a task.  The columns' names are read first, then each
-    row travels as JSON to keep one schema.
+    A workbook is one value of a task.  The rows are written once, as JSON, in the shared
+    folder; the columns' names are those of all files.
     """
 
     def rows(batches):
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"], strict=True):
-                t = read_xlsx(content)
+                t = read_workbook(content)
                 records = [json.dumps({k: v for k, v in r.items() if v is not None}, ensure_ascii=False) for r in t.to_dict("records")]
                 yield pd.DataFrame({"source_file": path.rsplit("/", 1)[-1], "names": [list(map(str, t.columns))] * len(records), "record": records})
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(folder).select("path", "content")
-    read = files.mapInPandas(rows, "source_file string, names array<string>, record string").persist()
+    ship_package(spark)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xls*").load(folder).select("path", "content")
+    read = Store(spark).keep(files.mapInPandas(rows, "source_file string, names array<string>, record string"), "exports")
     names = [r[0] for r in read.select("source_file", F.explode("names").alias("n")).groupBy("n").agg(F.min("source_file").alias("f")).orderBy("f", "n").select("n").collect()]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     return read.select(F.from_json("record", schema).alias("r"), "source_file").select("r.*", "source_file")
