@@ -76,9 +76,9 @@ def merge_candidates(df: DataFrame, mode: str, key: str = "word", freq: str = "f
     return df.groupBy(key).agg(value.alias(freq), *[F.min_by(c, order).alias(c) for c in rest])
 
 
-def review(df: DataFrame) -> DataFrame:
-    """(word, freq, context, pos, type, concept, trend) from parsed recommendations (word, freq, context, type, concept, trend)."""
-    return df.select("word", "freq", "context", F.lit("NNP").alias("pos"), F.col("type"), F.substring("concept", 1, 100).alias("concept"), year_span("trend").alias("trend")).orderBy(F.desc("freq"), "word")
+def review(df: DataFrame, *more: str) -> DataFrame:
+    """(word, freq, context, pos, type, concept, trend) and the columns `more` from parsed recommendations (word, freq, context, type, concept, trend)."""
+    return df.select("word", "freq", "context", F.lit("NNP").alias("pos"), F.col("type"), F.substring("concept", 1, 100).alias("concept"), year_span("trend").alias("trend"), *more).orderBy(F.desc("freq"), "word")
 
 
 def quality_flags(df: DataFrame, generic: list[str], low: int = 2) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from noria.functions import text as fn
 from noria.operators import corpus, dtm, ngrams, nouns, rules, stm, topics
 from noria.session import ship_package
+from noria.sources import files
 from noria.store import Store
 
 PREFIXES, SUFFIXES = ["re", "un", "anti", "en", "ver"], ["tion", "ing", "ed", "ly", "er", "ung", "ment"]
@@ -528,6 +529,49 @@ def best_k(spark, d):
     return topics.best_k(_metrics(spark, d), METRICS)
 
 
+#: What each benchmark item recommends, as JSON files; every 11th record has no word, every 13th no number, and file 5 is cut short.
+def _recommendations(spark, d):
+    i = F.col("item_id")
+    word = F.when(i % 11 != 3, F.lower(F.split("text", " ")[0]))
+    freq = F.when(i % 13 == 4, F.lit("n/a")).otherwise((F.length("text") % 37).cast("string"))
+    area, trend = F.concat(F.lit("area"), (i % 3).cast("string")), F.when(i % 5 == 0, F.concat(F.lit("since "), (1990 + i % 30).cast("string"))).otherwise(F.concat(F.lit("from "), (2000 + i % 20).cast("string"), F.lit(" and "), (1980 + i % 10).cast("string")))
+    context = F.substring("text", 1, 30)
+
+    def record(listed, wrapped):
+        reason = F.struct((F.array(context, F.lit("other")) if listed else context).alias(files.CONTEXT), area.alias(files.AREA), F.col("text").alias(files.CONCEPT), trend.alias(files.TREND))
+        return F.to_json(F.struct(word.alias(files.WORD), freq.alias(files.FREQ), (F.array(reason) if wrapped else reason).alias(files.REASON)))
+
+    some = F.when((i % 2 == 0) & (i % 3 == 0), record(True, True)).when(i % 2 == 0, record(True, False)).when(i % 3 == 0, record(False, True)).otherwise(record(False, False))
+    listed = _t(spark, d, "benchmark").select((i % 8).alias("file"), F.struct("item_id", some.alias("r")).alias("r")).groupBy("file").agg(F.array_join(F.transform(F.sort_array(F.collect_list("r")), lambda x: x["r"]), ",\n").alias("body"))
+    value = F.concat(F.lit("["), "body", F.when(F.col("file") == 5, F.lit(", {")).otherwise(F.lit("]")))
+    path = f"{Store(spark).base}/recommendations"
+    listed.select("file", value.alias("value")).repartition("file").write.partitionBy("file").text(path)
+    return path
+
+
+REC = """rec as (select item_id, case when item_id % 11 <> 3 then lower(split_part(text, ' ', 1)) end as word, case when item_id % 13 <> 4 then length(text) % 37 end as freq, substr(text, 1, 30) as context, 'area' || item_id % 3 as type, substr(text, 1, 100) as concept,
+case when item_id % 5 = 0 then '' else (1980 + item_id % 10) || '-' || (2000 + item_id % 20) end as trend, item_id % 8 as file from benchmark)"""
+
+
+@query(f"""with {REC}, ok as (select * from rec where file <> 5 and word is not null and word <> '' and freq is not null),
+one as (select * from (select *, row_number() over (partition by word order by freq desc, context) as r, count(*) over (partition by word) as n from ok) where r = 1)
+select word, freq::bigint as freq, context, 'NNP' as pos, type, concept, trend, regexp_matches(word, '\\s[가-힣]$') as cut_short, word in {_in(GENERIC)} as generic, freq <= 2 as low_frequency, n > 1 as merged from one""")
+def recommendation_review(spark, d):
+    """From JSON files to the review table: good records, the most frequent one of each word, and the flags of their quality."""
+    good = files.recommendations(spark, _recommendations(spark, d)).where("problem is null")
+    flagged = ngrams.quality_flags(good, GENERIC).withColumnRenamed("duplicated", "merged")
+    one = ngrams.merge_candidates(flagged, "max", order="context")
+    return ngrams.review(one, "cut_short", "generic", "low_frequency", "merged")
+
+
+@query(f"""with {REC} select 'file=5' as file, 'file' as problem, 1::bigint as n from rec where file = 5 having count(*) > 0
+union all select 'file=' || file, case when word is null or word = '' then 'word' else 'frequency' end, count(*)::bigint from rec where file <> 5 and (word is null or word = '' or freq is null) group by all""")
+def recommendation_quarantine(spark, d):
+    """The files and records that the review leaves out, by what is wrong with them."""
+    found = files.quarantine(spark, _recommendations(spark, d))
+    return found.groupBy(F.regexp_extract("folder", "file=[0-9]+", 0).alias("file"), "problem").agg(F.count("*").alias("n"))
+
+
 PAIRS = r"""i0 as (select item_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') as w from benchmark),
 pair as (select w[i] || ' ' || w[i + 1] as spaced, item_id, i from (select item_id, w, unnest(range(1, len(w))) as i from i0)),
 rule as (select spaced, row_number() over (order by min(item_id * 100000 + i)) as ord from pair group by spaced)"""

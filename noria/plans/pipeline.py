@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import os
 import time
+import warnings
 from dataclasses import dataclass, field, fields
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from noria.operators import corpus, dtm, ngrams, nouns, rules, stm, topics
 from noria.operators.nouns import RuleTagger, Tagger
-from noria.plans import feedback
+from noria.plans import feedback, reports
 from noria.plans.metrics import Watch, read_metrics, write_metrics
 from noria.sources import files, storage
 
@@ -133,7 +134,10 @@ class Pipeline:
         return ngrams.dictionary_rules([r["word"] for r in spaced], rules.NOUN_RULES)
 
     def _corpus(self, raw):
-        return self._keep("corpus", corpus.standardize(raw))
+        done = corpus.standardize(raw)
+        if "abstract" not in done.columns:  # no known header: by parts of headers, then the first text
+            done = done.withColumnRenamed(corpus.resolve_columns(done)[1], "abstract")
+        return self._keep("corpus", done)
 
     def _nouns(self, _):
         tagged = self._keep("tokens", self.tagger.tag(corpus.analysis_projection(self.table("corpus"))))
@@ -153,14 +157,47 @@ class Pipeline:
 
     def _topics(self, _):
         docs, vocab = dtm.stm_input(self.table("dtm"))
-        k = self.config.topics or stm.suggest_k(docs.count())
+        n = docs.count()
+        k = self.config.topics or stm.suggest_k(n)
+        for warning in stm.check_k(k, n):
+            warnings.warn(warning, stacklevel=2)
         # a run that was cut goes on from its last round
         model = stm.fit(docs, vocab, k, max_em=self.config.max_em, seed=self.config.seed, state=f"{self.out}/topic_rounds")
         stm.save(self.spark, model, f"{self.out}/topic_model")
         storage.delete(self.spark, f"{self.out}/topic_rounds")
         self._keep("beta", stm.beta_table(self.spark, model))
         self._keep("labels", topics.top_words(topics.label_scores(self.table("beta")), "prob"))
-        return self._keep("theta", stm.theta(model, docs))
+        kept = self._keep("theta", stm.theta(model, docs))
+        wide = topics.wide(kept, list(range(1, model.k + 1)))
+        named = wide.withColumnsRenamed({str(i): f"Topic{i}" for i in range(1, model.k + 1)})
+        self._keep("topic_table", corpus.left_join_metadata(named, corpus.topic_metadata(self.table("corpus"))))
+        return kept
+
+    def reports(self) -> dict[str, str]:
+        """The reports of the steps that have run, written under `out`/reports; name -> path."""
+        has = lambda *names: all(storage.exists(self.spark, f"{self.out}/{n}") for n in names)
+        made = {}
+        if has("corpus"):
+            made["structure"] = reports.structure(self.table("corpus"))
+        if has("tokens", "nouns"):
+            made["morphemes"] = reports.morphemes(self.table("tokens"), self.table("nouns"), self.metrics() if has("metrics") else None)
+        if has("ngrams", "candidates"):
+            made["ngrams"] = reports.ngram_report(self.table("ngrams"), self.table("candidates"))
+        if has("beta", "theta"):
+            title = corpus.pick(self.table("corpus").columns, corpus.TITLE_NAMES) if has("corpus") else None
+            titles = self.table("corpus").select("doc_id", F.col(f"`{title}`").alias("title")) if title else None
+            made["topics"] = reports.topic_report(self.table("beta"), self.table("theta"), titles)
+        if has("topic_counts"):
+            made["comparison"] = reports.comparison(self.table("topic_counts"))
+        return {name: reports.write_report(self.spark, text, f"{self.out}/reports/{name}.md") for name, text in made.items()}
+
+    def search_topics(self, ks: list[int] | None = None) -> stm.StmModel:
+        """The topic counts ks (by the number of documents, if not given) compared, and the best one fitted again; writes topic_counts and topic_model."""
+        docs, vocab = dtm.stm_input(self.table("dtm"))
+        found = self._keep("topic_counts", stm.search_k(docs, vocab, ks or stm.suggest_range(docs.count()), max_em=self.config.max_em, seed=self.config.seed))
+        model = stm.refit_best(docs, vocab, found, max_em=self.config.max_em, seed=self.config.seed)
+        stm.save(self.spark, model, f"{self.out}/topic_model")
+        return model
 
     def missing_outputs(self) -> list[str]:
         found = []
@@ -186,6 +223,4 @@ def run_nouns_only(spark, out, raw, **kw) -> RunReport:
 
 def markdown_table(df: DataFrame, title: str, most: int = 50) -> str:
     """A report section of the first rows."""
-    rows = df.limit(most).collect()
-    lines = [f"## {title}", "", "| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
-    return "\n".join(lines + ["| " + " | ".join("" if v is None else str(v).replace("|", "\\|") for v in r) + " |" for r in rows]) + "\n"
+    return reports.table(df, title, most)

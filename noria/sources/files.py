@@ -134,15 +134,33 @@ def read_candidates(spark: SparkSession, path: str) -> DataFrame:
 WORD, FREQ, REASON, CONTEXT, AREA, CONCEPT, TREND = "추천명사", "빈도수", "추천근거", "맥락적_용례", "주제_영역", "개념적_핵심성", "시계열적_동향"
 
 
-def read_recommendations(spark: SparkSession, path: str) -> DataFrame:
-    """(word, freq, context, type, concept, trend, source_file): the reason may be an object or a list of one, the context a text or a list; a file that does not parse is left out."""
+def recommendations(spark: SparkSession, path: str) -> DataFrame:
+    """(word, freq, context, type, concept, trend, source_file, folder, problem, raw): every record of the files, and every file that does not parse.
+
+    The reason may be an object or a list of one, the context a text or a list.  problem is
+    null for a good record, else 'file', 'word' (none) or 'frequency' (no number); raw is
+    what a person needs to mend it.
+    """
     schema = f"`{WORD}` string, `{FREQ}` string, `{REASON}` string, _corrupt_record string"
-    raw = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").json(path).withColumn("source_file", F.element_at(F.split(F.input_file_name(), "/"), -1))
+    read = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").json(path).select("*", F.col("_metadata.file_name").alias("source_file"), F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("folder"))
     fields = f"struct<`{CONTEXT}`:string,`{AREA}`:string,`{CONCEPT}`:string,`{TREND}`:string>"
     reason = F.when(F.startswith(F.ltrim(REASON), F.lit("[")), F.from_json(REASON, f"array<{fields}>")[0]).otherwise(F.from_json(REASON, fields))
     first = lambda c: F.coalesce(F.when(F.startswith(F.ltrim(c), F.lit("[")), F.get(F.from_json(c, "array<string>"), F.lit(0))), c)
-    rows = raw.where(F.col("_corrupt_record").isNull() & F.col(WORD).isNotNull()).withColumn("r", reason)
-    return rows.select(F.col(WORD).alias("word"), F.col(FREQ).try_cast("long").alias("freq"), first(F.col("r")[CONTEXT]).alias("context"), F.col("r")[AREA].alias("type"), F.col("r")[CONCEPT].alias("concept"), F.col("r")[TREND].alias("trend"), "source_file")
+    freq = F.col(FREQ).try_cast("long")
+    problem = F.when(F.col("_corrupt_record").isNotNull(), "file").when(F.coalesce(F.trim(WORD), F.lit("")) == "", "word").when(freq.isNull(), "frequency")
+    raw = F.when(problem.isNotNull(), F.coalesce("_corrupt_record", F.to_json(F.struct(WORD, FREQ, REASON))))
+    rows = read.withColumn("r", reason)
+    return rows.select(F.col(WORD).alias("word"), freq.alias("freq"), first(F.col("r")[CONTEXT]).alias("context"), F.col("r")[AREA].alias("type"), F.col("r")[CONCEPT].alias("concept"), F.col("r")[TREND].alias("trend"), "source_file", "folder", problem.alias("problem"), raw.alias("raw"))
+
+
+def read_recommendations(spark: SparkSession, path: str) -> DataFrame:
+    """(word, freq, context, type, concept, trend, source_file): the good records of `recommendations`; those without a number stay, with a null."""
+    return recommendations(spark, path).where("problem is null or problem = 'frequency'").drop("folder", "problem", "raw")
+
+
+def quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """(folder, source_file, problem, raw): the files and records that a review leaves out."""
+    return recommendations(spark, path).where("problem is not null").select("folder", "source_file", "problem", "raw")
 
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:

@@ -105,3 +105,66 @@ def test_a_new_dictionary_retags_what_it_touches(spark, tmp_path):
     none = feedback.retag(docs, full.table("tokens").where("doc_id > 'doc5'"), same, same, made[second], str(tmp_path / "c"))
     assert none.changed_words == 0 and none.retagged == full.table("tokens").where("doc_id <= 'doc5'").count()
     assert sorted(map(str, none.tokens.collect())) == sorted(map(str, full.table("tokens").collect()))
+
+
+def test_reports_and_the_topic_table(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(f"title {i}", " ".join(rng.choice(["apple", "pear", "plum"] if i % 2 else ["steel", "iron", "zinc"]) for _ in range(30)), f"20{i % 20:02d}") for i in range(40)]
+    raw = spark.createDataFrame(rows, "title string, `other texts` string, pub_year string")
+    engine = Pipeline(spark, str(tmp_path / "out"), EngineConfig(topics=2, max_em=3))
+    engine.run(raw)
+    assert engine.table("topic_table").columns == ["doc_id", "Topic1", "Topic2", "pub_year"] and engine.table("topic_table").count() == 40
+    model = engine.search_topics([2, 3])
+    assert model.k in (2, 3) and {r["k"] for r in engine.table("topic_counts").collect()} == {2, 3}
+    made = engine.reports()
+    assert set(made) == {"structure", "morphemes", "ngrams", "topics", "comparison"}
+    texts = {k: (tmp_path / "out/reports" / f"{k}.md").read_text() for k in made}
+    assert "| abstract | string |" in texts["structure"] and "| 2003 | 2 |" in texts["structure"]
+    assert "| 40 | 120 | 3.0 | 6 |" in texts["morphemes"] and "## Run" in texts["morphemes"]
+    assert "## 2 words" in texts["ngrams"] and "## Words by frex" in texts["topics"] and "title " in texts["topics"]
+    assert "## Best by each metric" in texts["comparison"]
+    assert engine.reports() == made
+
+
+def test_many_topics_are_warned_of(spark, tmp_path):
+    rows = [(f"t{i}", "apple pear plum fig kiwi " * 3) for i in range(12)]
+    engine = Pipeline(spark, str(tmp_path / "out"), EngineConfig(topics=4, max_em=1))
+    with pytest.warns(UserWarning, match="many for 12"):
+        engine.run(spark.createDataFrame(rows, "title string, abstract string"))
+
+
+def test_quarantine_holds_bad_files_and_records(spark, tmp_path):
+    from noria.sources import files
+
+    (tmp_path / "good.json").write_text('[{"추천명사": "a", "빈도수": 3}, {"추천명사": " ", "빈도수": 1}, {"추천명사": "b", "빈도수": "many"}]')
+    (tmp_path / "bad.json").write_text('[{"추천명사": "c", "빈도수": 3}, {')
+    held = {(r["source_file"], r["problem"]): r["raw"] for r in files.quarantine(spark, str(tmp_path)).collect()}
+    assert set(held) == {("good.json", "word"), ("good.json", "frequency"), ("bad.json", "file")}
+    assert '"many"' in held["good.json", "frequency"] and '"c"' in held["bad.json", "file"]
+    assert sorted((r["word"], r["freq"]) for r in files.read_recommendations(spark, str(tmp_path)).collect() if r["freq"]) == [("a", 3)]
+
+
+def test_three_dialects_of_candidates_and_mixed_types(spark, tmp_path):
+    from noria.sources import files
+
+    (tmp_path / "a.csv").write_text("ngram,frequency,pos_tag\nx y,3,\n,1,NNG\n")
+    (tmp_path / "b.csv").write_text("word,freq,pos\nz,4,NNP\n")
+    (tmp_path / "c.csv").write_text("noun\nw\n")
+    (tmp_path / "d.csv").write_text("other\nw\n")
+    got = [sorted(map(tuple, files.read_candidates(spark, str(tmp_path / f"{n}.csv")).collect())) for n in "abc"]
+    assert got == [[("x y", "NNG", 3)], [("z", "NNP", 4)], [("w", "NNP", None)]]
+    with pytest.raises(ValueError, match="ngram, word or noun"):
+        files.read_candidates(spark, str(tmp_path / "d.csv"))
+    a, b = spark.createDataFrame([(1, "p")], "id int, x string"), spark.createDataFrame([("q2", 5)], "id string, y int")
+    both = corpus.union_by_name([a, b])
+    assert dict(both.dtypes) == {"id": "string", "x": "string", "y": "int"} and sorted(r["id"] for r in both.collect()) == ["1", "q2"]
+    (tmp_path / "words.tsv").write_text("# x\ta\na b\tNNG\nnotab\n")
+    assert [r["word"] for r in files.read_dictionary_words(spark, str(tmp_path / "words.tsv")).collect()] == ["a b"]
+    files.write_with_metadata(a, str(tmp_path / "m"), model="k")
+    assert spark.read.json(str(tmp_path / "m/metadata")).first()["model"] == "k" and spark.read.parquet(str(tmp_path / "m/data")).count() == 1
+
+
+def test_bounds_of_document_frequency(spark):
+    cells = spark.createDataFrame([("1", "a", 1), ("2", "a", 1), ("3", "a", 1), ("1", "b", 2), ("2", "c", 1)], "doc_id string, term string, tf long")
+    assert {r["term"] for r in dtm.trim(cells, 2, 1, 2).collect()} == {"b"}
+    assert {r["term"] for r in dtm.trim(cells, 1, 2).collect()} == {"a"}
