@@ -110,6 +110,15 @@ class Classes:
         return one, two
 
 
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    """In place."""
+    np.clip(x, -30, 30, out=x)
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
 class LogBilinear:
     """s(class | u, v) = h . q[class] + b[class], with h = r[u] * c1 + r[v] * c2 of the two classes before.
 
@@ -142,13 +151,19 @@ class LogBilinear:
         g = {k: np.full(getattr(self, k).shape, 1e-4, np.float32) for k in ("r", "q", "b", "c1", "c2")}
         seen = 0
 
-        def sparse(name, ids, grad):
+        kind = np.uint16 if len(self.noise) < 1 << 16 else np.int32  # small integers are sorted by radix
+
+        def sparse(ids, *grads):
+            """Adds the gradients (name, rows) of repeated ids up, which are sorted once for all of them."""
+            ids = ids.astype(kind)
             order = np.argsort(ids, kind="stable")
             s = ids[order]
             at = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
-            rows, total = s[at], np.add.reduceat(grad[order], at, axis=0)
-            g[name][rows] += total**2
-            getattr(self, name)[rows] -= rate * total / np.sqrt(g[name][rows])
+            rows = s[at]
+            for name, grad in grads:
+                total = np.add.reduceat(grad[order], at, axis=0)
+                g[name][rows] += total**2
+                getattr(self, name)[rows] -= rate * total / np.sqrt(g[name][rows])
 
         def dense(name, total):
             g[name] += total**2
@@ -161,13 +176,12 @@ class LogBilinear:
             h = ru * self.c1 + rv * self.c2
             qw, qz = self.q[w], self.q[z]
             pos = np.einsum("ij,ij->i", h, qw) + self.b[w] - log_kn[w]
-            neg = h @ qz.T + (self.b[z] - log_kn[z])
-            dp = (1 / (1 + np.exp(-np.clip(pos, -30, 30))) - 1) / len(w)
-            dn = (1 / (1 + np.exp(-np.clip(neg, -30, 30)))) / len(w)
+            dp = (_sigmoid(pos) - 1) / np.float32(len(w))
+            dn = _sigmoid(h @ qz.T + (self.b[z] - log_kn[z]))
+            dn /= np.float32(len(w))
             dh = dp[:, None] * qw + dn @ qz
-            sparse("q", np.concatenate([w, z]), np.concatenate([dp[:, None] * h, dn.T @ h]))
-            sparse("b", np.concatenate([w, z]), np.concatenate([dp, dn.sum(axis=0)]))
-            sparse("r", np.concatenate([u, v]), np.concatenate([dh * self.c1, dh * self.c2]))
+            sparse(np.concatenate([w, z]), ("q", np.concatenate([dp[:, None] * h, dn.T @ h])), ("b", np.concatenate([dp, dn.sum(axis=0)])))
+            sparse(np.concatenate([u, v]), ("r", np.concatenate([dh * self.c1, dh * self.c2])))
             dense("c1", np.einsum("ij,ij->j", dh, ru))
             dense("c2", np.einsum("ij,ij->j", dh, rv))
         return seen
@@ -184,12 +198,15 @@ class LogBilinear:
         log_k = np.float32(math.log(GROUP_NOISE))
         for w, u, v, row in batches:
             tail = np.flatnonzero(row >= 0)
-            tail = tail[np.argsort(w[tail], kind="stable")]
-            group = w[tail] - classes.k
+            group = (w[tail] - classes.k).astype(np.uint16 if classes.start < 1 << 16 else np.int32)
+            order = np.argsort(group, kind="stable")
+            tail, group = tail[order], group[order].astype(np.int64)
             at = np.arange(len(tail)) - np.searchsorted(group, group)
             for lo in range(0, int(at.max(initial=-1)) + 1, GROUP_STEP):
                 now = np.flatnonzero((at >= lo) & (at < lo + GROUP_STEP))
-                t, (gs, place) = tail[now], np.unique(group[now], return_inverse=True)
+                t, mine = tail[now], group[now]
+                new = np.append(True, mine[1:] != mine[:-1])
+                gs, place = mine[new], np.cumsum(new) - 1
                 low, high = cum[classes.bounds[gs]], cum[classes.bounds[gs + 1]]
                 z = np.searchsorted(cum, low[:, None] + rng.random((len(gs), GROUP_NOISE)) * (high - low)[:, None], side="right") - 1
                 z = np.clip(z, classes.bounds[gs][:, None], classes.bounds[gs + 1][:, None] - 1)
@@ -199,9 +216,9 @@ class LogBilinear:
                 real = np.zeros(h.shape[:2], bool)
                 real[inside] = True
                 qw, qz = self.rows[row[t]], self.rows[z]
-                dp = 1 / (1 + np.exp(-np.clip(np.einsum("ij,ij->i", h[inside], qw) - log_k, -30, 30))) - 1
-                dn = real[:, :, None] / (1 + np.exp(-np.clip(h @ qz.transpose(0, 2, 1) - log_k, -30, 30)))
-                grad = np.concatenate([dp[:, None] * h[inside], (dn.transpose(0, 2, 1).astype(np.float32) @ h).reshape(-1, DIM)])
+                dp = _sigmoid(np.einsum("ij,ij->i", h[inside], qw) - log_k) - 1
+                dn = _sigmoid(h @ qz.transpose(0, 2, 1) - log_k) * real[:, :, None]
+                grad = np.concatenate([dp[:, None] * h[inside], (dn.transpose(0, 2, 1) @ h).reshape(-1, DIM)])
                 ids = np.append(row[t], z)
                 order = np.argsort(ids, kind="stable")
                 first = np.flatnonzero(np.append(True, np.diff(ids[order]) > 0))
@@ -223,9 +240,11 @@ class LogBilinear:
             step = max(1, (1 << 16) // int(hi - lo))
             for j in range(cuts[i], cuts[i + 1], step):
                 t = tail[j : min(j + step, cuts[i + 1])]
-                s = h[t] @ q + share
-                top = s.max(axis=1)
-                out[t] = s[np.arange(len(t)), row[t] - lo] - top - np.log(np.exp(s - top[:, None]).sum(axis=1))
+                s = h[t] @ q
+                s += share
+                s -= s.max(axis=1, keepdims=True)
+                own = s[np.arange(len(t)), row[t] - lo]
+                out[t] = own - np.log(np.exp(s, out=s).sum(axis=1))
         return out
 
     def log_norms(self) -> np.ndarray:
