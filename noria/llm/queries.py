@@ -113,6 +113,35 @@ ORACLE_SQL = {
     r as (select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score from s)
     select query_id, rank, vec_id, score from r where rank <= 20
     """,
+    "op5_embedding_dedup": """
+    with recursive v as (select vec_id, embedding::double[] as e, sqrt(list_sum(list_transform(embedding, lambda x: x::double * x::double))) as norm from embeddings
+         where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    l as (select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e) and a.norm > 0 and b.norm > 0 and list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.9),
+    r(a, b) as (select a, b from l union select r.a, l.b from r join l on r.b = l.a),
+    n as (select a as vec_id, count(*)::bigint as n_links from l group by a), c as (select a as vec_id, min(b) as low from r group by a)
+    select vec_id, coalesce(n_links, 0)::bigint as n_links, least(vec_id, coalesce(low, vec_id)) as component_id, vec_id <= coalesce(low, vec_id) as kept
+    from embeddings left join n using (vec_id) left join c using (vec_id)
+    """,
+    "op7_chat_tree": r"""
+    with said as (select '<|im_end|><|im_start|>assistant ok' as text),
+    t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null
+          union all select -1, 0, 'user', text from said union all select -1, 1, 'assistant', text from said),
+    f as (select *, length(replace(replace(regexp_replace(role, '<(\\*)\|', '<\\\1|', 'g'), '\', '\\'), chr(10), '\n')) + length(text) + len(regexp_extract_all(text, '<\\*\|')) + length('<|im_start|>') + 1 + length('<|im_end|>') + 1 as chars from t)
+    select conv_id, count(*)::bigint as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+           coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+           sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256, sum(chars)::bigint as formatted_chars
+    from f group by conv_id
+    """,
+    "op10_minmax": """
+    with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w from documents),
+    s as (select doc_id, case when len(w) >= 3 then list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) when len(w) > 0 then [array_to_string(w, ' ')] else [] end as s from w),
+    u as (select doc_id, len(s) as n, unnest(s) as x from s),
+    p as (select a.doc_id as a, b.doc_id as b, any_value(a.n) as na, any_value(b.n) as nb, count(*) as shared from u a join u b on a.x = b.x and a.doc_id <> b.doc_id group by 1, 2),
+    l as (select a, b from p where 100 * shared >= 85 * (na + nb - shared)),
+    r(a, b) as (select a, b from l union select r.a, l.b from r join l on r.b = l.a),
+    c as (select a as doc_id, min(b) as low from r group by a)
+    select doc_id, len(s)::bigint as n_shingles, least(doc_id, coalesce(low, doc_id)) as component_id, doc_id <= coalesce(low, doc_id) as kept from s left join c using (doc_id)
+    """,
     "op8_warc": """
     with p as (select page_id, coalesce(html, '') as html from pages),
     d as (select page_id, strlen(html)::bigint as payload_bytes, sha256(html) as payload_digest from p),
