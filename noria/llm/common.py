@@ -6,7 +6,6 @@ with a chance of about 2**-64 a pair.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import numpy as np
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from noria.session import ship_package
+from noria.store import shared_dir
 
 #: Bytes of text that are hashed at once; bounds the temporary arrays of a worker.
 SLICE_BYTES = 1 << 20
@@ -33,19 +33,6 @@ _POWERS = np.ones(1, dtype=np.uint64)
 _INVERSE = np.ones(1, dtype=np.uint64)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if found:
-        return found.rstrip("/")
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get().rstrip("/")
-    made = "file://" + tempfile.mkdtemp(prefix="noria-")
-    spark.sparkContext.setCheckpointDir(made)
-    return made
-
-
 class Scratch:
     """Tables written to the shared folder, which cut lineage and survive lost executors.
 
