@@ -205,3 +205,67 @@ def digests(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     order = "case x.kind " + " ".join(f"when '{k}' then {j}" for j, k in enumerate(KINDS)) + " end"
     both = f"transform(array_sort(transform(concat(base, learned), x -> named_struct('o', {order}, 'start', x.start, 'end', x.end, 'kind', x.kind))), x -> named_struct('kind', x.kind, 'start', x.start, 'end', x.end))"
     return found.select(F.col(id_col), *counts, F.sha2(F.expr(text.format("base")).cast("binary"), 256).alias("base_sha256"), F.expr(text.format(both)).alias("spans"), F.expr("cast(size(learned) as bigint)").alias("n_learned"))
+
+
+def oracle(rounds: int = ROUNDS, support: int = SUPPORT, evidence: int = EVIDENCE) -> str:
+    """DuckDB SQL for `digests` over documents with unique ids: words in place of hashes, and the rounds written out."""
+    forms = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", r"[0-9](?:[ -]?[0-9])+", r"\+[0-9][ ().0-9-]+[0-9]"]
+
+    def valid(m: str) -> list[str]:
+        digits = f"regexp_replace({m}, '[^0-9]', '', 'g')"
+        part = "case when length(ltrim(p, '0')) > 3 then 999 else coalesce(try_cast(nullif(ltrim(p, '0'), '') as int), 0) end"
+        value = f"substr(reverse({digits}), i, 1)::int"
+        luhn = f"list_sum(list_transform(range(1, length({digits}) + 1), lambda i: case when i % 2 = 1 then {value} else 2 * {value} - 9 * ({value} > 4)::int end)) % 10 = 0"
+        return ["true", f"list_max(list_transform(string_split({m}, '.'), lambda p: {part})) <= 255", f"length({digits}) between 16 and 19 and {luhn}", f"length({digits}) between 8 and 15"]
+
+    edges = EDGES.replace("'", "''")
+    raw = " union all ".join(f"select doc_id, {j} as k, regexp_extract_all(text, '{f}') as m, string_split_regex(text, '{f}') as s from d" for j, f in enumerate(forms))
+    base_ok = " ".join(f"when {j} then {v}" for j, v in enumerate(valid("m")))
+    kind = " ".join(f"when regexp_full_match(c, '{f.replace('A-Z', '')}') and {v} then {j}" for j, (f, v) in enumerate(zip(forms, valid("c"), strict=True)))
+    d = "length(regexp_replace(c, '[^0-9]', '', 'g'))"
+    able = [r"regexp_matches(c, '@|[(\[]at[)\]]') and regexp_matches(c, '[a-z]')", rf"{d} >= 4 and regexp_full_match(c, '[0-9a-f.:/]+') and regexp_matches(c, '[.:]')", rf"{d} >= 8 and regexp_full_match(c, '[0-9][0-9 -]+')", rf"{d} >= 5 and regexp_full_match(c, '[+]?[0-9][0-9 ().-]+')"]
+    names = "['email', 'ip', 'card', 'phone']"
+    parts = [
+        "d as (select doc_id, coalesce(text, '') as text from documents)",
+        f"raw as ({raw})",
+        "one as (select doc_id, k, m[i] as m, (list_sum(list_transform(s[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))::bigint as start from (select *, unnest(range(1, len(m) + 1)) as i from raw))",
+        f"base as materialized (select doc_id, k, start, start + length(m) as stop from one where case k {base_ok} end)",
+        r"piece as (select doc_id, text, unnest(p) as w, generate_subscripts(p, 1) as j from (select doc_id, text, string_split_regex(text, '[\x20\x09-\x0D]') as p from d))",
+        "placed as (select *, (sum(length(w) + 1) over (partition by doc_id order by j) - length(w) - 1)::bigint as off, regexp_matches(w, '[0-9@]') as shaped from piece)",
+        r"near as (select *, coalesce(lag(shaped) over o, false) and substr(text, off, 1) = ' ' and regexp_matches(w, '^[().-]*[0-9]') as tied from placed window o as (partition by doc_id order by j))",
+        r"word as (select doc_id, text, j, w, off, shaped or regexp_matches(w, '[(\[][aA][tT][)\]]') as is_id, tied, sum((not tied)::int) over (partition by doc_id order by j) as g from near where w <> '')",
+        "tok as (select doc_id, min(j) as j, bool_or(is_id) as is_id, min(off) as start, max(off + length(w)) as stop, any_value(text) as text, case when bool_or(is_id) then '#' when length(lower(any_value(w))) > "
+        + str(WORD)
+        + " then '~' else lower(any_value(w)) end as word from word group by doc_id, g)",
+        "side as materialized (select *, coalesce(lag(word) over o, '') as a, coalesce(lag(word, 2) over o, '') as b, coalesce(lead(word) over o, '') as z from tok window o as (partition by doc_id order by j))",
+        "keyed as (select *, [case when a <> '' then '1 ' || a end, case when b <> '' and a not in ('', '#', '~') then '2 ' || b || ' ' || a end, case when a <> '' and z <> '' then '3 ' || a || ' ' || z end] as keys from side)",
+        "every as materialized (select pattern, count(*) as n from (select unnest(keys) as pattern from keyed) where pattern is not null group by pattern)",
+        f"core as (select doc_id, keys, substr(text, start + 1, stop - start) as m, start from keyed where is_id), cored as (select *, trim(m, '{edges}') as t, lower(trim(m, '{edges}')) as c, start + length(m) - length(ltrim(m, '{edges}')) as lo from core)",
+        f"seen as materialized (select doc_id, lo, lo + length(t) as hi, c, keys, case {kind} end as kind, [{', '.join(f'length(c) between 5 and 64 and {a}' for a in able)}] as able from cored)",
+        "edge as (select pattern, c, any_value(kind) as kind, any_value(able) as able, count(*) as places from (select unnest(keys) as pattern, c, kind, able from seen) where pattern is not null group by pattern, c)",
+        f"met as (select pattern, count(*) as instances, sum(places) as places from edge group by pattern having count(*) >= {support})",
+        "pat as materialized (select pattern, 1000 * (instances + n - places) as total from met join every using (pattern))",
+        "link as materialized (select pattern, c, kind, able from edge join pat using (pattern)), kinds as (select unnest(range(4)) as k)",
+        "open as materialized (select pattern, k, count(*) filter (where kind is null and able[k + 1]) as n from link cross join kinds group by pattern, k)",
+        "score0 as (select ''::varchar as c, 0::bigint as k, 0::bigint as s where false)",
+    ]
+    for r in range(rounds):
+        parts.append(f"""known{r} as (select pattern, kind::bigint as k, 1000 as s, 0 as new from link where kind is not null union all select pattern, k, s, s as new from link join score{r} using (c) where kind is null),
+        share{r} as (select pattern, k, sum(s) as ok, sum(new) as new from known{r} group by pattern, k having sum(s) >= {1000 * support}),
+        strong{r} as (select pattern, k, ok, total - ({1000 - UNKNOWN} * (1000 * n - new)) // 1000 as everything from share{r} join pat using (pattern) join open using (pattern, k)),
+        good{r} as materialized (select pattern, k, floor(-1000 * ln((everything - ok + 1000)::double / (everything + 1000)::double))::bigint as e from strong{r} where floor(-1000 * ln((everything - ok + 1000)::double / (everything + 1000)::double)) >= {evidence}),
+        sum{r} as materialized (select c, k, sum(e) as e from link join good{r} using (pattern) where kind is null and able[k + 1] group by c, k),
+        score{r + 1} as (select c, k, floor(1000 - 1000 * exp(-e / 1000.0))::bigint as s from sum{r})""")
+    last = f"sum{rounds - 1}"
+    parts.append(f"best as (select c, k from (select *, row_number() over (partition by c order by e desc, k) as r from {last}) where r = 1)")
+    parts.append("learned as (select s.doc_id, k, lo as start, hi as stop from seen s join best using (c) where s.kind is null and not exists (select 1 from base b where b.doc_id = s.doc_id and b.start < s.hi and s.lo < b.stop))")
+    listed = f"string_agg({names}[k + 1] || ':' || start || ':' || stop, ',' order by k, start)"
+    return (
+        "with "
+        + ",\n".join(parts)
+        + f""",
+    bases as (select doc_id, {", ".join(f"count(*) filter (where k = {j}) as n_{k}" for j, k in enumerate(KINDS))}, {listed} as list from base group by doc_id),
+    whole as (select doc_id, {listed} as spans, count(*) filter (where new) as n_learned from (select *, false as new from base union all select *, true from learned) group by doc_id)
+    select d.doc_id, {", ".join(f"coalesce(n_{k}, 0)::bigint as n_{k}" for k in KINDS)}, sha256(coalesce(list, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(n_learned, 0)::bigint as n_learned
+    from d left join bases using (doc_id) left join whole using (doc_id)"""
+    )

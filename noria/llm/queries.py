@@ -149,6 +149,7 @@ ORACLE_SQL = {
     select page_id, payload_bytes, payload_digest, case when payload_bytes >= 100 and page_id > low then 'revisit' else 'response' end as record_type,
            case when payload_bytes >= 100 and page_id > low then low end as refers_to from f
     """,
+    "op11_pii": pii.oracle(),
     "op12_lexical_search": lexical_search.oracle(),
     "op13_ball_kmeans": ball_kmeans.oracle(),
 }

@@ -136,6 +136,20 @@ def test_pii_equals_plain_python(spark):
     assert not any("12:34" in x[1] for x in found)
 
 
+def test_pii_sql_equals_plain_python():
+    import duckdb
+
+    texts = ODD + contexts()
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": range(len(texts)), "text": pa.array(texts, pa.string())}))
+    got, learned, order = {r[0]: r for r in con.sql(pii.oracle()).fetchall()}, learned_spans(texts), list(pii.KINDS)
+    for i, text in enumerate(texts):
+        base = base_spans(text)
+        both = sorted(base + learned[i], key=lambda s: (order.index(s[0]), s[1]))
+        listed = lambda spans: ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        assert got[i][1:] == (*[sum(s[0] == k for s in base) for k in order], hashlib.sha256(listed(base).encode()).hexdigest(), listed(both), len(learned[i])), text
+
+
 def test_pii_joins_when_nothing_is_small(spark, monkeypatch):
     rows = table(spark, contexts())
     want = sorted(map(str, pii.digests(pii.find_pii(rows)).collect()))
