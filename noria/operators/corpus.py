@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,9 +74,14 @@ def standardize_ids(df: DataFrame, order: list[str] | None = None, only_duplicat
         run = F.length(F.regexp_extract("doc_id", "(_+)[0-9]+$", 1))
         most = out.agg(F.coalesce(F.max(run), F.lit(0))).first()[0]
         given = F.coalesce("doc_id", F.lit("row"))
-        n = F.row_number().over(Window.partitionBy("doc_id").orderBy(*[c for c in order if c != "doc_id"] or [F.lit(0)]))
-        n = n - F.when(F.col("doc_id").isNull(), 0).otherwise(1)
-        out = out.withColumn("__n", n).withColumn("doc_id", F.when(F.col("__n") > 0, F.concat(given, F.lit("_" * (most + 1)), F.format_string("%03d", F.col("__n")))).otherwise(given)).drop("__n")
+        # numbered by ranges of (id, order), less each id's first number, so rows without an id don't meet in one task
+        key, store = "__given", Store(df.sparkSession)
+        marked = out.withColumn(key, F.coalesce(F.concat(F.lit("="), "doc_id"), F.lit("")))
+        rows = numbered(marked, [key, *[c for c in order if c != "doc_id"]], store, "__n")
+        first = rows.groupBy(key).agg(F.min("__n").alias("__first"))
+        n = F.col("__n") - F.col("__first") + F.when(F.col("doc_id").isNull(), 1).otherwise(0)
+        suffixed = F.concat(given, F.lit("_" * (most + 1)), F.format_string("%03d", F.col("__n")))
+        out = rows.join(first, key).withColumn("__n", n).withColumn("doc_id", F.when(F.col("__n") > 0, suffixed).otherwise(given)).drop("__n", "__first", key)
     elif not out.groupBy("doc_id").count().where("count > 1").limit(1).isEmpty():
         return generate_hash_ids(out, order)
     return out.select("doc_id", *[c for c in out.columns if c != "doc_id"])
