@@ -194,7 +194,7 @@ def write_template(spark: SparkSession, path: str) -> str:
 
 
 def write_csv(df: DataFrame, path: str, one_file: bool = False) -> None:
-    (df.coalesce(1) if one_file else df).write.option("header", True).option("encoding", "UTF-8").mode("errorifexists").csv(path)
+    (df.coalesce(1) if one_file else df).write.option("header", True).option("encoding", "UTF-8").option("escape", '"').mode("errorifexists").csv(path)
 
 
 def write_with_metadata(df: DataFrame, path: str, **metadata: str) -> None:
