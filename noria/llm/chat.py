@@ -211,7 +211,8 @@ def read_back(nodes: DataFrame, leaves: DataFrame) -> DataFrame:
 
     -> (conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars).
     For trees whose tokens are code points.  Equal conversations are read once; chunks
-    stream through a task in sorted order.
+    stream through a task in sorted order.  Null texts and roles come back empty, repeated
+    turns each; a tree without nodes gives no rows.
     """
     once = leaves.groupBy("branch").agg(F.any_value("spans").alias("spans"))
     spans = once.select(F.col("branch").alias("leaf"), F.explode("spans").alias("s"))

@@ -117,7 +117,10 @@ def mix_sources(docs: DataFrame, domain: Column, fraction: float, max_epochs: in
 
 
 def mixed_texts(mixed: DataFrame, text_col: str = "text") -> DataFrame:
-    """The mixture itself: a row per pass of a document, the last one cut to its prefix; the mix_ columns go."""
+    """The mixture itself: a row per pass of a document, the last one cut to its prefix; the mix_ columns go.
+
+    Repeated rows and null ids are rows of their own; an empty mixture stays empty.
+    """
     cols = [c for c in mixed.columns if not c.startswith("mix_")]
     pass_ = own(cols, "pass")["pass"]
     rows = mixed.withColumn(pass_, F.explode(F.concat(F.when(F.col("mix_epochs") > 0, F.array_repeat(F.lit(-1).cast("long"), F.col("mix_epochs").cast("int"))).otherwise(F.array().cast("array<long>")), F.when(F.col("mix_take") > 0, F.array("mix_take")).otherwise(F.array().cast("array<long>")))))

@@ -300,7 +300,7 @@ def _read(batches):
     for batch in batches:
         for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             rows, size = [], 0
-            for kind, start, end, what, block in salvage(content.as_py()):
+            for kind, start, end, what, block in salvage(content.as_py() or b""):
                 if kind == "gap":
                     rows.append((path, kind, start, end, what, None, None, None, None, None, None, None))
                     continue
@@ -333,13 +333,18 @@ def read_archives(archives: DataFrame) -> DataFrame:
     A record has record_id, url, record_type, refers_to, payload_digest, payload_bytes
     and payload (see _payload; null for a revisit).  Digests of blocks and payloads are
     checked by the algorithm and encoding they name; one of an unknown kind is not.
+    An archive without content, or a null one, gives no rows, as does an empty table; equal
+    archives and records of equal ids are read each.
     """
     schema = "path string, kind string, start long, end long, reason string, record_id string, url string, record_type string, refers_to string, payload_digest string, payload_bytes long, payload binary"
     return archives.select("path", "content").mapInArrow(_read, schema)
 
 
 def write_and_read(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Archives of `pages` in the shared folder, and what reading them back gives (see read_archives)."""
+    """Archives of `pages` in the shared folder, and what reading them back gives (see read_archives).
+
+    Nulls, repeated rows and ties are as in write_archives; without pages there are no rows.
+    """
     spark = pages.sparkSession
     scratch = Scratch(spark)
     folder = scratch.path("archives")

@@ -116,3 +116,10 @@ def test_pipeline_on_repeated_ids_extra_columns_and_no_rows(spark, folder, tmp_p
         if name != "packing":
             assert now.columns == columns
     assert counts == [0] * 5 if empty else counts[0] >= counts[1] >= counts[2] > 0 and counts[3] > 0 and counts[4] > 0
+
+
+def test_archives_without_content(spark):
+    from noria.llm import warc
+
+    none = spark.createDataFrame([("a", None), ("b", b""), ("c", b"junk")], "path string, content binary")
+    assert [(r["path"], r["kind"], r["end"]) for r in warc.read_archives(none).collect()] == [("c", "gap", 4)]
