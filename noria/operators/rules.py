@@ -36,8 +36,8 @@ NOUN_COMPOUNDS = [
 ]
 TEXT_COMPOUNDS = ["비자살적 자해", "로지스틱 회귀", "매개 효과", "정서 조절", "정신 건강", "청소년 자해", "자해 행동", "설문 조사", "실태 조사"]
 
-#: Rules that are written as one expression; more go through the automaton.
-NESTED = 32
+#: Rules that are written as one expression; more go through the automaton, which is broadcast: at most so many.
+NESTED, MOST = 32, 1_000_000
 
 Rules = list[tuple[str, str]]
 
@@ -96,6 +96,8 @@ class _Sent:
     """A broadcast and its name, which the workers know it by."""
 
     def __init__(self, spark: SparkSession, rules: Rules):
+        if len(rules) > MOST:
+            raise ValueError(f"over {MOST} rules")
         self.value_, self.id = spark.sparkContext.broadcast(rules), uuid.uuid4().hex
 
     @property

@@ -585,7 +585,7 @@ def compound_cascade(spark, d):
     ship_package(spark)
     w = F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), lambda x: x != "")
     pairs = _t(spark, d, "benchmark").select("item_id", w.alias("w")).select("item_id", F.posexplode(ngrams.ngrams_of("w", 2)).alias("i", "spaced"))
-    spaced = [r["spaced"] for r in pairs.groupBy("spaced").agg(F.min(F.col("item_id") * 100000 + F.col("i")).alias("ord")).orderBy("ord").collect()]
+    spaced = [r["spaced"] for r in pairs.groupBy("spaced").agg(F.min(F.col("item_id") * 100000 + F.col("i")).alias("ord")).orderBy("ord").limit(rules.MOST + 1).collect()]
     texts = _corpus(spark, d).select("doc_id", F.lower("abstract").alias("a"))
     done = texts.select("doc_id", "a", rules.normalize_texts(spark, F.col("a"), rules.joined(spaced)).alias("b"))
     return done.select("doc_id", F.md5(F.col("b").cast("binary")).alias("digest"), F.length("b").alias("n_chars"), (F.length("a") - F.length("b")).alias("n_joined"))
