@@ -16,6 +16,8 @@ PERMUTATIONS = 144
 BAND = 3
 #: Shingles of a block in which what is still apart is compared exactly, and columns of a matrix product.
 BLOCK_ITEMS, COLUMNS = 1 << 17, 4096
+#: Bytes of text that a worker hashes at once.
+SLICE = 1 << 19
 
 _RNG = np.random.default_rng(7)
 _A = _RNG.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -39,7 +41,7 @@ def band_keys(sets: list[np.ndarray], permutations: int = PERMUTATIONS, band: in
 def _sketches(shingle: int):
     def run(batches):
         for batch in batches:
-            for lo, texts in slices(batch.column(1)):
+            for lo, texts in slices(batch.column(1), SLICE):
                 sets = shingle_sets(texts, shingle)
                 full = [x for x in sets if len(x)]
                 keys = iter(band_keys(full)) if full else iter(())
@@ -53,7 +55,7 @@ def _sketches(shingle: int):
 def _sets(shingle: int):
     def run(batches):
         for batch in batches:
-            for lo, texts in slices(batch.column(1)):
+            for lo, texts in slices(batch.column(1), SLICE):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, len(texts)), longs(shingle_sets(texts, shingle))], ["id", "items"])
 
     return run

@@ -353,15 +353,16 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str =
     docs = docs.drop(out, threshold_col)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size: FOLDS * BUCKETS * DIM floats
 
-    @F.pandas_udf("double")
-    def toxicity(texts):
+    # over Arrow's own strings: no Python object is made of a text
+    @F.arrow_udf("double")
+    def toxicity(texts: pa.Array) -> pa.Array:
         found = [np.zeros(0)]
-        for _, part in slices(pa.array(texts, pa.string(), from_pandas=True)):
+        for _, part in slices(texts):
             buckets, rows = word_buckets(part)
             p = probability(sent.value, logits(sent.value, buckets, rows))
             p[rows[1:] == rows[:-1]] = sent.value.share
             found.append(p)
-        return _series(np.concatenate(found), texts)
+        return pa.array(np.concatenate(found))
 
     limit = F.lit(0.5)
     for lang, t in sorted(model.thresholds.items()):
@@ -369,12 +370,6 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str =
     return docs.withColumn(out, toxicity(F.col(text_col).cast("string"))).withColumn(threshold_col, limit)
 
 
-def _series(values, like):
-    import pandas as pd
-
-    return pd.Series(values, index=like.index)
-
-
 def reject_toxic(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """`docs` without the rows whose score reaches their language's threshold; texts without words, or null, stay."""
     n = own(docs.columns, "score", "limit")
