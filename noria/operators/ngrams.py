@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from noria.functions.text import bound, strip_spaces, year_span
 from noria.operators.rules import nested, normalize_arrays
-from noria.session import ship_package
 
 
 def normalize(x: Column, rules: list[tuple[str, str]]) -> Column:
@@ -23,7 +22,6 @@ def dictionary_rules(terms: list[str], rules: list[tuple[str, str]]) -> list[tup
 
 def normalize_list(df: DataFrame, rules: list[tuple[str, str]], column: str = "nouns") -> DataFrame:
     """`column` normalised, and n_changed: how many of its values changed."""
-    ship_package(df.sparkSession)
     after = "__after"
     done = df.withColumn(after, normalize_arrays(df.sparkSession, F.col(column), rules))
     changed = F.size(F.filter(F.zip_with(column, after, lambda a, b: a != b), lambda x: x))

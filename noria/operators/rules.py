@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from noria.session import ship_package
+
 # The spaced compounds of the noun lists and of whole texts, in their order.  Each is joined by leaving out its spaces.
 NOUN_COMPOUNDS = [
     "비자살적 자해",
@@ -98,6 +100,7 @@ class _Sent:
     def __init__(self, spark: SparkSession, rules: Rules):
         if len(rules) > MOST:
             raise ValueError(f"over {MOST} rules")
+        ship_package(spark)
         self.value_, self.id = spark.sparkContext.broadcast(rules), uuid.uuid4().hex
 
     @property

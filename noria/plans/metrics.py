@@ -9,6 +9,8 @@ from pyspark import AccumulatorParam
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from noria.session import ship_package
+
 #: Partitions of tagging whose least time is under this share of the greatest are uneven.
 UNEVEN = 0.8
 
@@ -24,6 +26,7 @@ class ByPartition(AccumulatorParam):
 
 
 def partition_times(spark: SparkSession):
+    ship_package(spark)
     return spark.sparkContext.accumulator({}, ByPartition())
 
 

@@ -111,8 +111,8 @@ class Pipeline:
     def new_dictionary(self, dictionary: str, tagger: Tagger, steps: tuple[int, ...] = (3, 4, 5)) -> tuple[RunReport, feedback.Retagged]:
         """Another version of the dictionary: tags the documents it touches again, then runs the later steps.
 
-        The tokens are written beside the old ones, which a rename replaces, so a lost
-        driver leaves a whole table.
+        The tokens are written beside the old ones, which they then replace, so a lost
+        driver leaves a whole table in one of the two places.
         """
         old = files.read_dictionary(self.spark, self.dictionary) if self.dictionary else None
         docs, made = corpus.analysis_projection(self.table("corpus")), f"{self.out}/retagged"
