@@ -6,14 +6,15 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from noria.llm.common import Scratch
 from noria.llm.embedding_dedup import usable
 
-#: Rows of a tree, entries of a node, queries of a block.
-SHARD, PAGE, QUERIES = 8192, 256, 256
+#: Rows of a tree, entries of a node, queries of a block, trees that a block meets in one task.
+SHARD, PAGE, QUERIES, RUN = 8192, 256, 1024, 16
 
 
 class MTree:
@@ -69,7 +70,8 @@ class MTree:
         self.items, self.ids, self.item_parent, self.item_norm = x[order], ids[order], np.array(far), norms[order]
 
     def dump(self) -> list[bytes]:
-        exact = {"items": np.int32, "center": np.int32} if max(np.abs(self.items).max(), np.abs(self.center).max()) < 2**31 else {}
+        most = max(np.abs(self.items).max(), np.abs(self.center).max())
+        exact = {"items": np.int16, "center": np.int16} if most < 2**15 else {"items": np.int32, "center": np.int32} if most < 2**31 else {}
         kinds = [exact.get(f, getattr(self, f).dtype) for f in self.FIELDS]
         return [np.dtype(k).str.encode() + b":" + getattr(self, f).astype(k).tobytes() for f, k in zip(self.FIELDS, kinds, strict=True)]
 
@@ -80,45 +82,102 @@ class MTree:
             kind, _, data = part.partition(b":")
             x = np.frombuffer(data, np.dtype(kind.decode()))
             setattr(tree, f, x.reshape(-1, dim).astype(np.float64) if f in ("items", "center") else x)
+        tree.largest = float(np.abs(tree.items).max())
+        tree.center_norm = np.einsum("ij,ij->i", tree.center, tree.center)
         return tree
 
     def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """ids and scores of the k best by (score desc, id), without the id `own`; best node first."""
-        q = query.astype(np.float64)
-        qq = float(q @ q)
+        """ids and scores of the k best by (score desc, id), without the id `own`."""
+        best = Best(1, k)
+        self.search_block(query.reshape(1, -1), np.array([own]), best)
+        return best.ids[: best.n[0]], best.scores[: best.n[0]]
+
+    def search_block(self, queries: np.ndarray, own: np.ndarray, best: Best) -> None:
+        """Adds what this tree holds to the queries' best; best node first, for all queries together.
+
+        A node is entered by the queries that its bound does not rule out, and their
+        products with a leaf's items are one matrix product.  Queries that have found k
+        elsewhere already come with that bound.
+        """
+        q = queries.astype(np.float64)
+        qq = np.einsum("ij,ij->i", q, q)
         qn = np.sqrt(qq)
-        best_s, best_i = np.zeros(0), np.zeros(0, np.int64)
-        least = -np.inf
         slack = 1e-6 * (1 + qq)
+        # single precision is exact as long as every sum of products is below 2**24
+        kind = np.float32 if float(np.abs(q).max()) * self.largest * q.shape[1] < 2**24 else np.float64
+        exact, items = q.astype(kind), self.items.astype(kind)
         # q.x = (|q|^2 + |x|^2 - d(q, x)^2) / 2, and d(q, x) >= d(q, center) - radius
-        bound = lambda near, norm: np.minimum((qq + norm**2 - np.maximum(near, 0.0) ** 2) / 2, qn * norm) + slack
-        d0 = float(np.linalg.norm(q - self.center[0]))
-        heap = [(-float(bound(d0 - self.radius[0], self.norm[0])), 0, d0)]
+        bound = lambda live, near, norm: np.minimum((qq[live] + norm**2 - np.maximum(near, 0.0) ** 2) / 2, qn[live] * norm) + slack[live]
+        d0 = np.sqrt(((q - self.center[0]) ** 2).sum(axis=1))
+        every = np.arange(len(q))
+        first = bound(every, d0 - self.radius[0], self.norm[0])
+        heap = [(-float(first.max()), 0, every, d0, first)]
         while heap:
-            b, i, d = heapq.heappop(heap)
-            if -b < least:
-                break
+            _, i, live, d, b = heapq.heappop(heap)
+            on = b >= best.least[live]
+            live, d = live[on], d[on]
+            if not len(live):
+                continue
             lo, hi = self.first[i], self.last[i]
             if self.leaf[i]:
-                # the stored distance to the routing object bounds the item's score before it is computed
-                live = np.flatnonzero(bound(np.abs(d - self.item_parent[lo:hi]), self.item_norm[lo:hi]) >= least) + lo
-                live = live[self.ids[live] != own]
-                if not len(live):
-                    continue
-                s, ids = np.concatenate([best_s, self.items[live] @ q]), np.concatenate([best_i, self.ids[live]])
-                top = np.lexsort((ids, -s))[:k]
-                best_s, best_i = s[top], ids[top]
-                if len(top) == k:
-                    least = best_s[-1]
+                # the stored distances to the routing object bound the items' scores before they are computed
+                off = np.maximum(np.maximum(d.min() - self.item_parent[lo:hi], self.item_parent[lo:hi] - d.max()), 0.0)
+                reach = np.minimum((qq[live].max() + self.item_norm[lo:hi] ** 2 - off**2) / 2, qn[live].max() * self.item_norm[lo:hi]) + slack[live].max()
+                near = np.flatnonzero(reach >= best.least[live].min()) + lo
+                if len(near):
+                    best.add(live, self.ids[near], exact[live] @ items[near].T, own)
                 continue
-            children = np.arange(lo, hi)
-            near = np.abs(d - self.parent[lo:hi]) - self.radius[lo:hi]
-            children = children[bound(near, self.norm[lo:hi]) >= least]
-            dist = np.sqrt(np.maximum(((self.center[children] - q) ** 2).sum(axis=1), 0.0))
-            for c, dc, bc in zip(children, dist, bound(dist - self.radius[children], self.norm[children]), strict=True):
-                if bc >= least:
-                    heapq.heappush(heap, (-float(bc), int(c), float(dc)))
-        return best_i, best_s
+            c, cn = self.center[lo:hi], self.center_norm[lo:hi]
+            dist = np.sqrt(np.maximum(qq[live][:, None] + cn[None] - 2 * (q[live] @ c.T), 0.0))
+            for j in range(hi - lo):
+                bj = bound(live, dist[:, j] - self.radius[lo + j], self.norm[lo + j])
+                some = bj >= best.least[live]
+                if some.any():
+                    heapq.heappush(heap, (-float(bj.max()), int(lo + j), live[some], dist[some, j], bj[some]))
+
+
+class Best:
+    """The k best of many queries by (score desc, id), of all that was added."""
+
+    def __init__(self, queries: int, k: int):
+        self.k, self.n = k, np.zeros(queries, np.int64)
+        self.ids, self.scores = np.zeros(queries * k, np.int64), np.zeros(queries * k)
+        self.least = np.full(queries, -np.inf)
+
+    def add(self, live: np.ndarray, ids: np.ndarray, scores: np.ndarray, own: np.ndarray) -> None:
+        """scores: the queries `live` times ids, each id once in all calls; own: the id that each query leaves out."""
+        k = self.k
+        if scores.shape[1] > 4 * k and np.isneginf(self.least[live]).any():
+            # a query takes part with its k + 1 highest and their equals only: one may be its own
+            cut = np.partition(scores, scores.shape[1] - k - 1, axis=1)[:, -k - 1]
+            row, col = np.nonzero(scores >= np.maximum(cut, self.least[live])[:, None])
+        else:
+            row, col = np.nonzero(scores >= self.least[live][:, None])
+        other = ids[col] != own[live[row]]
+        row, col = row[other], col[other]
+        if not len(row):
+            return
+        hit = np.unique(row)
+        owner, place = live[hit], np.repeat(live[hit] * k, self.n[live[hit]])
+        place = place + np.arange(len(place)) - np.repeat(np.cumsum(self.n[owner]) - self.n[owner], self.n[owner])
+        who = np.concatenate([np.repeat(owner, self.n[owner]), live[row]])
+        s, i = np.concatenate([self.scores[place], scores[row, col].astype(np.float64)]), np.concatenate([self.ids[place], ids[col]])
+        order = np.lexsort((i, -s, who))
+        who, s, i = who[order], s[order], i[order]
+        start = np.flatnonzero(np.append(True, who[1:] != who[:-1]))
+        rank = np.arange(len(who)) - np.repeat(start, np.diff(np.append(start, len(who))))
+        top = rank < k
+        who, rank = who[top], rank[top]
+        self.ids[who * k + rank], self.scores[who * k + rank] = i[top], s[top]
+        np.maximum.at(self.n, who, rank + 1)
+        full = who[rank == k - 1]
+        self.least[full] = self.scores[full * k + k - 1]
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place of the query, id, score), one after the other."""
+        at = np.arange(len(self.ids)).reshape(-1, self.k)
+        at = at[np.arange(self.k)[None] < self.n[:, None]]
+        return at // self.k, self.ids[at], self.scores[at]
 
 
 def _integers(column: pa.ChunkedArray | pa.Array, dim: int, scale: int) -> np.ndarray:
@@ -150,24 +209,27 @@ def _block(scale: int):
         order = np.lexsort((*x.T[::-1], ids))
         x, ids = x[order], ids[order]
         once = np.append(True, ids[1:] != ids[:-1])
-        return pa.table({"dim": pa.array([dim], pa.int32()), "ids": pa.array([ids[once].tobytes()]), "qs": pa.array([x[once].tobytes()])})
+        return pa.table({"dim": pa.array([dim], pa.int32()), "block": pa.array([key[1].as_py()], pa.int32()), "ids": pa.array([ids[once].tobytes()]), "qs": pa.array([x[once].tobytes()])})
 
     return run
 
 
 def _search(k: int):
-    def run(batches):
-        held: tuple = (None, None)
-        for batch in batches:
-            for r in batch.to_pylist():
-                dim = r["dim"]
-                if held[0] != (dim, r["shard"]):
-                    held = ((dim, r["shard"]), MTree.load(r["tree"], dim))
-                ids, qs = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["qs"], np.float64).reshape(-1, dim)
-                found = [held[1].search(q, own, k) for own, q in zip(ids, qs, strict=True)]
-                n = [len(x[0]) for x in found]
-                if sum(n):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, n)), pa.array(np.concatenate([x[0] for x in found])), pa.array(np.concatenate([x[1] for x in found]).astype(np.int64))], ["query_id", "vec_id", "score"])
+    """One part of the queries against a run of trees, one tree after the other: what is found bounds what is looked for."""
+
+    def run(key, table):
+        dim = key[0].as_py()
+        asked, trees = table.filter(pc.is_valid(table.column("ids"))), table.filter(pc.is_valid(table.column("tree")))
+        out = {"query_id": [], "vec_id": [], "score": []}
+        if len(asked) and len(trees):
+            own = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in asked.column("ids")])
+            qs = np.concatenate([np.frombuffer(x.as_py(), np.float64) for x in asked.column("qs")]).reshape(-1, dim)
+            best = Best(len(own), k)
+            for tree in trees.column("tree"):
+                MTree.load(tree.as_py(), dim).search_block(qs, own, best)
+            at, ids, scores = best.rows()
+            out = {"query_id": own[at], "vec_id": ids, "score": scores.astype(np.int64)}
+        return pa.table({n: pa.array(v, pa.int64()) for n, v in out.items()})
 
     return run
 
@@ -177,9 +239,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
 
     A component x counts as floor(scale * x).  Rows are dealt by a hash of their id to
     shards of about shard_rows; each shard's M-tree is built once and written to the
-    shared folder.  Blocks of queries meet every shard's tree, which is searched best
-    node first: a node's radius and the distances stored at it bound what is below, and
-    nodes and items whose stored distance alone rules them out are not computed.
+    shared folder.  A task holds a block of queries and meets RUN trees with it, one after
+    the other, each best node first: a node's radius and the distances stored at it bound
+    what is below, and nodes and items that these rule out for every query are not
+    computed.  The rest is a matrix product of the queries that enter a leaf, and what one
+    tree gave bounds the next.  A run gives k rows a query.
 
     Vectors that are null, empty or hold null or non-finite components, and rows with
     a null id, take no part; vectors of different lengths do not meet.  The id is a
@@ -198,8 +262,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
     asked = rows.where("q")
     blocks = max(1, -(-asked.count() // QUERIES))
     asked = asked.select("dim", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"), "id", "v")
-    asked = scratch.cut(asked.groupBy("dim", "block").applyInArrow(_block(scale), "dim int, ids binary, qs binary"), "queries")
-    every = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    found = every.join(trees, ["dim", "shard"]).select("dim", "shard", "tree", "ids", "qs").mapInArrow(_search(k), "query_id long, vec_id long, score long")
+    asked = scratch.cut(asked.groupBy("dim", "block").applyInArrow(_block(scale), "dim int, block int, ids binary, qs binary"), "queries")
+    runs = -(-shards // RUN)
+    none = lambda name, kind: F.lit(None).cast(kind).alias(name)
+    every = trees.select("dim", F.pmod("shard", F.lit(runs)).alias("run"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "tree", none("ids", "binary"), none("qs", "binary"))
+    every = every.unionByName(asked.select("dim", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run"), "block", none("tree", "array<binary>"), "ids", "qs"))
+    found = every.groupBy("dim", "run", "block").applyInArrow(_search(k), "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -123,3 +123,24 @@ def test_archives_without_content(spark):
 
     none = spark.createDataFrame([("a", None), ("b", b""), ("c", b"junk")], "path string, content binary")
     assert [(r["path"], r["kind"], r["end"]) for r in warc.read_archives(none).collect()] == [("c", "gap", 4)]
+
+
+@pytest.mark.parametrize("scale", [8, 3000])
+def test_a_block_of_queries_searches_trees_together(scale):
+    """Many queries at once, two trees one after the other, copies and equal scores, in single and double precision: as brute force."""
+    rng = np.random.default_rng(9)
+    x = rng.integers(-scale, scale, (6000, 64))
+    x[300:700] = x[0]
+    x[5000:5040] = x[0]
+    ids, k = np.arange(6000) * 3, 20
+    trees = [metric_search.MTree.load(metric_search.MTree(ids[part], x[part]).dump(), 64) for part in (slice(0, 3500), slice(3500, 6000))]
+    own = np.arange(0, 6000, 6)
+    best = metric_search.Best(len(own), k)
+    for tree in trees:
+        tree.search_block(x[own].astype(float), ids[own], best)
+    at, found, scores = best.rows()
+    assert (at.reshape(-1, k) == np.arange(len(own))[:, None]).all()
+    product = (x[own] @ x.T).astype(float)
+    product[np.arange(len(own)), own] = -np.inf
+    want = np.argsort(-product, axis=1, kind="stable")[:, :k]
+    assert (found.reshape(-1, k) == ids[want]).all() and (scores.reshape(-1, k) == np.take_along_axis(product, want, 1)).all()
