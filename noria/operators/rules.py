@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import uuid
 from collections.abc import Iterable
 
@@ -54,10 +55,10 @@ NOUN_RULES, TEXT_RULES = joined(NOUN_COMPOUNDS), joined(TEXT_COMPOUNDS)
 class Cascade:
     """All rules at once, with the outcome of replacing one after the other.
 
-    An automaton finds every rule that a text holds in one scan.  The first of them is
-    applied, and the text is scanned again for later ones, since a replacement may make
-    or break their input.  A text without any rule is scanned once, however many rules
-    there are.
+    An automaton finds every rule that a text holds in one scan.  They are applied in
+    their order, and after each only the places around its replacements are scanned
+    again, since these may make input for later rules; a rule whose input is gone by
+    its turn does nothing.
     """
 
     def __init__(self, rules: Rules):
@@ -67,6 +68,7 @@ class Cascade:
         at: dict[str, list[int]] = {}
         for i, (a, _) in enumerate(self.rules):
             at.setdefault(a, []).append(i)
+        self.longest = max(map(len, at), default=0)
         self.found = ahocorasick.Automaton()
         for a, places in at.items():
             self.found.add_word(a, places)
@@ -74,12 +76,29 @@ class Cascade:
             self.found.make_automaton()
 
     def __call__(self, text: str) -> str:
-        last = -1
-        while self.rules:
-            nearest = min((i for _, places in self.found.iter(text) for i in places if i > last), default=None)
-            if nearest is None:
-                break
-            text, last = text.replace(*self.rules[nearest]), nearest
+        if not self.rules:
+            return text
+        todo, last = sorted({i for _, places in self.found.iter(text) for i in places}), -1
+        while todo:
+            i = heapq.heappop(todo)
+            if i <= last:
+                continue
+            last, (given, new) = i, self.rules[i]
+            pieces = text.split(given)
+            if len(pieces) == 1:
+                continue
+            text = new.join(pieces)
+            at = scanned = 0
+            for piece in pieces[:-1]:
+                at += len(piece)
+                lo, hi = max(at - self.longest, scanned - self.longest, 0), min(at + len(new) + self.longest, len(text))
+                if hi > scanned:
+                    for _, places in self.found.iter(text, lo, hi):
+                        for j in places:
+                            if j > last:
+                                heapq.heappush(todo, j)
+                    scanned = hi
+                at += len(new)
         return text
 
 
