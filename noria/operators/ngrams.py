@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from noria.functions.text import bound, strip_spaces, year_span
 from noria.operators.rules import nested, normalize_arrays
+from noria.session import ship_package
 
 
 def normalize(x: Column, rules: list[tuple[str, str]]) -> Column:
@@ -54,6 +58,36 @@ def mine_ngrams(df: DataFrame, sizes: list[int] = (2, 3), least: int = 1, most:
     return out.select("ngram", "frequency", "ngram_size", F.lit("NNG").alias("pos_tag"))
 
 
+def mine_nested(df: DataFrame, size: int = 2, most: int | None = 100, column: str = "nouns") -> DataFrame:
+    """`mine_ngrams` of `size` and one more, for words that are not null and hold no space.
+
+    A row is shuffled for each place, dealt by its shorter n-gram: the longer one is that
+    and a word, and the shorter one's count is the sum of what follows it, the end included.
+    """
+    ship_package(df.sparkSession)
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column(0)
+            flat, doc = lists.flatten(), np.repeat(np.arange(len(lists)), np.asarray(pc.fill_null(pc.list_value_length(lists), 0)))
+            at = np.flatnonzero(doc[: max(len(doc) - size + 1, 0)] == doc[size - 1 :])
+            head = pc.binary_join_element_wise(*[flat.take(pa.array(at + i)) for i in range(size)], " ")
+            follows = np.append(doc, -1)[at + size] == doc[at]
+            following = flat.take(pa.array(at + size, mask=~follows))
+            counted = pa.table({"head": head, "next": following}).group_by(["head", "next"], use_threads=False).aggregate([([], "count_all")])
+            yield from counted.select(["head", "next", "count_all"]).rename_columns(["head", "next", "n"]).combine_chunks().to_batches()
+
+    found = df.select(column).mapInArrow(run, "head string, next string, n long")
+    n = found.repartition("head").groupBy("head", "next").agg(F.sum("n").alias("n"))
+    both = F.array(F.struct(F.lit(size).alias("ngram_size"), F.lit(None).cast("string").alias("next")), F.struct(F.lit(size + 1).alias("ngram_size"), F.col("next")))
+    each_ = n.select("head", "n", F.explode(both).alias("g")).where((F.col("g.ngram_size") == size) | F.col("g.next").isNotNull())
+    out = each_.groupBy("head", "g.next", "g.ngram_size").agg(F.sum("n").alias("frequency")).select(F.concat_ws(" ", "head", "next").alias("ngram"), "frequency", "ngram_size")
+    if most is not None:
+        rank = F.row_number().over(Window.partitionBy("ngram_size").orderBy(F.desc("frequency"), "ngram"))
+        out = out.withColumn("rank", rank).where(F.col("rank") <= most)
+    return out.select("ngram", "frequency", "ngram_size", F.lit("NNG").alias("pos_tag"))
+
+
 def dictionary_candidates(ngrams: DataFrame, least: int = 1, longest: int = 20) -> DataFrame:
     """Candidates of at least two words and at most `longest` characters, each n-gram once."""
     ok = ngrams.where((F.col("ngram_size") >= 2) & (F.col("frequency") >= least) & (F.length("ngram") <= longest) & F.forall(F.split("ngram", " "), lambda w: F.length(w) >= 1))
