@@ -2,10 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from noria.operators import dtm, ngrams, nouns, rules
+from noria.operators import dtm, ngrams, nouns, rules, stm
 from noria.plans import catalog
 
 
@@ -80,3 +81,16 @@ def test_nested_ngrams_equal_the_mined_ones(spark):
     assert ngrams.mine_nested(df.where("false")).count() == 0
     plan = ngrams.mine_nested(df.coalesce(1), most=None)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning") == 1
+
+
+def test_line_search_tries_only_the_documents_that_fell(monkeypatch):
+    """As many cells are weighed as the documents that fell hold, and once a step for the others."""
+    rng = np.random.default_rng(1)
+    sizes = rng.integers(1, 60, 200)
+    starts, ids = np.cumsum([0, *sizes]), np.concatenate([rng.choice(300, s, replace=False) for s in sizes])
+    counts, beta = rng.integers(1, 6, len(ids)).astype(float), np.ascontiguousarray(rng.dirichlet(np.full(300, 0.02), 8).T) + 1e-9
+    weighed, parts = [], stm._parts
+    monkeypatch.setattr(stm, "_parts", lambda eta, mu, siginv, cells: weighed.append(len(cells[3])) or parts(eta, mu, siginv, cells))
+    eta = stm.infer(starts, ids, counts, np.zeros((200, 7)), beta, np.eye(7) / 20)[0]
+    # 30.4 times the cells when each step weighed all live documents for its start and for each halving, 6.6 times now
+    assert np.isfinite(eta).all() and sum(weighed) < 10 * len(ids)
