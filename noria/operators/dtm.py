@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noria.operators.nouns import each
+from noria.session import ship_package
 from noria.store import Store, numbered
 
 
@@ -64,9 +68,9 @@ def tfidf(cells: DataFrame, n_docs: int) -> DataFrame:
     return cells.join(idf, "term").select("doc_id", "term", "tf", F.round(F.col("tf") * F.col("idf"), 6).alias("weight"))
 
 
-def tfidf_terms(cells: DataFrame, n_docs: int, k: int | None = 30, min_termfreq: int = 1) -> DataFrame:
-    """(feature, frequency, docfreq, tfidf_score) of the terms of at least min_termfreq: column sums in closed form, one aggregate."""
-    s = term_stats(cells).where(F.col("frequency") >= min_termfreq)
+def tfidf_terms(cells: DataFrame, n_docs: int, k: int | None = 30, min_termfreq: int = 1, counted: bool = False) -> DataFrame:
+    """(feature, frequency, docfreq, tfidf_score) of the terms of at least min_termfreq: column sums in closed form, one aggregate.  counted: `cells` are their term_stats."""
+    s = (cells if counted else term_stats(cells)).where(F.col("frequency") >= min_termfreq)
     s = s.select(F.col("term").alias("feature"), "frequency", "docfreq", F.round(F.col("frequency") * F.log10(F.lit(float(n_docs)) / F.col("docfreq")), 6).alias("tfidf_score"))
     return s if k is None else s.orderBy(F.desc("tfidf_score"), "feature").limit(k)
 
@@ -105,3 +109,57 @@ def listed(cells: DataFrame, vocab: DataFrame) -> tuple[DataFrame, DataFrame]:
     """documents (doc_id, terms) of the cells whose terms the vocabulary has, and the vocabulary; one join, which trims as well."""
     docs = cells.join(vocab, "term").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("term_id", "tf"))).alias("terms"))
     return docs, vocab
+
+
+def met(coded: DataFrame, values: DataFrame, run, schema: str) -> DataFrame:
+    """What `run` makes of each chunk of `RuleTagger.coded`: of its documents (doc_id, codes) and the values (by term) of those of its terms that have some.
+
+    A term is joined once a chunk and the documents are moved as lists of numbers, so
+    cells are not shuffled with their terms.  A chunk is a batch of documents, so a group is bounded.
+    """
+    ship_package(coded.sparkSession)
+    docs = coded.where(F.col("codes").isNotNull()).select("chunk", "doc_id", "codes")
+    hits = coded.where(F.col("term").isNotNull()).select(F.col("chunk").alias("of"), "code", "term").join(values, "term").drop("term")
+    return docs.groupBy("chunk").cogroup(hits.groupBy("of")).applyInArrow(run, schema)
+
+
+def _cells_of(docs: pa.Table, hits: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Document and row of `hits` of each cell that has one."""
+    lists = docs["codes"].combine_chunks()
+    code = np.asarray(lists.flatten())
+    doc = np.repeat(np.arange(len(lists)), np.asarray(pc.list_value_length(lists)))
+    known = np.asarray(hits["code"])
+    row = np.full(max(code.max(initial=-1), known.max(initial=-1)) + 1, -1)
+    row[known] = np.arange(len(known))
+    at = row[code]
+    return doc[at >= 0], at[at >= 0]
+
+
+def sums(coded: DataFrame, values: DataFrame) -> DataFrame:
+    """(doc_id, *values): the values of a document's terms added up, null as 0; documents without a term that has values are left out."""
+    names = [c for c in values.columns if c != "term"]
+
+    def run(docs, hits):
+        doc, at = _cells_of(docs, hits)
+        there = np.unique(doc)
+        added = [np.bincount(doc, np.asarray(pc.fill_null(hits[c], 0.0))[at], docs.num_rows)[there] for c in names]
+        return pa.table([docs["doc_id"].take(pa.array(there)), *map(pa.array, added)], names=["doc_id", *names])
+
+    kind = coded.schema["doc_id"].dataType.simpleString()
+    return met(coded, values, run, ", ".join([f"doc_id {kind}", *[f"`{c}` double" for c in names]]))
+
+
+def listed_codes(coded: DataFrame, vocab: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`listed` of coded documents; a term counts once a document."""
+
+    def run(docs, hits):
+        doc, at = _cells_of(docs, hits)
+        ids = np.asarray(hits["term_id"])[at]
+        order = np.lexsort((ids, doc))
+        there, first = np.unique(doc, return_index=True)
+        pairs = pa.StructArray.from_arrays([pa.array(ids[order].astype(np.int32)), pa.array(np.ones(len(ids), np.int64))], ["term_id", "tf"])
+        lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(ids)).astype(np.int32)), pairs)
+        return pa.table([docs["doc_id"].take(pa.array(there)), lists], names=["doc_id", "terms"])
+
+    kind = coded.schema["doc_id"].dataType.simpleString()
+    return met(coded, vocab, run, f"doc_id {kind}, terms array<struct<term_id:int,tf:bigint>>"), vocab

@@ -22,6 +22,8 @@ from noria.session import ship_package
 
 TOKENS = "array<struct<form:string,tag:string>>"
 NOUN = ("NNG", "NNP")
+#: Rows of counts that a task holds before it hands them on.
+COUNTED = 1 << 20
 
 
 class Tagger(Protocol):
@@ -60,13 +62,53 @@ class RuleTagger:
 
         def run(batches):
             for batch in batches:
-                doc, forms, place = self._found(batch.column(1))
-                long = np.asarray(pc.greater_equal(pc.utf8_length(forms), least_length).to_numpy(zero_copy_only=False), dtype=bool)[place]
-                doc, place = pa.array(doc[long]), pa.array(place[long])
+                doc, forms, place = self._nouns(batch.column(1), least_length)
+                doc, place = pa.array(doc), pa.array(place)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(doc), forms.take(place), pa.array(np.ones(len(doc), np.int64)), *[c.take(doc) for c in batch.columns[2:]]], ["doc_id", "term", "tf", *keep])
 
         return self._split(df, keep).mapInArrow(run, ", ".join([kinds[0], "term string, tf long", *kinds[1:]]))
 
+    def counts(self, df: DataFrame, *keep: str, least_length: int = 2) -> DataFrame:
+        """(term, *keep, n): how many rows of df hold a noun, by the columns `keep`.  Summed within a task as far as COUNTED rows; a term has several rows, to be summed."""
+        kinds = ["term string", *[f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep], "n long"]
+
+        return self._split(df, keep).mapInArrow(counting(self, keep, least_length), ", ".join(kinds))
+
+    def coded(self, df: DataFrame, *keep: str, least_length: int = 2) -> DataFrame:
+        """(chunk, doc_id, codes, code, term, *keep, n): the cells of ids that are unique, by chunks of documents that have numbers of their own for their terms.
+
+        A document is a row (chunk, doc_id, codes: its terms' numbers); a term of a chunk
+        is a row (chunk, code, term, *keep, n: how many of the chunk's documents hold it) for
+        each value of `keep`.  So a chunk's terms meet a table of terms once, whatever the number
+        of cells (`dtm.met`).
+        """
+        doc_kind, *kinds = [df.schema[c].dataType.simpleString() for c in ("doc_id", *keep)]
+
+        def run(batches):
+            chunk = TaskContext.get().partitionId() << 33
+            for batch in batches:
+                lists = batch.column(1)
+                doc, forms, place = self._nouns(lists, least_length)
+                used, code = np.unique(place, return_inverse=True)
+                offsets = np.searchsorted(doc, np.arange(len(lists) + 1)).astype(np.int32)
+                codes = pa.ListArray.from_arrays(pa.array(offsets), pa.array(code.astype(np.int32)))
+                documents = pa.table({"chunk": pa.array(np.full(len(lists), chunk)), "doc_id": batch.column(0), "codes": codes})
+                found = _summed(doc, pa.array(np.arange(len(used), dtype=np.int32)), code, batch.columns[2:], keep)
+                numbers = found["term"].combine_chunks()
+                terms = pa.table({"chunk": pa.array(np.full(len(found), chunk)), "code": numbers, "term": forms.take(pa.array(used)).take(numbers)} | {c: found[c] for c in (*keep, "n")})
+                both = pa.concat_tables([documents, terms], promote_options="default")
+                yield from both.select(["chunk", "doc_id", "codes", "code", "term", *keep, "n"]).combine_chunks().to_batches(max_chunksize=1 << 16)
+                chunk += 1
+
+        fields = ["chunk long", f"doc_id {doc_kind}", "codes array<int>", "code int", "term string", *[f"`{c}` {k}" for c, k in zip(keep, kinds, strict=True)], "n long"]
+        return self._split(df, keep).mapInArrow(run, ", ".join(fields))
+
+    def _nouns(self, lists: pa.ListArray, least_length: int) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+        """What `_found` gives, of nouns of at least so many characters."""
+        doc, forms, place = self._found(lists)
+        long = np.asarray(pc.greater_equal(pc.utf8_length(forms), least_length).to_numpy(zero_copy_only=False), dtype=bool)[place]
+        return doc[long], forms, place[long]
+
     @staticmethod
     def _split(df: DataFrame, keep: tuple[str, ...]) -> DataFrame:
         ship_package(df.sparkSession)
@@ -77,11 +119,13 @@ class RuleTagger:
         flat = lists.flatten()
         doc = np.repeat(np.arange(len(lists)), np.asarray(pc.fill_null(pc.list_value_length(lists), 0)))
         coded = flat.dictionary_encode()
-        words, code = coded.dictionary.to_pylist(), np.asarray(coded.indices)
+        words, code = coded.dictionary, np.asarray(coded.indices)
         known = dict.fromkeys(self.function_words, 0) | dict.fromkeys(self.suffixes, 3) | dict.fromkeys(self.prefixes, 2)
         # 0: other, 1: noun, 2: prefix, 3: suffix
-        short = lambda w: 0 if len(w) <= 2 else 1
-        kind = np.array([-1 if w == "" else known.get(w, short(w)) for w in words] or [0], np.int8)[code]
+        size = np.asarray(pc.utf8_length(words))
+        at = np.asarray(pc.fill_null(pc.index_in(words, pa.array(list(known), words.type)), -1))
+        kind = np.where(at >= 0, np.array([*known.values(), 0], np.int8)[at], size > 2).astype(np.int8)
+        kind = np.where(size == 0, np.int8(-1), kind)[code]
         there = kind >= 0
         doc, code, kind = doc[there], code[there], kind[there]
         n = len(code)
@@ -93,20 +137,55 @@ class RuleTagger:
         own = (kind == 1) & (before != 2)
         alone = (kind == 3) & (before != 1)
         out[own | alone | (kind == 2)] = True
-        made: dict[str, int] = {}
         length = np.where(own & (after == 3), 2, np.where((kind == 2) & (after == 1), np.where(after2 == 3, 3, 2), 1))
-        for i in np.flatnonzero(out & (length > 1)).tolist():
-            form = "".join([words[c] for c in code[i : i + length[i]].tolist()])
-            place[i] = made.setdefault(form, len(words) + len(made))
+        i = np.flatnonzero(out & (length > 1))
+        third = np.append(code, [0, 0])[i + 2]
+        parts = words.take(pa.array(code[i])), words.take(pa.array(code[i + 1])), words.take(pa.array(third, mask=length[i] < 3))
+        made = pc.binary_join_element_wise(*parts, pa.scalar("", words.type), null_handling="replace")
+        place[i] = len(words) + np.arange(len(i))
         doc, place = doc[out], place[out]
         # a joined form can be a word as well
-        every = pa.array(words + list(made), pa.string()).dictionary_encode()
+        every = pa.concat_arrays([words, made]).dictionary_encode()
         place = np.asarray(every.indices).astype(np.int64)[place] if len(place) else place
         _, first = np.unique(doc * (len(every.dictionary) + 1) + place, return_index=True)
         first.sort()
         return doc[first], every.dictionary, place[first]
 
 
+def _summed(doc: np.ndarray, forms: pa.Array, place: np.ndarray, columns: list[pa.Array], names: tuple[str, ...]) -> pa.Table:
+    """(term, *names, n): the cells (doc, place) counted by form and by the values that `columns` have for their document."""
+    key, coded = place, [c.dictionary_encode(null_encoding="encode") for c in columns]
+    for c in coded:
+        key = key * max(len(c.dictionary), 1) + np.asarray(c.indices)[doc]
+    key, n = np.unique(key, return_counts=True)
+    values = []
+    for c in reversed(coded):
+        key, at = np.divmod(key, max(len(c.dictionary), 1))
+        values.append(c.dictionary.take(pa.array(at)))
+    return pa.table([forms.take(pa.array(key)), *reversed(values), pa.array(n.astype(np.int64))], names=["term", *names, "n"])
+
+
+def counting(tagger: RuleTagger, keep: tuple[str, ...], least_length: int):
+    """What a task of `RuleTagger.counts` does."""
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            doc, forms, place = tagger._nouns(batch.column(1), least_length)
+            held.append(_summed(doc, forms, place, batch.columns[2:], keep))
+            size += len(held[-1])
+            if size > COUNTED:
+                held = [pa.concat_tables(held).group_by(["term", *keep], use_threads=False).aggregate([("n", "sum")]).rename_columns(["term", *keep, "n"])]
+                size = len(held[0])
+                if size > COUNTED // 2:
+                    yield from held.pop().combine_chunks().to_batches(max_chunksize=1 << 16)
+                    size = 0
+        for found in held:
+            yield from found.combine_chunks().to_batches(max_chunksize=1 << 16)
+
+    return run
+
+
 class PretaggedTagger:
     """Reads `form/TAG form/TAG` strings from the abstract column."""
 
