@@ -53,7 +53,7 @@ def _counts(batches):
             yield pa.RecordBatch.from_arrays([pa.array(k[lo : lo + (1 << 17)].view(np.int64)), pa.array(c[lo : lo + (1 << 17)])], ["h", "c"])
 
     for batch in batches:
-        for _, texts in slices(batch.column(0), 4 << 20):
+        for _, texts in slices(batch.column(0)):  # as in every other pass: larger ones leave a worker larger tables of powers
             held.append(np.unique(tokens(texts)[0], return_counts=True))
             size += len(held[-1][0])
             if size > 1 << 21:
@@ -161,9 +161,10 @@ class LogBilinear:
             at = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
             rows = s[at]
             for name, grad in grads:
-                total = np.add.reduceat(grad[order], at, axis=0)
-                g[name][rows] += total**2
-                getattr(self, name)[rows] -= rate * total / np.sqrt(g[name][rows])
+                total = np.add.reduceat(grad.take(order, axis=0), at, axis=0)
+                squares = g[name].take(rows, axis=0) + total**2
+                g[name][rows] = squares
+                getattr(self, name)[rows] -= rate * total / np.sqrt(squares)
 
         def dense(name, total):
             g[name] += total**2
@@ -172,9 +173,9 @@ class LogBilinear:
         for w, u, v in batches:
             seen += len(w)
             z = np.minimum(np.searchsorted(cum, rng.random(NOISE) * cum[-1]), len(cum) - 1)
-            ru, rv = self.r[u], self.r[v]
+            ru, rv = self.r.take(u, axis=0), self.r.take(v, axis=0)  # take: rows are gathered in a third of the time that indexing needs
             h = ru * self.c1 + rv * self.c2
-            qw, qz = self.q[w], self.q[z]
+            qw, qz = self.q.take(w, axis=0), self.q.take(z, axis=0)
             pos = np.einsum("ij,ij->i", h, qw) + self.b[w] - log_kn[w]
             dp = (_sigmoid(pos) - 1) / np.float32(len(w))
             dn = _sigmoid(h @ qz.T + (self.b[z] - log_kn[z]))
@@ -212,19 +213,22 @@ class LogBilinear:
                 z = np.clip(z, classes.bounds[gs][:, None], classes.bounds[gs + 1][:, None] - 1)
                 h = np.zeros((len(gs), int(at[now].max()) - lo + 1, DIM), np.float32)
                 inside = (place, at[now] - lo)
-                h[inside] = self.r[u[t]] * self.c1 + self.r[v[t]] * self.c2
+                own = self.r.take(u[t], axis=0) * self.c1 + self.r.take(v[t], axis=0) * self.c2
+                h[inside] = own
                 real = np.zeros(h.shape[:2], bool)
                 real[inside] = True
-                qw, qz = self.rows[row[t]], self.rows[z]
-                dp = _sigmoid(np.einsum("ij,ij->i", h[inside], qw) - log_k) - 1
+                qw, qz = self.rows.take(row[t], axis=0), self.rows.take(z, axis=0)
+                dp = _sigmoid(np.einsum("ij,ij->i", own, qw) - log_k) - 1
                 dn = _sigmoid(h @ qz.transpose(0, 2, 1) - log_k) * real[:, :, None]
-                grad = np.concatenate([dp[:, None] * h[inside], (dn.transpose(0, 2, 1) @ h).reshape(-1, DIM)])
+                grad = np.concatenate([dp[:, None] * own, (dn.transpose(0, 2, 1) @ h).reshape(-1, DIM)])
                 ids = np.append(row[t], z)
                 order = np.argsort(ids, kind="stable")
-                first = np.flatnonzero(np.append(True, np.diff(ids[order]) > 0))
-                rows, total = ids[order][first], np.add.reduceat(grad[order], first, axis=0)
-                g[rows] += total**2
-                self.rows[rows] -= rate * total / np.sqrt(g[rows])
+                ids = ids[order]
+                first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+                rows, total = ids[first], np.add.reduceat(grad.take(order, axis=0), first, axis=0)
+                squares = g.take(rows, axis=0) + total**2
+                g[rows] = squares
+                self.rows[rows] -= rate * total / np.sqrt(squares)
             for lo in range(0, len(w), MINIBATCH):
                 yield w[lo : lo + MINIBATCH], u[lo : lo + MINIBATCH], v[lo : lo + MINIBATCH]
 
@@ -240,7 +244,7 @@ class LogBilinear:
             step = max(1, (1 << 16) // int(hi - lo))
             for j in range(cuts[i], cuts[i + 1], step):
                 t = tail[j : min(j + step, cuts[i + 1])]
-                s = h[t] @ q
+                s = h.take(t, axis=0) @ q
                 s += share
                 s -= s.max(axis=1, keepdims=True)
                 own = s[np.arange(len(t)), row[t] - lo]
@@ -297,8 +301,8 @@ def _scored(classes, model, vectors):
                 t, rows = tokens(texts)
                 cls, row, count = c.look_up(t)
                 one, two = c.contexts(cls, rows)
-                h = a[one] + b2[two]
-                s = np.einsum("ij,ij->i", h, m.q[cls]) + m.b[cls] - norms[one, two] + m.row_logs(h, cls, row, c)
+                h = a.take(one, axis=0) + b2.take(two, axis=0)
+                s = np.einsum("ij,ij->i", h, m.q.take(cls, axis=0)) + m.b[cls] - norms[one, two] + m.row_logs(h, cls, row, c)
                 shares = row >= c.own
                 s[shares] -= np.log(c.mass[row[shares]])
                 known = count >= 0
