@@ -88,6 +88,105 @@ def mine_nested(df: DataFrame, size: int = 2, most: int | None = 100, column: st
     return out.select("ngram", "frequency", "ngram_size", F.lit("NNG").alias("pos_tag"))
 
 
+#: Groups that the keys of n-grams are dealt to.
+BUCKETS = 1 << 11
+#: Places that a task holds before it hands their keys on.
+HELD = 1 << 21
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(33))
+
+
+def _keys(hashes: np.ndarray, doc: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the n-grams of `size` words begin, their buckets and their keys: 11 and 64 bits, which together stand for an n-gram."""
+    at = np.flatnonzero(doc[: max(len(doc) - size + 1, 0)] == doc[size - 1 :])
+    key = hashes[at]
+    for i in range(1, size):
+        key = _mix(key) + hashes[at + i]
+    bucket = _mix(_mix(key) + hashes[at]) >> np.uint64(53)
+    return at, bucket.astype(np.uint16), key
+
+
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all lists as 64 bits, and the list of each."""
+    return np.asarray(lists.flatten()).view(np.uint64), np.repeat(np.arange(len(lists)), np.asarray(pc.fill_null(pc.list_value_length(lists), 0)))
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where a sorted row differs from the one before."""
+    differs = np.zeros(max(len(columns[0]) - 1, 0), bool)
+    for c in columns:
+        differs |= c[1:] != c[:-1]
+    return np.flatnonzero(np.append(np.ones(min(len(columns[0]), 1), bool), differs))
+
+
+def _hashed(column: str) -> Column:
+    return F.transform(column, lambda x: F.xxhash64(x))
+
+
+def key_counts(df: DataFrame, sizes: list[int], column: str, reduce, schema: str) -> DataFrame:
+    """What `reduce(size, keys, n)` makes of a bucket's different keys of n-grams of `size` words, and of how often they are there; for all buckets and sizes.
+
+    Texts stay where they are: a row of the shuffle holds a bucket's keys of some
+    thousands of documents, counted, as numbers.  Equal keys count as equal n-grams.
+    """
+    ship_package(df.sparkSession)
+
+    def dealt(held):
+        for size, parts in zip(sizes, held, strict=True):
+            bucket, key = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.argsort(key)
+            order = order[np.argsort(bucket[order], kind="stable")]
+            bucket, key = bucket[order], key[order]
+            first = _starts(bucket, key)
+            n = np.diff(np.append(first, len(key))).astype(np.int32)
+            bucket, key = bucket[first], key[first].view(np.int64)
+            at = _starts(bucket)
+            offsets = pa.array(np.append(at, len(key)).astype(np.int32))
+            columns = [pa.array(bucket[at].astype(np.int32)), pa.array(np.full(len(at), size, np.int32)), pa.ListArray.from_arrays(offsets, pa.array(key)), pa.ListArray.from_arrays(offsets, pa.array(n))]
+            yield from pa.table(columns, names=["bucket", "ngram_size", "keys", "n"]).to_batches(max_chunksize=256)
+
+    def run(batches):
+        held, places = [[] for _ in sizes], 0
+        for batch in batches:
+            hashes, doc = _flat(batch.column(0))
+            for size, parts in zip(sizes, held, strict=True):
+                parts.append(_keys(hashes, doc, size)[1:])
+            places += len(hashes)
+            if places >= HELD:
+                yield from dealt(held)
+                held, places = [[] for _ in sizes], 0
+        if places:
+            yield from dealt(held)
+
+    def summed(group, table):
+        out = []
+        for size in sizes:
+            of = table.filter(pc.equal(table["ngram_size"], size))
+            key, n = (pc.list_flatten(of[c]).to_numpy() for c in ("keys", "n"))
+            if len(key):
+                order = np.argsort(key)
+                first = _starts(key[order])
+                out.append(reduce(size, key[order][first], np.add.reduceat(n[order].astype(np.int64), first)))
+        return pa.concat_tables(out)
+
+    found = df.select(_hashed(column)).mapInArrow(run, "bucket int, ngram_size int, keys array<long>, n array<int>")
+    return found.groupBy("bucket").applyInArrow(summed, schema)
+
+
+def ngram_sizes(df: DataFrame, sizes: list[int] = (2, 3), column: str = "nouns") -> DataFrame:
+    """(ngram_size, n, total): how many different n-grams of each size there are, and how many in all."""
+
+    def reduce(size, keys, n):
+        return pa.table({"ngram_size": pa.array([size], pa.int32()), "n": [len(keys)], "total": [int(n.sum())]})
+
+    each_ = key_counts(df, list(sizes), column, reduce, "ngram_size int, n long, total long")
+    return each_.groupBy("ngram_size").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+
+
 def dictionary_candidates(ngrams: DataFrame, least: int = 1, longest: int = 20) -> DataFrame:
     """Candidates of at least two words and at most `longest` characters, each n-gram once."""
     ok = ngrams.where((F.col("ngram_size") >= 2) & (F.col("frequency") >= least) & (F.length("ngram") <= longest) & F.forall(F.split("ngram", " "), lambda w: F.length(w) >= 1))
