@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from noria.functions.text import bound, strip_spaces, year_span
 from noria.operators.rules import nested, normalize_arrays
 from noria.session import ship_package
+from noria.store import Store
 
 
 def normalize(x: Column, rules: list[tuple[str, str]]) -> Column:
@@ -61,6 +62,22 @@ def mine_ngrams(df: DataFrame, sizes: list[int] = (2, 3), least: int = 1, most:
 def mine_nested(df: DataFrame, size: int = 2, most: int | None = 100, column: str = "nouns") -> DataFrame:
     """`mine_ngrams` of `size` and one more, for words that are not null and hold no space.
 
+    With `most`, df is read twice: hashes are counted first, then only the n-grams that a
+    count lets among the `most` are made and counted as texts.  Without it, or where more
+    than FEW n-grams are tied there, all are.
+    """
+    if most:
+        wanted = frequent_keys(df, [size, size + 1], most, column)
+        if wanted is not None:
+            rank = F.row_number().over(Window.partitionBy("ngram_size").orderBy(F.desc("frequency"), "ngram"))
+            found = ngrams_of_keys(df, wanted, column).withColumn("rank", rank).where(F.col("rank") <= most)
+            return found.select("ngram", "frequency", "ngram_size", F.lit("NNG").alias("pos_tag"))
+    return mine_nested_texts(df, size, most, column)
+
+
+def mine_nested_texts(df: DataFrame, size: int = 2, most: int | None = 100, column: str = "nouns") -> DataFrame:
+    """`mine_nested` in one pass, by texts.
+
     A row is shuffled for each place, dealt by its shorter n-gram: the longer one is that
     and a word, and the shorter one's count is the sum of what follows it, the end included.
     """
@@ -92,6 +109,10 @@ def mine_nested(df: DataFrame, size: int = 2, most: int | None = 100, column: st
 BUCKETS = 1 << 11
 #: Places that a task holds before it hands their keys on.
 HELD = 1 << 21
+#: Keys that all tasks look up.
+FEW = 1 << 16
+#: Keys of a bucket that it hands on although they only tie for the last place.
+TIED = 1 << 10
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -187,6 +208,52 @@ def ngram_sizes(df: DataFrame, sizes: list[int] = (2, 3), column: str = "nouns")
     return each_.groupBy("ngram_size").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
 
 
+def frequent_keys(df: DataFrame, sizes: list[int], most: int, column: str) -> dict[int, np.ndarray] | None:
+    """The keys, sorted, of each size's n-grams that occur as often as its `most`-th; None if they are more than FEW.
+
+    A bucket hands on what occurs as often as its own `most`-th; of more than TIED that
+    occur just as often, only that they are there (a null).
+    """
+
+    def reduce(size, keys, n):
+        least = np.partition(n, len(n) - most)[len(n) - most] if len(n) > most else 0
+        tied = np.count_nonzero(n == least)
+        on = n > least if tied > TIED else n >= least
+        key, n = pa.array(keys[on]), n[on]
+        if tied > TIED:
+            key, n = pa.concat_arrays([key, pa.nulls(1, pa.int64())]), np.append(n, least)
+        return pa.table({"ngram_size": pa.array(np.full(len(n), size, np.int32)), "key": key, "n": n})
+
+    counted = Store(df.sparkSession).keep(key_counts(df, sizes, column, reduce, "ngram_size int, key long, n long"), "keys")
+    rank = F.row_number().over(Window.partitionBy("ngram_size").orderBy(F.desc("n")))
+    least = counted.withColumn("rank", rank).where(F.col("rank") <= most).groupBy("ngram_size").agg(F.min("n").alias("least"))
+    chosen = counted.join(F.broadcast(least), "ngram_size").where("n >= least").select("ngram_size", "key").limit(FEW + 1).collect()
+    if len(chosen) > FEW or any(r["key"] is None for r in chosen):
+        return None
+    return {size: np.unique(np.array([r["key"] for r in chosen if r["ngram_size"] == size], np.int64).view(np.uint64)) for size in sizes}
+
+
+def ngrams_of_keys(df: DataFrame, wanted: dict[int, np.ndarray], column: str) -> DataFrame:
+    """(ngram, ngram_size, frequency) of the n-grams that have one of the wanted keys of their size."""
+    ship_package(df.sparkSession)
+    shared = df.sparkSession.sparkContext.broadcast(wanted)
+
+    def run(batches):
+        for batch in batches:
+            words = batch.column(0).flatten()
+            hashes, doc = _flat(batch.column(1))
+            for size, keys in shared.value.items():
+                at, _, key = _keys(hashes, doc, size)
+                if len(keys):
+                    at = at[keys[np.minimum(np.searchsorted(keys, key), len(keys) - 1)] == key]
+                    text = pc.binary_join_element_wise(*[words.take(pa.array(at + i)) for i in range(size)], " ")
+                    counted = pc.value_counts(text)
+                    yield pa.RecordBatch.from_arrays([counted.field(0), pa.array(np.full(len(counted), size, np.int32)), counted.field(1)], ["ngram", "ngram_size", "n"])
+
+    found = df.select(column, _hashed(column)).mapInArrow(run, "ngram string, ngram_size int, n long")
+    return found.groupBy("ngram", "ngram_size").agg(F.sum("n").alias("frequency"))
+
+
 def dictionary_candidates(ngrams: DataFrame, least: int = 1, longest: int = 20) -> DataFrame:
     """Candidates of at least two words and at most `longest` characters, each n-gram once."""
     ok = ngrams.where((F.col("ngram_size") >= 2) & (F.col("frequency") >= least) & (F.length("ngram") <= longest) & F.forall(F.split("ngram", " "), lambda w: F.length(w) >= 1))
